@@ -5,6 +5,7 @@ from spillway.functions.columns import (  # noqa: F401
     as_text,
     empty_bytes,
     group_name,
+    next_tick,
     null_to_empty,
     round_robin,
     second_bucket,

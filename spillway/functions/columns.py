@@ -47,7 +47,14 @@ def truncate_time(c: str | Column) -> Column:
 def second_bucket(c: str | Column, seconds: int) -> Column:
     """Start of the fixed ``seconds``-wide bucket holding a timestamp, as epoch
     seconds (BIGINT).  Integer arithmetic: no struct, no zone, stays in codegen."""
-    return F.floor(F.unix_micros(_c(c).cast("timestamp")) / F.lit(1_000_000 * seconds)) * seconds
+    m = F.unix_micros(_c(c).cast("timestamp"))
+    return ((m - F.pmod(m, F.lit(1_000_000 * seconds))) / F.lit(1_000_000)).cast("long")
+
+
+def next_tick(c: str | Column, seconds: int) -> Column:
+    """The first multiple of ``seconds`` at or after a timestamp (a flush tick)."""
+    m = F.unix_micros(_c(c).cast("timestamp"))
+    return F.timestamp_micros(m + F.pmod(-m, F.lit(1_000_000 * seconds)))
 
 
 def round_robin(offset: str | Column, source_partition: str | Column, n: int) -> Column:

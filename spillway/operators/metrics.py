@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spillway.functions import second_bucket
@@ -76,13 +76,13 @@ def dense_throughput(audit: DataFrame, seconds: int = 1,
             .select(*keys, _epoch_to_ntz("_bucket").alias("time"), "records"))
 
 
-def partition_lag(newest: DataFrame, committed: DataFrame, group: str | None = None) -> DataFrame:
+def partition_lag(newest: DataFrame, committed: DataFrame, group: str | Column) -> DataFrame:
     """M3: per partition of the topic, newest - committed.  Partitions without
     a stored position are kept (lag from 0, `has_position` false).  Both inputs
-    have one row per partition."""
-    c = committed.select("topic", "partition", "next_offset", *(["group"] if group is None else []))
-    joined = newest.join(c, ["topic", "partition"], "left")
-    grp = F.lit(group) if group is not None else F.col("group")
+    have one row per partition; `committed` holds the positions of one group."""
+    c = committed.select("topic", "partition", "next_offset")
+    joined = newest.select("topic", "partition", "newest_offset").join(c, ["topic", "partition"], "left")
+    grp = F.lit(group) if isinstance(group, str) else group
     return joined.select(
         grp.alias("group"), "topic", "partition",
         F.coalesce("next_offset", F.lit(0)).cast("long").alias("current_offset"),

@@ -69,3 +69,25 @@ def topic_log_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 def events_log(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
     return topic_log_from_events(table(spark, sf_dir, "events"), keep_event_id)
+
+
+# Flush interval of the replayed copy, in seconds (the reference's 10,000 ms).
+FLUSH_SECONDS = 10
+
+
+def replay_audit(log: DataFrame, reject_when: str = REJECT_WHEN,
+                 flush_seconds: int = FLUSH_SECONDS) -> DataFrame:
+    """Audit rows of a copy that read each record at its timestamp and sent it
+    at the next flush tick; records failing `reject_when` are counted as
+    rejected and never sent.  One row per record (n = 1): the metric operators
+    sum, so per-record and per-batch audit rows give the same results."""
+    from spillway.functions import next_tick
+    from spillway.operators.records import reject_flag
+    flag = reject_flag(reject_when)
+    read = log.select("topic", "partition", F.lit("consumer").alias("client_type"),
+                      F.lit(1).cast("long").alias("n"), flag.cast("long").alias("rejected"),
+                      F.col("timestamp").alias("at"))
+    sent = log.where(~flag).select("topic", "partition", F.lit("producer").alias("client_type"),
+                                   F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("rejected"),
+                                   next_tick("timestamp", flush_seconds).alias("at"))
+    return read.unionByName(sent)
