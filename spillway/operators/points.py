@@ -31,8 +31,17 @@ SYSTEM_FIELDS = ("active_go_routines", "mallocs", "frees", "lookups", "memory_to
                  "memory_total_stack_in_use", "memory_total_sys")
 
 
-def _time(t: str | Column | None) -> Column:
-    c = F.current_timestamp() if t is None else (F.col(t) if isinstance(t, str) else t)
+def _time(t) -> Column:
+    """Point time at second precision: a column name, a Column, a datetime
+    literal, or None for now (the reference stamps points with wall clock)."""
+    if t is None:
+        c = F.current_timestamp()
+    elif isinstance(t, str):
+        c = F.col(t)
+    elif isinstance(t, Column):
+        c = t
+    else:
+        c = F.lit(t)
     return truncate_time(c.cast("timestamp")).alias("time")
 
 

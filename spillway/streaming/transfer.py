@@ -139,6 +139,7 @@ class Transfer:
                 write_log_batch(records, o.destination, self.group, self.generation, batch_id, o.compression)
             else:
                 write_kafka_batch(records, o)
+            self._after_sink(batch_id)
             if o.quarantine and o.reject_when is not None:
                 write_table_batch(plan.rejected, self.path("quarantine"), self.group, self.generation, batch_id)
             audit = plan.audit.withColumn("run_id", F.lit(self.run_id))
@@ -164,6 +165,10 @@ class Transfer:
         finally:
             df.unpersist()
 
+    def _after_sink(self, batch_id: int) -> None:
+        """Called between the sink write and the commits; a failure here is
+        the worst case for delivery (tests override it)."""
+
     # ---- life cycle ------------------------------------------------------
     def start(self, trigger: str = "interval") -> StreamingQuery:
         """trigger: "interval" (every flush interval), "available_now" (drain

@@ -1,0 +1,52 @@
+from pyspark.sql import functions as F
+
+from helpers import log_rows, make_log
+from spillway.operators import positions
+
+
+def _log(spark):
+    return make_log(spark, log_rows("a", 0, 0, 10) + log_rows("a", 1, 0, 4) + log_rows("b", 0, 5, 3))
+
+
+def test_newest_offsets_lists_empty_partitions(spark):
+    log = _log(spark)
+    listed = positions.partition_list(log, 3)
+    got = {(r.topic, r.partition): r.newest_offset for r in positions.newest_offsets(log, listed).collect()}
+    assert got == {("a", 0): 10, ("a", 1): 4, ("a", 2): 0, ("b", 0): 8, ("b", 1): 0, ("b", 2): 0}
+
+
+def test_snapshot_before_and_apply_start(spark):
+    log = _log(spark)
+    # records of topic a, partition 0 have timestamps T0 + offset seconds
+    snap = positions.as_start(positions.newest_offsets(log, before="2024-01-01 00:00:05"))
+    got = {(r.topic, r.partition): r.start_offset for r in snap.collect()}
+    assert got[("a", 0)] == 5 and got[("a", 1)] == 4 and ("b", 0) not in got
+    kept = positions.apply_start(log, snap)
+    assert sorted((r.topic, r.partition, r.offset) for r in kept.collect()) == \
+        [("a", 0, o) for o in range(5, 10)] + [("b", 0, o) for o in range(5, 8)]
+    assert positions.apply_start(log, None) is log
+
+
+def test_committed_offsets_uses_latest_generation(spark):
+    rows = [("g", 0, "a", 0, 5, 0), ("g", 0, "a", 0, 9, 1), ("g", 1, "a", 0, 3, 0), ("h", 0, "a", 0, 7, 0)]
+    commits = spark.createDataFrame(rows, "group string, generation int, topic string, partition int, "
+                                          "next_offset long, batch_id long").withColumn("at", F.current_timestamp())
+    got = {(r.group, r.generation): r.next_offset for r in positions.committed_offsets(commits).collect()}
+    assert got == {("g", 1): 3, ("h", 0): 7}
+
+
+def test_reset_reports_the_skipped_gap(spark):
+    stored = spark.createDataFrame([("a", 0, 4)], "topic string, partition int, next_offset long")
+    snap = spark.createDataFrame([("a", 0, 10), ("a", 1, 2)], "topic string, partition int, newest_offset long")
+    got = {r.partition: (r.start_offset, r.skipped, r.generation)
+           for r in positions.reset_position(stored, snap, 1).collect()}
+    assert got == {0: (10, 6, 1), 1: (2, 2, 1)}
+
+
+def test_commit_and_seed_rows(spark):
+    log = _log(spark)
+    c = positions.commit_rows(log, "g", 0, 7)
+    got = {(r.topic, r.partition): (r.next_offset, r.batch_id, r.group) for r in c.collect()}
+    assert got[("a", 0)] == (10, 7, "g") and got[("b", 0)] == (8, 7, "g")
+    seeds = positions.seed_rows(positions.as_start(positions.newest_offsets(log)), "g", 2)
+    assert {r.batch_id for r in seeds.collect()} == {-1}
