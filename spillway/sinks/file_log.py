@@ -36,9 +36,10 @@ def write_log_batch(records: DataFrame, root: str, group: str, generation: int,
                     compression: str = "gzip") -> None:
     """Append one batch of log records (topic, partition, offset, key, value,
     timestamp) to a file log.  Rows are sorted by (partition, offset) inside
-    each task (no exchange) so readers can skip row groups by offset."""
+    each task (no exchange) so readers can skip row groups by offset; the
+    folder columns lead the sort, so the writer adds no sort of its own."""
     out = _tag(records.select("topic", "partition", "offset", "key", "value", "timestamp"),
-               group, generation, batch_id).sortWithinPartitions("topic", "partition", "offset")
+               group, generation, batch_id).sortWithinPartitions("topic", *WRITER_COLUMNS, "partition", "offset")
     write_partitioned(out, root, ["topic", *WRITER_COLUMNS], compression)
 
 
