@@ -37,13 +37,22 @@ class CopyBatch:
     ranges: DataFrame    # per source partition: from/until offsets, n, rejected, slot span
 
 
+# Most source partitions whose slot table is broadcast.  The table has one row
+# per (topic, partition) present in the batch, so this is a bound on the topic's
+# partition count, not on data; above it the slots join by a shuffle instead.
+SLOT_BROADCAST_LIMIT = 100_000
+
+
 def plan_copy_batch(log: DataFrame, partitions: int, start: DataFrame | None = None,
                     reject_when: str | Column | None = None, preserve_nulls: bool = False,
-                    base: int | Column = 0, at: Column | None = None) -> CopyBatch:
+                    base: int | Column = 0, at: Column | None = None,
+                    broadcast_slots: bool = True) -> CopyBatch:
     """Plan one batch over `log` (TOPIC_LOG rows, any number of topics).
 
     `base`: the destination's next free offset for these topics (same for
     every destination partition, see the module doc).  `at`: batch time.
+    `broadcast_slots`: broadcast the per-partition slot table (callers that
+    counted it pass False above `SLOT_BROADCAST_LIMIT`).
     """
     at = F.current_timestamp() if at is None else at
     base_c = F.lit(base) if isinstance(base, int) else base
@@ -58,7 +67,8 @@ def plan_copy_batch(log: DataFrame, partitions: int, start: DataFrame | None = N
                           .cast("long")))
     before = Window.partitionBy("topic").orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.withColumn("_slot", F.coalesce(F.sum("_span").over(before), F.lit(0)).cast("long"))
-    slots = F.broadcast(ranges.select("topic", "partition", "from_offset", "_slot"))
+    slots = ranges.select("topic", "partition", "from_offset", "_slot")
+    slots = F.broadcast(slots) if broadcast_slots else slots
 
     placed = (src.join(slots, ["topic", "partition"])
               .withColumn("_dst", F.pmod(F.col("offset") + F.col("partition"), F.lit(partitions)).cast("int"))

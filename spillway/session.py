@@ -70,9 +70,10 @@ def state_root(spark: SparkSession) -> str:
         # that state survives a restart of the application.
         path = current.get()
         return path.rsplit("/", 1)[0] if "/" in path else path
+    # `spark.checkpoint.dir` is a core setting that cannot change at run time;
+    # the SparkContext checkpoint dir can, and later calls find it above.
     local = tempfile.mkdtemp(prefix="spillway-state-")
     spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
     return local
 
 

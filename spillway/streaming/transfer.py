@@ -40,7 +40,7 @@ from spillway.operators.budget import BudgetExceeded, over_budget
 from spillway.operators.positions import as_start, newest_offsets, seed_rows
 from spillway.operators.records import fan_out
 from spillway.options import TransferOptions
-from spillway.plans.copy import plan_copy_batch
+from spillway.plans.copy import SLOT_BROADCAST_LIMIT, plan_copy_batch
 from spillway.schema import AUDIT, CONSUMER, PRODUCER
 from spillway.session import under_state
 from spillway.sinks.file_log import write_kafka_batch, write_log_batch, write_table_batch
@@ -130,39 +130,46 @@ class Transfer:
                 f"{self.rejected_total} failed records in run {self.run_id} > max_errors={o.max_errors}")
         at = F.lit(_dt.datetime.now(_dt.timezone.utc)).cast("timestamp")
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        ranges = None
         try:
             base = self._destination_base(batch_id)
             plan = plan_copy_batch(df, o.destination_partitions, self._start, o.reject_when,
                                    o.preserve_nulls, base, at)
+            # The per-partition range table is small (one row per source
+            # partition) and feeds every write below: cache it, and take the
+            # three numbers the driver needs from it in one action.
+            ranges = plan.ranges.persist(StorageLevel.MEMORY_AND_DISK)
+            stats = ranges.agg(F.count(F.lit(1)).alias("parts"),
+                               F.sum("rejected").alias("rejected"),
+                               F.sum("_span").alias("width")).first()
+            if stats["parts"] == 0:  # nothing at or after the start position
+                self._next = (batch_id + 1, base)
+                self.batches.append(batch_id)
+                return
+            if stats["parts"] > SLOT_BROADCAST_LIMIT:
+                plan = plan_copy_batch(df, o.destination_partitions, self._start, o.reject_when,
+                                       o.preserve_nulls, base, at, broadcast_slots=False)
             records = fan_out(plan.records, o.producer_concurrency)
             if o.destination_format == "file":
                 write_log_batch(records, o.destination, self.group, self.generation, batch_id, o.compression)
             else:
                 write_kafka_batch(records, o)
             self._after_sink(batch_id)
-            if o.quarantine and o.reject_when is not None:
+            if o.quarantine and o.reject_when is not None and stats["rejected"]:
                 write_table_batch(plan.rejected, self.path("quarantine"), self.group, self.generation, batch_id)
             audit = plan.audit.withColumn("run_id", F.lit(self.run_id))
             write_table_batch(audit, self.path("audit"), self.group, self.generation, batch_id)
             commits = plan.commits.withColumn("generation", F.lit(self.generation))
             write_table_batch(commits, self.path("commits"), self.group, self.generation, batch_id)
-            # Two numbers come back to the driver: rejects and the slot end.
-            mine_path = f"{self.path('audit')}/group={self.group}/generation={self.generation}/batch_id={batch_id}"
-            if not fs.exists(self.spark, mine_path):  # nothing at or after the start position
-                self._next = (batch_id + 1, base)
-                self.batches.append(batch_id)
-                return
-            mine = (self.spark.read.parquet(mine_path)
-                .agg(F.sum(F.when(F.col("client_type") == CONSUMER, F.col("rejected"))).alias("r"),
-                     F.max(F.when(F.col("client_type") == PRODUCER, F.col("until_offset"))).alias("u"))
-                .first())
-            self.rejected_total += int(mine["r"] or 0)
-            self._next = (batch_id + 1, int(mine["u"]) if mine["u"] is not None else base)
+            self.rejected_total += int(stats["rejected"] or 0)
+            self._next = (batch_id + 1, base + int(stats["width"] or 0))
             self.batches.append(batch_id)
             if o.metrics_path:
                 from spillway.streaming.metric_sink import write_batch_points
                 write_batch_points(self.spark, audit, o, self.generation, batch_id)
         finally:
+            if ranges is not None:
+                ranges.unpersist()
             df.unpersist()
 
     def _after_sink(self, batch_id: int) -> None:
