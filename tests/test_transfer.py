@@ -172,3 +172,30 @@ def test_preserve_nulls_keeps_tombstones(spark, scratch):
     run_transfer(spark, _opts(scratch, start_at="earliest", preserve_nulls=True))
     out = _sent(spark, scratch).collect()
     assert len(out) == 3 and all(r.value is None and r.key is None for r in out)
+
+
+def test_frozen_start_is_not_recomputed_after_a_crash(spark, scratch):
+    """A crash after the start snapshot is frozen and before any batch: records
+    that arrive meanwhile must still be copied on restart."""
+    _append(spark, f"{scratch}/src", 0, _rows(0, 0, 6))
+    t = Transfer(spark, _opts(scratch))
+    t._freeze_start()  # the process dies here
+    new = _rows(0, 6, 4)
+    _append(spark, f"{scratch}/src", 1, new)
+    run_transfer(spark, _opts(scratch))
+    assert _multiset(_sent(spark, scratch)) == _expected(spark, new)
+
+
+def test_interval_trigger_runs_until_stopped(spark, scratch):
+    """A copy on the flush-interval trigger keeps running; stop() ends it."""
+    _append(spark, f"{scratch}/src", 0, _rows(0, 0, 5))
+    t = Transfer(spark, _opts(scratch, start_at="earliest", flush_interval_ms=200))
+    q = t.start()
+    q.processAllAvailable()
+    more = _rows(0, 5, 5)
+    _append(spark, f"{scratch}/src", 1, more)
+    q.processAllAvailable()
+    assert q.isActive
+    t.stop()
+    assert not q.isActive
+    assert _multiset(_sent(spark, scratch)) == _expected(spark, _rows(0, 0, 10))
