@@ -172,15 +172,15 @@ def q_commit_position(spark, sf_dir):
 
 
 def _stream_copy(spark, sf_dir, name: str, read_limit: int | None) -> DataFrame:
-    from spillway.streaming.transfer import run_transfer
+    from spillway.streaming.transfer import run_transfers
     root = _scratch(spark, name)
     log = _log(spark, sf_dir)
     write_topic_log(log, f"{root}/source")
-    topics = [r.topic for r in log.select("topic").distinct().collect()]  # a handful of names
-    for t in topics:
-        run_transfer(spark, TransferOptions(topic=t, source=f"{root}/source", destination=f"{root}/dest",
-                                            state_path=f"{root}/state", start_at="earliest",
-                                            read_limit=read_limit))
+    # Topic discovery (names only, as a broker's topic list): one copy per topic.
+    topics = [r.topic for r in read_file_log(spark, f"{root}/source").select("topic").distinct().collect()]
+    run_transfers(spark, [TransferOptions(topic=t, source=f"{root}/source", destination=f"{root}/dest",
+                                          state_path=f"{root}/state", start_at="earliest",
+                                          read_limit=read_limit) for t in topics])
     return _show(read_file_log(spark, f"{root}/dest"), "topic", "partition", "key", "value")
 
 

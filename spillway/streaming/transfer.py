@@ -48,6 +48,11 @@ from spillway.sources.topic_log import read_file_log, topic_source
 from spillway.streaming import fs
 
 
+# Start snapshots up to this many partitions become an exact per-partition
+# scan predicate; larger ones a single minimum (see `_start_predicate`).
+EXACT_START_PARTITIONS = 256
+
+
 class Transfer:
     """One copy of one topic.  `start()` returns the running StreamingQuery."""
 
@@ -61,6 +66,7 @@ class Transfer:
         self.batches: list[int] = []
         self.generation = self._pick_generation()
         self._start: DataFrame | None = None
+        self._scan_filter = None
         self._next: tuple[int, int] | None = None  # (next batch id, destination base)
         self.query: StreamingQuery | None = None
 
@@ -97,6 +103,31 @@ class Transfer:
             seeds = seed_rows(self.spark.read.parquet(self.start_path), self.group, self.generation)
             write_table_batch(seeds, self.path("commits"), self.group, self.generation, -1)
         self._start = self.spark.read.parquet(self.start_path)
+        self._scan_filter = self._start_predicate()
+
+    def _start_predicate(self):
+        """A constant predicate implied by the frozen start, for the parquet
+        scan: row groups wholly before the start are skipped by their footer
+        statistics instead of being read and dropped by the join.  The snapshot
+        has one row per partition (bounded by the partition count); up to
+        `EXACT_START_PARTITIONS` partitions the predicate is exact per
+        partition, above that it is the minimum start.  Partitions not in the
+        snapshot (created later) start at 0.  The exact filter stays the join."""
+        snap = self._start.agg(F.count(F.lit(1)).alias("n"), F.min("start_offset").alias("lo")).first()
+        if not snap["n"]:
+            return None
+        parts = [(r.partition, r.start_offset) for r in self._start.collect()] \
+            if snap["n"] <= EXACT_START_PARTITIONS else None
+        known = F.col("partition").isin([p for p, _ in parts]) if parts else None
+        if parts:
+            exact = None
+            for p, s0 in parts:
+                term = (F.col("partition") == F.lit(p)) & (F.col("offset") >= F.lit(s0))
+                exact = term if exact is None else (exact | term)
+            return exact | ~known
+        listed = self._start.select("partition").distinct()
+        return (F.col("offset") >= F.lit(int(snap["lo"]))) | ~F.col("partition").isin(
+            [r.partition for r in listed.collect()])
 
     # ---- destination base ------------------------------------------------
     def _destination_base(self, batch_id: int) -> int:
@@ -108,6 +139,12 @@ class Transfer:
         audit_path = self.path("audit")
         if not fs.exists(self.spark, f"{audit_path}/group={self.group}"):
             return self._existing_destination_end()
+        prev = f"{audit_path}/group={self.group}/generation={self.generation}/batch_id={batch_id - 1}"
+        if batch_id > 0 and fs.exists(self.spark, prev):  # offsets only grow: the last batch holds the max
+            got = (self.spark.read.parquet(prev).where(F.col("client_type") == PRODUCER)
+                   .agg(F.max("until_offset")).first()[0])
+            if got is not None:
+                return int(got)
         a = (self.spark.read.schema(_AUDIT_FILE).parquet(audit_path)
              .where((F.col("group") == self.group) & (F.col("client_type") == PRODUCER))
              .where((F.col("generation") < self.generation)
@@ -182,6 +219,8 @@ class Transfer:
         and stop) or "once"."""
         self._freeze_start()
         stream = topic_source(self.spark, self.opts, stream=True)
+        if self._scan_filter is not None:
+            stream = stream.where(self._scan_filter)
         w = stream.writeStream.queryName(f"copy_{self.group}_{self.generation}") \
             .option("checkpointLocation", self.checkpoint).foreachBatch(self._batch)
         if trigger == "available_now":
@@ -232,3 +271,21 @@ def run_transfer(spark: SparkSession, opts: TransferOptions, trigger: str = "ava
     t.start(trigger)
     t.finish()
     return t
+
+
+def run_transfers(spark: SparkSession, opts: list[TransferOptions],
+                  trigger: str = "available_now") -> list[Transfer]:
+    """Several copies (one topic each, as the reference runs one topic per
+    process) as concurrent streaming queries of one session; waits for all."""
+    ts = [Transfer(spark, o) for o in opts]
+    for t in ts:
+        t.start(trigger)
+    errors = []
+    for t in ts:
+        try:
+            t.finish()
+        except Exception as e:  # finish the others, then report
+            errors.append(e)
+    if errors:
+        raise errors[0]
+    return ts
