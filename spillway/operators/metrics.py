@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,9 +61,13 @@ def densify(counts: DataFrame, keys: Sequence[str], seconds: int) -> DataFrame:
     """(keys, _bucket, records) -> the same with every bucket of the span.
 
     Union with the zero grid and one aggregate: a single exchange, where a
-    left join would shuffle both sides."""
-    return (counts.select(*keys, "_bucket", "records")
-            .unionByName(_grid(counts, keys, seconds))
+    left join would shuffle both sides.  `counts` feeds the span, the series
+    list and the union; each use prunes different columns, so Spark cannot
+    share one exchange between them.  The counts (one row per series and
+    bucket, not per record) are therefore persisted once and read four times;
+    a lost block is recomputed from lineage."""
+    counts = counts.select(*keys, "_bucket", "records").persist(StorageLevel.MEMORY_AND_DISK)
+    return (counts.unionByName(_grid(counts, keys, seconds))
             .groupBy(*keys, "_bucket").agg(F.sum("records").alias("records")))
 
 
