@@ -53,3 +53,11 @@ def test_validation():
 def test_repr_hides_extra_options():
     o = _o(extra_sink_options=(("kafka.sasl.jaas.config", "secret"),))
     assert "secret" not in repr(o)
+
+
+def test_command_line_maps_to_options():
+    from spillway.__main__ import parse
+    o, trig = parse(["--topic", "t", "--source", "/a", "--destination", "/b", "--reset-offset",
+                     "--max-errors", "3", "--flush-interval", "500", "--trigger", "available_now"])
+    assert (o.topic, o.reset, o.max_errors, o.flush_interval_ms, trig) == ("t", True, 3, 500, "available_now")
+    assert o.group == "t_firehose"
