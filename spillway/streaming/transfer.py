@@ -56,8 +56,6 @@ EXACT_START_PARTITIONS = 256
 class Transfer:
     """One copy of one topic.  `start()` returns the running StreamingQuery."""
 
-    persist_file_batches = False
-
     def __init__(self, spark: SparkSession, opts: TransferOptions):
         self.spark = spark
         self.opts = opts
@@ -168,12 +166,7 @@ class Transfer:
             raise BudgetExceeded(
                 f"{self.rejected_total} failed records in run {self.run_id} > max_errors={o.max_errors}")
         at = F.lit(_dt.datetime.now(_dt.timezone.utc)).cast("timestamp")
-        # A file-log batch is re-read cheaply (later passes prune to the
-        # partition/offset/value columns), so only a Kafka batch, whose re-read
-        # would fetch every byte from the brokers again, is persisted.
-        persist_input = o.source_format == "kafka" or self.persist_file_batches
-        if persist_input:
-            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
         ranges = None
         try:
             base = self._destination_base(batch_id)
@@ -214,8 +207,7 @@ class Transfer:
         finally:
             if ranges is not None:
                 ranges.unpersist()
-            if persist_input:
-                df.unpersist()
+            df.unpersist()
 
     def _after_sink(self, batch_id: int) -> None:
         """Called between the sink write and the commits; a failure here is
