@@ -166,6 +166,9 @@ class Transfer:
             raise BudgetExceeded(
                 f"{self.rejected_total} failed records in run {self.run_id} > max_errors={o.max_errors}")
         at = F.lit(_dt.datetime.now(_dt.timezone.utc)).cast("timestamp")
+        # The batch feeds four writes: cache it once, so the source is read
+        # once per batch (and progress reports count each record once).  A
+        # backfill bounds what is cached per batch with `read_limit`.
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         ranges = None
         try:
