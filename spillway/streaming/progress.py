@@ -16,9 +16,12 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+# Name of the observation the copy attaches to its stream (see transfer.py).
+OBSERVATION = "copy"
+
 # Gauges taken from each progress report (integers, as point fields are).
 PROGRESS_GAUGES = ("num_input_rows", "input_rows_per_second", "processed_rows_per_second",
-                   "trigger_ms", "add_batch_ms")
+                   "trigger_ms", "add_batch_ms", "observed_records", "observed_bytes")
 
 
 def _ts(s: str) -> _dt.datetime:
@@ -27,16 +30,17 @@ def _ts(s: str) -> _dt.datetime:
 
 def progress_gauges(spark: SparkSession, query: StreamingQuery, host: str) -> DataFrame:
     rows = []
-    for p in query.recentProgress:
-        d = p if isinstance(p, dict) else p.json if hasattr(p, "json") else p
-        d = d if isinstance(d, dict) else __import__("json").loads(d)
+    for d in query.recentProgress:  # StreamingQueryProgress is a dict
         dur = d.get("durationMs", {}) or {}
+        seen = (d.get("observedMetrics", {}) or {}).get(OBSERVATION) or {}
+        seen = seen.asDict() if hasattr(seen, "asDict") else seen
         rows.append((host, _ts(d["timestamp"]), int(d["batchId"]),
                      int(d.get("numInputRows", 0) or 0),
                      int(round(d.get("inputRowsPerSecond", 0.0) or 0.0)),
                      int(round(d.get("processedRowsPerSecond", 0.0) or 0.0)),
                      int(dur.get("triggerExecution", 0) or 0),
-                     int(dur.get("addBatch", 0) or 0)))
+                     int(dur.get("addBatch", 0) or 0),
+                     int(seen.get("records", 0) or 0), int(seen.get("bytes", 0) or 0)))
     schema = ("host string, at timestamp, batch_id long, " +
               ", ".join(f"{g} long" for g in PROGRESS_GAUGES))
     return spark.createDataFrame(rows, schema)

@@ -46,6 +46,7 @@ from spillway.session import under_state
 from spillway.sinks.file_log import write_kafka_batch, write_log_batch, write_table_batch
 from spillway.sources.topic_log import read_file_log, topic_source
 from spillway.streaming import fs
+from spillway.streaming.progress import OBSERVATION
 
 
 # Start snapshots up to this many partitions become an exact per-partition
@@ -224,6 +225,10 @@ class Transfer:
         stream = topic_source(self.spark, self.opts, stream=True)
         if self._scan_filter is not None:
             stream = stream.where(self._scan_filter)
+        # M1's live value: records and payload bytes read, per batch, in the
+        # query's progress (computed while the batch is read; no extra pass).
+        stream = stream.observe(OBSERVATION, F.count(F.lit(1)).alias("records"),
+                                F.coalesce(F.sum(F.length("value")), F.lit(0)).alias("bytes"))
         w = stream.writeStream.queryName(f"copy_{self.group}_{self.generation}") \
             .option("checkpointLocation", self.checkpoint).foreachBatch(self._batch)
         if trigger == "available_now":

@@ -51,6 +51,8 @@ def test_progress_gauges_feed_system_points(spark, scratch):
     t.finish()
     g = progress_gauges(spark, q, "h")
     assert g.agg(F.sum("num_input_rows")).first()[0] == 40
+    assert g.agg(F.sum("observed_records")).first()[0] == 40
+    assert g.agg(F.sum("observed_bytes")).first()[0] == sum(len(f"v{o}") for o in range(40))
     sampled = metrics.gauge_sample(g, ["host"], list(PROGRESS_GAUGES), "at", "batch_id", 60)
     p = points.system_points(sampled, "h", PROGRESS_GAUGES).first()
     assert p.measurement == "system_stats" and set(p.fields) == set(PROGRESS_GAUGES)
