@@ -36,13 +36,13 @@ def main() -> None:
                           extra={"spark.ui.showConsoleProgress": "false",
                                  "spark.sql.files.maxPartitionBytes": str(64 << 20)})
 
-    from pyspark.sql import functions as F
 
     from spillway.operators import metrics, positions
     from spillway.options import TransferOptions
     from spillway.plans import catalog
-    from spillway.plans.copy import plan_copy_batch
-    from spillway.sinks.file_log import write_log_batch, write_table_batch, write_topic_log
+    from spillway.functions import group_name
+    from spillway.plans.copy import plan_copy_batch, write_copy_batch
+    from spillway.sinks.file_log import write_topic_log
     from spillway.sources import fixtures as fx
     from spillway.sources.topic_log import read_file_log
     from spillway.streaming.transfer import run_transfer
@@ -71,9 +71,7 @@ def main() -> None:
 
     def batch_copy(src, dst):
         plan = plan_copy_batch(read_file_log(spark, src), fx.FIXTURE_PARTITIONS, reject_when=fx.REJECT_WHEN)
-        write_log_batch(plan.records, dst, "bench", 0, 0)
-        write_table_batch(plan.audit, f"{dst}_audit", "bench", 0, 0)
-        write_table_batch(plan.commits, f"{dst}_commits", "bench", 0, 0)
+        write_copy_batch(plan, dst, f"{dst}_state", group_name("topic", fx.FIXTURE_SUFFIX), 0, 0)
 
     timed("copy_events_batch", lambda: batch_copy(ev_log, f"{root}/events_copy"))
     timed("copy_lineitem_batch", lambda: batch_copy(li_log, f"{root}/lineitem_copy"))

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import dataclasses
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,3 +99,19 @@ def plan_copy_batch(log: DataFrame, partitions: int, start: DataFrame | None = N
     audit = consumer.unionByName(producer).withColumn("at", at)
     commits = ranges.select("topic", "partition", F.col("until_offset").alias("next_offset"), at.alias("at"))
     return CopyBatch(records, rejected, audit, commits, ranges)
+
+
+def write_copy_batch(plan: CopyBatch, destination: str, state: str, group: str | Column,
+                     generation: int, batch_id: int, compression: str = "gzip") -> None:
+    """Write a planned batch: records to the destination file log, then
+    quarantine, audit and commits under `state`.  The range table (one row per
+    source partition) feeds all four, so it is cached for the duration."""
+    from spillway.sinks.file_log import write_log_batch, write_table_batch
+    ranges = plan.ranges.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_log_batch(plan.records, destination, group, generation, batch_id, compression)
+        write_table_batch(plan.rejected, f"{state}/quarantine", group, generation, batch_id)
+        write_table_batch(plan.audit, f"{state}/audit", group, generation, batch_id)
+        write_table_batch(plan.commits, f"{state}/commits", group, generation, batch_id)
+    finally:
+        ranges.unpersist()

@@ -16,8 +16,9 @@ from spillway.options import TransferOptions
 WRITER_COLUMNS = ("group", "generation", "batch_id")
 
 
-def _tag(df: DataFrame, group: str, generation: int, batch_id: int) -> DataFrame:
-    return (df.withColumn("group", F.lit(group))
+def _tag(df: DataFrame, group: str | Column, generation: int, batch_id: int) -> DataFrame:
+    """Writer columns; `group` may be a column (one group per topic)."""
+    return (df.withColumn("group", group if isinstance(group, Column) else F.lit(group))
               .withColumn("generation", F.lit(generation).cast("int"))
               .withColumn("batch_id", F.lit(batch_id).cast("long")))
 
@@ -32,7 +33,7 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str],
        .parquet(path))
 
 
-def write_log_batch(records: DataFrame, root: str, group: str, generation: int, batch_id: int,
+def write_log_batch(records: DataFrame, root: str, group: str | Column, generation: int, batch_id: int,
                     compression: str = "gzip") -> None:
     """Append one batch of log records (topic, partition, offset, key, value,
     timestamp) to a file log.  Rows are sorted by (partition, offset) inside
@@ -49,7 +50,7 @@ def write_topic_log(log: DataFrame, root: str, group: str = "seed", generation:
     write_log_batch(log, root, group, generation, batch_id, compression)
 
 
-def write_table_batch(rows: DataFrame, root: str, group: str, generation: int,
+def write_table_batch(rows: DataFrame, root: str, group: str | Column, generation: int,
                       batch_id: int) -> None:
     """Append one batch of an engine table (audit, commits, quarantine)."""
     write_partitioned(_tag(rows.drop(*WRITER_COLUMNS), group, generation, batch_id),
