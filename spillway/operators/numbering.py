@@ -14,6 +14,11 @@ column first:
    (a window over the small slice table: one row per slice, not per record);
 4. the bases are joined back on (group, range).  The numbered side already has
    that partitioning, so only the small side moves (or is broadcast by AQE).
+
+Per-task work is bounded: the numbering window sorts at most `slice_width`
+rows (order values are unique within a group), and the base window of one group
+holds at most (order range of the group / slice_width) rows - a few thousand for
+offsets or event ids of a trillion-row log.  Nothing else is per group.
 """
 
 from __future__ import annotations

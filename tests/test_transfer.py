@@ -199,3 +199,21 @@ def test_interval_trigger_runs_until_stopped(spark, scratch):
     t.stop()
     assert not q.isActive
     assert _multiset(_sent(spark, scratch)) == _expected(spark, _rows(0, 0, 10))
+
+
+def test_bounded_copy_writes_records_audit_commits_and_quarantine(spark, scratch):
+    from spillway.functions import group_name
+    from spillway.plans.copy import write_copy_batch
+    rows = _rows(0, 0, 12, topic="a", value=lambda o: b"x" * (o % 12)) + _rows(1, 0, 5, topic="b")
+    plan = plan_copy_batch(make_log(spark, rows), 4, reject_when="length(value) > 8")
+    write_copy_batch(plan, f"{scratch}/dst", f"{scratch}/state", group_name("topic", "s"), 0, 0)
+    sent = read_file_log(spark, f"{scratch}/dst")
+    assert sent.count() == 17 - 3  # values of length 9, 10, 11 are rejected
+    audit = spark.read.parquet(f"{scratch}/state/audit")
+    got = {(r.group, r.client_type): (r.n, r.r) for r in
+           audit.groupBy("group", "client_type").agg(F.sum("n").alias("n"), F.sum("rejected").alias("r")).collect()}
+    assert got == {("a_s", "consumer"): (12, 3), ("a_s", "producer"): (9, 0),
+                   ("b_s", "consumer"): (5, 0), ("b_s", "producer"): (5, 0)}
+    commits = {(r.group, r.partition): r.next_offset for r in spark.read.parquet(f"{scratch}/state/commits").collect()}
+    assert commits == {("a_s", 0): 12, ("b_s", 1): 5}
+    assert spark.read.parquet(f"{scratch}/state/quarantine").count() == 3
