@@ -17,8 +17,8 @@ column first:
 
 Per-task work is bounded: the numbering window sorts at most `slice_width`
 rows (order values are unique within a group), and the base window of one group
-holds at most (order range of the group / slice_width) rows - a few thousand for
-offsets or event ids of a trillion-row log.  Nothing else is per group.
+holds at most (order range of the group / slice_width) narrow rows - about a million for
+dense offsets or event ids of a trillion-row log.  Nothing else is per group.
 """
 
 from __future__ import annotations
