@@ -41,7 +41,7 @@ from spillway.operators.positions import as_start, newest_offsets, seed_rows
 from spillway.operators.records import fan_out
 from spillway.options import TransferOptions
 from spillway.plans.copy import SLOT_BROADCAST_LIMIT, plan_copy_batch
-from spillway.schema import AUDIT, CONSUMER, PRODUCER
+from spillway.schema import AUDIT, PRODUCER
 from spillway.session import under_state
 from spillway.sinks.file_log import write_kafka_batch, write_log_batch, write_table_batch
 from spillway.sources.topic_log import read_file_log, topic_source
@@ -146,7 +146,7 @@ class Transfer:
                    .agg(F.max("until_offset")).first()[0])
             if got is not None:
                 return int(got)
-        a = (self.spark.read.schema(_AUDIT_FILE).parquet(audit_path)
+        a = (self.spark.read.schema(AUDIT).parquet(audit_path)
              .where((F.col("group") == self.group) & (F.col("client_type") == PRODUCER))
              .where((F.col("generation") < self.generation)
                     | ((F.col("generation") == self.generation) & (F.col("batch_id") < batch_id))))
@@ -255,19 +255,15 @@ class Transfer:
 
     # ---- tables ----------------------------------------------------------
     def audit(self) -> DataFrame:
-        return self.spark.read.schema(_AUDIT_FILE).parquet(self.path("audit")).where(F.col("group") == self.group)
+        return self.spark.read.schema(AUDIT).parquet(self.path("audit")).where(F.col("group") == self.group)
 
     def commits(self) -> DataFrame:
-        from spillway.sinks.file_log import WRITER_COLUMNS  # noqa: F401
         return read_commits(self.spark, self.path("commits")).where(F.col("group") == self.group)
 
     def quarantined(self) -> DataFrame:
         return self.spark.read.parquet(self.path("quarantine")).where(F.col("group") == self.group)
 
 
-_AUDIT_FILE = AUDIT
-
-
 def read_commits(spark: SparkSession, path: str) -> DataFrame:
     from spillway.schema import COMMITS
     return spark.read.schema(COMMITS).parquet(path)
