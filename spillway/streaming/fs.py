@@ -28,3 +28,8 @@ def child_values(spark: SparkSession, path: str, key: str) -> list[str]:
         if st.isDirectory() and name.startswith(key + "="):
             out.append(name[len(key) + 1:])
     return out
+
+
+def mkdirs(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)

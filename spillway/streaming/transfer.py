@@ -98,8 +98,10 @@ class Transfer:
             return
         marker = f"{self.start_path}/_SUCCESS"
         if not fs.exists(self.spark, marker):
-            log = read_file_log(self.spark, self.opts.source, self.opts.topic)
-            snap = as_start(newest_offsets(log))
+            if fs.exists(self.spark, f"{self.opts.source.rstrip('/')}/topic={self.opts.topic}"):
+                snap = as_start(newest_offsets(read_file_log(self.spark, self.opts.source, self.opts.topic)))
+            else:  # the topic has no records yet: every partition starts at 0
+                snap = self.spark.createDataFrame([], "topic string, partition int, start_offset long")
             snap.write.mode("overwrite").parquet(self.start_path)
             seeds = seed_rows(self.spark.read.parquet(self.start_path), self.group, self.generation)
             write_table_batch(seeds, self.path("commits"), self.group, self.generation, -1)
@@ -221,6 +223,10 @@ class Transfer:
     def start(self, trigger: str = "interval") -> StreamingQuery:
         """trigger: "interval" (every flush interval), "available_now" (drain
         and stop) or "once"."""
+        if self.opts.source_format == "file":
+            # A topic with no records yet is an empty folder (as a created,
+            # empty Kafka topic): the stream then picks files up as they come.
+            fs.mkdirs(self.spark, f"{self.opts.source.rstrip('/')}/topic={self.opts.topic}")
         self._freeze_start()
         stream = topic_source(self.spark, self.opts, stream=True)
         if self._scan_filter is not None:

@@ -217,3 +217,14 @@ def test_bounded_copy_writes_records_audit_commits_and_quarantine(spark, scratch
     commits = {(r.group, r.partition): r.next_offset for r in spark.read.parquet(f"{scratch}/state/commits").collect()}
     assert commits == {("a_s", 0): 12, ("b_s", 1): 5}
     assert spark.read.parquet(f"{scratch}/state/quarantine").count() == 3
+
+
+def test_copy_started_before_the_topic_has_records(spark, scratch):
+    """A new topic starts at offset 0: everything written after the copy starts
+    is copied."""
+    t = run_transfer(spark, _opts(scratch))
+    assert t.batches == []
+    rows = _rows(0, 0, 7) + _rows(3, 0, 2)
+    _append(spark, f"{scratch}/src", 0, rows)
+    run_transfer(spark, _opts(scratch))
+    assert _multiset(_sent(spark, scratch)) == _expected(spark, rows)
