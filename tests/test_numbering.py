@@ -26,3 +26,20 @@ def test_hot_group_is_split_over_slices(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "_slice" in plan  # the window is partitioned by (group, slice)
     assert sorted(r.pos for r in out.collect()) == list(range(5000))
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 10_000)), min_size=1, max_size=300,
+                     unique_by=lambda r: r), width=st.integers(1, 500))
+def test_positions_for_any_layout_and_slice_width(spark, rows, width):
+    df = spark.createDataFrame(rows, "g string, seq long")
+    got = {(r.g, r.seq): r.pos for r in sequence_within(df, ["g"], "seq", "pos", slice_width=width).collect()}
+    expect = {}
+    for g in {g for g, _ in rows}:
+        for i, s in enumerate(sorted(s for gg, s in rows if gg == g)):
+            expect[(g, s)] = i
+    assert got == expect
