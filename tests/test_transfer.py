@@ -228,3 +228,18 @@ def test_copy_started_before_the_topic_has_records(spark, scratch):
     _append(spark, f"{scratch}/src", 0, rows)
     run_transfer(spark, _opts(scratch))
     assert _multiset(_sent(spark, scratch)) == _expected(spark, rows)
+
+
+def test_a_destination_log_is_a_valid_source(spark, scratch):
+    """Chained copies A -> B -> C: the destination's layout and offsets make it
+    a topic log another copy can read."""
+    rows = _rows(0, 0, 20) + _rows(1, 0, 13) + _rows(2, 0, 4)
+    _append(spark, f"{scratch}/src", 0, rows)
+    run_transfer(spark, _opts(scratch, start_at="earliest"))
+    hop = TransferOptions(topic="t", source=f"{scratch}/dst", destination=f"{scratch}/dst2",
+                          state_path=f"{scratch}/state2", destination_partitions=3, start_at="earliest",
+                          group_suffix="hop")
+    run_transfer(spark, hop)
+    assert _multiset(read_file_log(spark, f"{scratch}/dst2", "t")) == _expected(spark, rows)
+    b = read_file_log(spark, f"{scratch}/dst", "t")
+    assert b.select("partition", "offset").distinct().count() == b.count()
