@@ -9,6 +9,7 @@ itself is `spillway.streaming.transfer.Transfer`.  Credentials are never printed
 from __future__ import annotations
 
 import argparse
+import signal
 import sys
 
 from spillway.options import (DEFAULT_FLUSH_INTERVAL_MS, DEFAULT_GROUP_SUFFIX, DEFAULT_MAX_ERRORS,
@@ -56,10 +57,12 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"spillway-{opts.group}").getOrCreate()
     t = Transfer(spark, opts)
     t.start(trigger)
-    try:
-        t.finish()
-    except KeyboardInterrupt:
-        t.stop()
+    # SIGINT / SIGTERM stop the query; a batch cut short is replayed from the
+    # checkpoint on the next start (nothing queued is lost, unlike a process
+    # that exits with records in memory).
+    for sig in (signal.SIGINT, signal.SIGTERM):
+        signal.signal(sig, lambda *_: t.stop())
+    t.finish()
     return 0
 
 
