@@ -41,7 +41,7 @@ def main() -> None:
     from spillway.options import TransferOptions
     from spillway.plans import catalog
     from spillway.functions import group_name
-    from spillway.plans.copy import plan_copy_batch, write_copy_batch
+    from spillway.plans.copy import copy_bounded
     from spillway.sinks.file_log import write_topic_log
     from spillway.sources import fixtures as fx
     from spillway.sources.topic_log import read_file_log
@@ -76,8 +76,8 @@ def main() -> None:
     rows["lineitem"] = read_file_log(spark, li_log).count()
 
     def batch_copy(src, dst):
-        plan = plan_copy_batch(read_file_log(spark, src), fx.FIXTURE_PARTITIONS, reject_when=fx.REJECT_WHEN)
-        write_copy_batch(plan, dst, f"{dst}_state", group_name("topic", fx.FIXTURE_SUFFIX), 0, 0)
+        copy_bounded(read_file_log(spark, src), fx.FIXTURE_PARTITIONS, dst, f"{dst}_state",
+                     group_name("topic", fx.FIXTURE_SUFFIX), reject_when=fx.REJECT_WHEN)
 
     timed("copy_events_batch", lambda i: batch_copy(ev_log, f"{root}/events_copy{i}"))
     timed("copy_lineitem_batch", lambda i: batch_copy(li_log, f"{root}/lineitem_copy{i}"))

@@ -53,8 +53,9 @@ def main(argv: list[str] | None = None) -> int:
     opts, trigger = parse(sys.argv[1:] if argv is None else argv)
     from pyspark.sql import SparkSession
 
+    from spillway.session import configure
     from spillway.streaming.transfer import Transfer
-    spark = SparkSession.builder.appName(f"spillway-{opts.group}").getOrCreate()
+    spark = configure(SparkSession.builder.appName(f"spillway-{opts.group}")).getOrCreate()
     t = Transfer(spark, opts)
     t.start(trigger)
     # SIGINT / SIGTERM stop the query; a batch cut short is replayed from the

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import dataclasses
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,30 +43,38 @@ class CopyBatch:
 SLOT_BROADCAST_LIMIT = 100_000
 
 
+def plan_ranges(src: DataFrame, partitions: int) -> DataFrame:
+    """Per source partition of a batch: offset range, counts, slot span and
+    slot start.  One row per (topic, partition) present."""
+    ranges = (src.groupBy("topic", "partition")
+              .agg(F.min("offset").alias("from_offset"),
+                   (F.max("offset") + 1).alias("until_offset"),
+                   F.count(F.lit(1)).alias("n"),
+                   F.sum(F.col("_rejected").cast("long")).alias("rejected"))
+              .withColumn("_span", F.ceil((F.col("until_offset") - F.col("from_offset")) / F.lit(partitions))
+                          .cast("long")))
+    before = Window.partitionBy("topic").orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)
+    return ranges.withColumn("_slot", F.coalesce(F.sum("_span").over(before), F.lit(0)).cast("long"))
+
+
 def plan_copy_batch(log: DataFrame, partitions: int, start: DataFrame | None = None,
                     reject_when: str | Column | None = None, preserve_nulls: bool = False,
                     base: int | Column = 0, at: Column | None = None,
-                    broadcast_slots: bool = True) -> CopyBatch:
+                    broadcast_slots: bool = True, ranges: DataFrame | None = None) -> CopyBatch:
     """Plan one batch over `log` (TOPIC_LOG rows, any number of topics).
 
     `base`: the destination's next free offset for these topics (same for
     every destination partition, see the module doc).  `at`: batch time.
     `broadcast_slots`: broadcast the per-partition slot table (callers that
-    counted it pass False above `SLOT_BROADCAST_LIMIT`).
+    counted it pass False above `SLOT_BROADCAST_LIMIT`).  `ranges`: the range
+    table of this batch when the caller already has it (the stream holds it as
+    driver-side metadata, as Spark's Kafka source holds offset ranges).
     """
     at = F.current_timestamp() if at is None else at
     base_c = F.lit(base) if isinstance(base, int) else base
     src = apply_start(log, start).withColumn("_rejected", reject_flag(reject_when))
 
-    ranges = (src.groupBy("topic", "partition")
-              .agg(F.min("offset").alias("from_offset"),
-                   (F.max("offset") + 1).alias("until_offset"),
-                   F.count(F.lit(1)).alias("n"),
-                   F.sum(F.col("_rejected").cast("long")).alias("rejected"))
-              .withColumn("_span", F.ceil((F.col("until_offset") - F.col("from_offset")) / F.lit(partitions))
-                          .cast("long")))
-    before = Window.partitionBy("topic").orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.withColumn("_slot", F.coalesce(F.sum("_span").over(before), F.lit(0)).cast("long"))
+    ranges = plan_ranges(src, partitions) if ranges is None else ranges
     slots = ranges.select("topic", "partition", "from_offset", "_slot")
     slots = F.broadcast(slots) if broadcast_slots else slots
 
@@ -101,17 +108,29 @@ def plan_copy_batch(log: DataFrame, partitions: int, start: DataFrame | None = N
     return CopyBatch(records, rejected, audit, commits, ranges)
 
 
-def write_copy_batch(plan: CopyBatch, destination: str, state: str, group: str | Column,
-                     generation: int, batch_id: int, compression: str = "gzip") -> None:
-    """Write a planned batch: records to the destination file log, then
-    quarantine, audit and commits under `state`.  The range table (one row per
-    source partition) feeds all four, so it is cached for the duration."""
+def copy_bounded(log: DataFrame, partitions: int, destination: str, state: str, group: str | Column,
+                 generation: int = 0, batch_id: int = 0, start: DataFrame | None = None,
+                 reject_when: str | Column | None = None, preserve_nulls: bool = False, base: int = 0,
+                 compression: str = "gzip") -> dict[str, int]:
+    """Copy a bounded slice of a log as one batch: records to the destination
+    file log, then quarantine, audit and commits under `state`.  The range
+    table (one row per source partition) is read once to the driver and shared
+    by the four writes as a local table.  Returns, per topic, the destination's
+    next free offset (`base` + the slots reserved)."""
     from spillway.sinks.file_log import write_log_batch, write_table_batch
-    ranges = plan.ranges.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_log_batch(plan.records, destination, group, generation, batch_id, compression)
+    planned = plan_copy_batch(log, partitions, start, reject_when, preserve_nulls, base)
+    rows = planned.ranges.collect()
+    if not rows:
+        return {}
+    local = log.sparkSession.createDataFrame(rows, planned.ranges.schema)
+    plan = plan_copy_batch(log, partitions, start, reject_when, preserve_nulls, base,
+                           broadcast_slots=len(rows) <= SLOT_BROADCAST_LIMIT, ranges=local)
+    write_log_batch(plan.records, destination, group, generation, batch_id, compression)
+    if any(r["rejected"] for r in rows):
         write_table_batch(plan.rejected, f"{state}/quarantine", group, generation, batch_id)
-        write_table_batch(plan.audit, f"{state}/audit", group, generation, batch_id)
-        write_table_batch(plan.commits, f"{state}/commits", group, generation, batch_id)
-    finally:
-        ranges.unpersist()
+    write_table_batch(plan.audit, f"{state}/audit", group, generation, batch_id)
+    write_table_batch(plan.commits, f"{state}/commits", group, generation, batch_id)
+    ends: dict[str, int] = {}
+    for r in rows:
+        ends[r["topic"]] = ends.get(r["topic"], base) + r["_span"]
+    return ends

@@ -25,9 +25,19 @@ SCALE_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.stateSchemaCheck": "true",
+    # Let AQE coalesce partitions inside cached plans too (small cached
+    # intermediates would otherwise run with the full shuffle partition count).
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
 }
 
 
+def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
+    """The engine's settings on a builder (no master: spark-submit gives it)."""
+    for k, v in SCALE_CONF.items():
+        builder = builder.config(k, v)
+    return builder.config("spark.ui.enabled", "false")
+
+
 def build_session(master: str = "local[*]", app: str = "spillway",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:

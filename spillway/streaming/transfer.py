@@ -173,25 +173,25 @@ class Transfer:
         # once per batch (and progress reports count each record once).  A
         # backfill bounds what is cached per batch with `read_limit`.
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        ranges = None
         try:
             base = self._destination_base(batch_id)
-            plan = plan_copy_batch(df, o.destination_partitions, self._start, o.reject_when,
-                                   o.preserve_nulls, base, at)
-            # The per-partition range table is small (one row per source
-            # partition) and feeds every write below: cache it, and take the
-            # three numbers the driver needs from it in one action.
-            ranges = plan.ranges.persist(StorageLevel.MEMORY_AND_DISK)
-            stats = ranges.agg(F.count(F.lit(1)).alias("parts"),
-                               F.sum("rejected").alias("rejected"),
-                               F.sum("_span").alias("width")).first()
-            if stats["parts"] == 0:  # nothing at or after the start position
+            # Per-partition offset ranges of the batch are metadata (one row per
+            # source partition, as Spark's Kafka source plans offset ranges on
+            # the driver): computed once, then a local table, so the writes
+            # below share it with no recomputation and no shuffle, and the
+            # slot broadcast is checked against its exact size.
+            planned = plan_copy_batch(df, o.destination_partitions, self._start, o.reject_when,
+                                      o.preserve_nulls, base, at)
+            rows = planned.ranges.collect()
+            if not rows:  # nothing at or after the start position
                 self._next = (batch_id + 1, base)
                 self.batches.append(batch_id)
                 return
-            if stats["parts"] > SLOT_BROADCAST_LIMIT:
-                plan = plan_copy_batch(df, o.destination_partitions, self._start, o.reject_when,
-                                       o.preserve_nulls, base, at, broadcast_slots=False)
+            local = self.spark.createDataFrame(rows, planned.ranges.schema)
+            plan = plan_copy_batch(df, o.destination_partitions, self._start, o.reject_when,
+                                   o.preserve_nulls, base, at,
+                                   broadcast_slots=len(rows) <= SLOT_BROADCAST_LIMIT, ranges=local)
+            stats = {"rejected": sum(r["rejected"] or 0 for r in rows), "width": sum(r["_span"] for r in rows)}
             records = fan_out(plan.records, o.producer_concurrency)
             if o.destination_format == "file":
                 write_log_batch(records, o.destination, self.group, self.generation, batch_id, o.compression)
@@ -211,8 +211,6 @@ class Transfer:
                 from spillway.streaming.metric_sink import write_batch_points
                 write_batch_points(self.spark, audit, o, self.generation, batch_id)
         finally:
-            if ranges is not None:
-                ranges.unpersist()
             df.unpersist()
 
     def _after_sink(self, batch_id: int) -> None:

@@ -203,10 +203,11 @@ def test_interval_trigger_runs_until_stopped(spark, scratch):
 
 def test_bounded_copy_writes_records_audit_commits_and_quarantine(spark, scratch):
     from spillway.functions import group_name
-    from spillway.plans.copy import write_copy_batch
+    from spillway.plans.copy import copy_bounded
     rows = _rows(0, 0, 12, topic="a", value=lambda o: b"x" * (o % 12)) + _rows(1, 0, 5, topic="b")
-    plan = plan_copy_batch(make_log(spark, rows), 4, reject_when="length(value) > 8")
-    write_copy_batch(plan, f"{scratch}/dst", f"{scratch}/state", group_name("topic", "s"), 0, 0)
+    end = copy_bounded(make_log(spark, rows), 4, f"{scratch}/dst", f"{scratch}/state", group_name("topic", "s"),
+                       reject_when="length(value) > 8")
+    assert end == {"a": 3, "b": 2}  # ceil(12 / 4) and ceil(5 / 4) slots per destination partition
     sent = read_file_log(spark, f"{scratch}/dst")
     assert sent.count() == 17 - 3  # values of length 9, 10, 11 are rejected
     audit = spark.read.parquet(f"{scratch}/state/audit")
