@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spillway.functions import null_to_empty
-from spillway.operators.positions import apply_start, partition_list
+from spillway.operators.positions import apply_start
 from spillway.operators.records import reject_flag
 from spillway.schema import CONSUMER, PRODUCER
 
@@ -90,19 +90,16 @@ def plan_copy_batch(log: DataFrame, partitions: int, start: DataFrame | None = N
         key.alias("key"), value.alias("value"), at.alias("timestamp"))
     rejected = src.where(F.col("_rejected")).select("topic", "partition", "offset", "key", "value", "timestamp")
 
+    # Audit rows come from the range table alone (no pass over the records):
+    # per source partition, what the consumer read, and what the producer sent
+    # (read - rejected) with the destination slot range those records went to.
     consumer = ranges.select("topic", "partition", F.lit(CONSUMER).alias("client_type"),
                              "n", "rejected", "from_offset", "until_offset")
-    width = ranges.groupBy("topic").agg(F.sum("_span").alias("_width"))
-    sent = (placed.where(~F.col("_rejected")).groupBy("topic", F.col("_dst").alias("partition"))
-            .agg(F.count(F.lit(1)).alias("n")))
-    producer = (partition_list(ranges, partitions)
-                .join(width, "topic")
-                .join(sent, ["topic", "partition"], "left")
-                .select("topic", "partition", F.lit(PRODUCER).alias("client_type"),
-                        F.coalesce("n", F.lit(0)).cast("long").alias("n"),
-                        F.lit(0).cast("long").alias("rejected"),
-                        base_c.cast("long").alias("from_offset"),
-                        (base_c + F.col("_width")).cast("long").alias("until_offset")))
+    producer = ranges.select("topic", "partition", F.lit(PRODUCER).alias("client_type"),
+                             (F.col("n") - F.coalesce("rejected", F.lit(0))).cast("long").alias("n"),
+                             F.lit(0).cast("long").alias("rejected"),
+                             (base_c + F.col("_slot")).cast("long").alias("from_offset"),
+                             (base_c + F.col("_slot") + F.col("_span")).cast("long").alias("until_offset"))
     audit = consumer.unionByName(producer).withColumn("at", at)
     commits = ranges.select("topic", "partition", F.col("until_offset").alias("next_offset"), at.alias("at"))
     return CopyBatch(records, rejected, audit, commits, ranges)
@@ -122,7 +119,7 @@ def copy_bounded(log: DataFrame, partitions: int, destination: str, state: str,
     rows = planned.ranges.collect()
     if not rows:
         return {}
-    local = log.sparkSession.createDataFrame(rows, planned.ranges.schema)
+    local = log.sparkSession.createDataFrame(rows, planned.ranges.schema, verifySchema=False)
     plan = plan_copy_batch(log, partitions, start, reject_when, preserve_nulls, base,
                            broadcast_slots=len(rows) <= SLOT_BROADCAST_LIMIT, ranges=local)
     write_log_batch(plan.records, destination, group, generation, batch_id, compression)

@@ -187,7 +187,7 @@ class Transfer:
                 self._next = (batch_id + 1, base)
                 self.batches.append(batch_id)
                 return
-            local = self.spark.createDataFrame(rows, planned.ranges.schema)
+            local = self.spark.createDataFrame(rows, planned.ranges.schema, verifySchema=False)
             plan = plan_copy_batch(df, o.destination_partitions, self._start, o.reject_when,
                                    o.preserve_nulls, base, at,
                                    broadcast_slots=len(rows) <= SLOT_BROADCAST_LIMIT, ranges=local)
