@@ -117,7 +117,7 @@ class Transfer:
         partition, above that it is the minimum start.  Partitions not in the
         snapshot (created later) start at 0.  The exact filter stays the join."""
         snap = self._start.agg(F.count(F.lit(1)).alias("n"), F.min("start_offset").alias("lo")).first()
-        if not snap["n"]:
+        if not snap["n"] or snap["n"] > SLOT_BROADCAST_LIMIT:  # none, or too many to list: join only
             return None
         parts = [(r.partition, r.start_offset) for r in self._start.collect()] \
             if snap["n"] <= EXACT_START_PARTITIONS else None
