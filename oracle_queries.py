@@ -7,6 +7,11 @@ given tables.  Column names equal the Spark query's.
 
 from __future__ import annotations
 
+from spillway.options import DEFAULT_GROUP_SUFFIX
+
+# Consumer groups are named <topic>_<suffix>.
+GROUP_SUFFIX = f"_{DEFAULT_GROUP_SUFFIX}"
+
 # The topic log derived from `events` (FIXTURES.md).
 LOG = """
 log AS (
@@ -24,9 +29,9 @@ snap AS (
   FROM log WHERE "timestamp" < TIMESTAMP '2024-01-20 00:00:00'
   GROUP BY topic, "partition")"""
 
-STORED = """
+STORED = f"""
 stored_rows AS (
-  SELECT topic || '_firehose' AS "group", CAST(0 AS INTEGER) AS generation, topic, "partition",
+  SELECT topic || '{GROUP_SUFFIX}' AS "group", CAST(0 AS INTEGER) AS generation, topic, "partition",
          CAST(dayofmonth("timestamp") - 1 AS BIGINT) AS batch_id, MAX("offset") + 1 AS next_offset
   FROM log WHERE "timestamp" < TIMESTAMP '2024-01-20 00:00:00'
   GROUP BY topic, "partition", dayofmonth("timestamp")),
@@ -41,9 +46,9 @@ parts AS (
 ends AS (
   SELECT topic, "partition", MAX("offset") + 1 AS newest_offset FROM log GROUP BY topic, "partition")"""
 
-LAG = """
+LAG = f"""
 lagrows AS (
-  SELECT p.topic || '_firehose' AS "group", p.topic, p."partition",
+  SELECT p.topic || '{GROUP_SUFFIX}' AS "group", p.topic, p."partition",
          CAST(COALESCE(c.next_offset, 0) AS BIGINT) AS current_offset,
          CAST(COALESCE(e.newest_offset, 0) AS BIGINT) AS newest_offset,
          CAST(COALESCE(e.newest_offset, 0) - COALESCE(c.next_offset, 0) AS BIGINT) AS lag,
@@ -145,7 +150,7 @@ SELECT topic, "key", "value" FROM log""",
 SELECT topic, COALESCE("key", '') AS "key", COALESCE("value", '') AS "value" FROM log""",
 
     "group_name": f"""WITH {LOG}
-SELECT DISTINCT topic, topic || '_firehose' AS "group" FROM log""",
+SELECT DISTINCT topic, topic || '{GROUP_SUFFIX}' AS "group" FROM log""",
 
     "truncate_time": f"""WITH {LOG}
 SELECT topic, "partition", "offset", date_trunc('second', "timestamp") AS "time" FROM log""",
@@ -179,10 +184,10 @@ after AS (
   SELECT l.topic, l."partition", MAX(l."offset") + 1 AS next_offset
   FROM log l LEFT JOIN snap s ON l.topic = s.topic AND l."partition" = s."partition"
   WHERE l."offset" >= COALESCE(s.start_offset, 0) GROUP BY l.topic, l."partition")
-SELECT topic || '_firehose' AS "group", topic, "partition", CAST(-1 AS BIGINT) AS batch_id,
+SELECT topic || '{GROUP_SUFFIX}' AS "group", topic, "partition", CAST(-1 AS BIGINT) AS batch_id,
        start_offset AS next_offset, CAST(0 AS INTEGER) AS generation FROM snap
 UNION ALL
-SELECT topic || '_firehose', topic, "partition", CAST(0 AS BIGINT), next_offset, CAST(0 AS INTEGER) FROM after""",
+SELECT topic || '{GROUP_SUFFIX}', topic, "partition", CAST(0 AS BIGINT), next_offset, CAST(0 AS INTEGER) FROM after""",
 
     "error_budget": """
 SELECT user_id, event_id, CAST(11 AS BIGINT) AS nth

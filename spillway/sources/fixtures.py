@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spillway.operators.numbering import sequence_within
+from spillway.options import DEFAULT_GROUP_SUFFIX
 
 # Fixed values of the fixture: the reference's trial topic has 24 partitions.
 FIXTURE_PARTITIONS = 24
-FIXTURE_SUFFIX = "firehose"
+FIXTURE_SUFFIX = DEFAULT_GROUP_SUFFIX  # the default consumer-group suffix
 # Stored positions / start snapshot: newest offset among records before this time.
 STORED_BEFORE = "2024-01-20 00:00:00"
 # Reset time used by the reset fixture: a later snapshot.

@@ -75,8 +75,8 @@ def test_partition_lag_and_total(spark):
     newest = spark.createDataFrame([("a", 0, 10), ("a", 1, 5), ("a", 2, 0)],
                                    "topic string, partition int, newest_offset long")
     committed = spark.createDataFrame([("a", 0, 7)], "topic string, partition int, next_offset long")
-    lag = metrics.partition_lag(newest, committed, "a_firehose")
+    lag = metrics.partition_lag(newest, committed, "a_g")
     got = {r.partition: (r.current_offset, r.lag, r.has_position) for r in lag.collect()}
     assert got == {0: (7, 3, True), 1: (0, 5, False), 2: (0, 0, False)}
     tot = metrics.total_lag(lag).first()
-    assert (tot.group, tot.total_lag, tot.partitions) == ("a_firehose", 8, 3)
+    assert (tot.group, tot.total_lag, tot.partitions) == ("a_g", 8, 3)

@@ -1,12 +1,12 @@
 import pytest
 
-from spillway.options import CLIENT_ID, TransferOptions
+from spillway.options import CLIENT_ID, DEFAULT_GROUP_SUFFIX, TransferOptions
 from spillway.sinks.file_log import kafka_sink_options
 from spillway.sources.topic_log import kafka_source_options
 
 
 def _o(**kw):
-    base = dict(topic="firehose", source="src:9092", destination="dst:9092",
+    base = dict(topic="orders", source="src:9092", destination="dst:9092",
                 source_format="kafka", destination_format="kafka")
     base.update(kw)
     return TransferOptions(**base)
@@ -14,16 +14,16 @@ def _o(**kw):
 
 def test_reference_defaults_and_group_name():
     o = _o()
-    assert o.group == "firehose_firehose"
+    assert o.group == f"orders_{DEFAULT_GROUP_SUFFIX}"
     assert (o.max_errors, o.max_retry, o.flush_interval_ms, o.consumer_concurrency) == (10, 5, 10000, 4)
     assert o.trigger_interval == "10000 milliseconds"
     assert o.read_limit is None  # the reference's buffer bounds memory, not rate
-    assert _o(group_suffix="x").group == "firehose_x"
+    assert _o(group_suffix="x").group == "orders_x"
 
 
 def test_kafka_source_options():
     o = kafka_source_options(_o(read_limit=500, consumer_concurrency=8))
-    assert o["subscribe"] == "firehose" and o["startingOffsets"] == "latest"
+    assert o["subscribe"] == "orders" and o["startingOffsets"] == "latest"
     assert o["maxOffsetsPerTrigger"] == "500" and o["minPartitions"] == "8"
     assert kafka_source_options(_o(start_at="earliest"))["startingOffsets"] == "earliest"
 
@@ -36,7 +36,7 @@ def test_kafka_sink_options_are_the_delivery_options():
     assert o["kafka.client.id"] == CLIENT_ID
     assert o["kafka.linger.ms"] == "10000"
     assert "kafka.batch.size" not in o  # counts bytes, not messages
-    assert o["topic"] == "firehose"
+    assert o["topic"] == "orders"
 
 
 def test_validation():
@@ -60,4 +60,4 @@ def test_command_line_maps_to_options():
     o, trig = parse(["--topic", "t", "--source", "/a", "--destination", "/b", "--reset-offset",
                      "--max-errors", "3", "--flush-interval", "500", "--trigger", "available_now"])
     assert (o.topic, o.reset, o.max_errors, o.flush_interval_ms, trig) == ("t", True, 3, 500, "available_now")
-    assert o.group == "t_firehose"
+    assert o.group == f"t_{DEFAULT_GROUP_SUFFIX}"
