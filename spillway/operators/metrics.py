@@ -43,16 +43,25 @@ def throughput(audit: DataFrame, seconds: int = 1, keys: Sequence[str] = ("topic
 
 def _grid(counts: DataFrame, keys: Sequence[str], seconds: int) -> DataFrame:
     """Every (series, bucket) from the first to the last bucket of all series,
-    with records = 0.  The span is two scalar subqueries, not a join; chunk rows
-    are spread over tasks before they explode."""
-    lo = counts.select(F.min("_bucket")).scalar()
-    hi = counts.select(F.max("_bucket")).scalar()
+    with records = 0.
+
+    Three numbers come back in one small aggregate (first and last bucket,
+    number of series); they size the grid.  Each series gets one row per chunk
+    of `DENSE_CHUNK` buckets; chunk rows are spread over as many tasks as there
+    are chunks (at most the default parallelism) and only then exploded, so no
+    task builds a whole series and no task is launched for nothing."""
+    span = counts.agg(F.min("_bucket").alias("lo"), F.max("_bucket").alias("hi"),
+                      F.count_distinct(*keys).alias("series")).first()
+    if span["lo"] is None:
+        return counts.select(*keys, "_bucket", "records").where(F.lit(False))  # no buckets, no grid
+    lo, hi = int(span["lo"]), int(span["hi"])
     step = seconds * DENSE_CHUNK
-    series = counts.select(*keys).distinct()
-    parallelism = counts.sparkSession.sparkContext.defaultParallelism
-    chunks = (series.select(*keys, F.explode(F.sequence(lo, hi, F.lit(step))).alias("_chunk"))
-              .repartition(parallelism, *keys, "_chunk"))
-    last = F.least(F.col("_chunk") + F.lit(step - seconds), hi)
+    chunk_rows = int(span["series"]) * ((hi - lo) // step + 1)
+    tasks = max(1, min(counts.sparkSession.sparkContext.defaultParallelism, chunk_rows))
+    chunks = (counts.select(*keys).distinct()
+              .select(*keys, F.explode(F.sequence(F.lit(lo), F.lit(hi), F.lit(step))).alias("_chunk"))
+              .repartition(tasks, *keys, "_chunk"))
+    last = F.least(F.col("_chunk") + F.lit(step - seconds), F.lit(hi))
     return chunks.select(*keys, F.explode(F.sequence(F.col("_chunk"), last, F.lit(seconds))).alias("_bucket"),
                          F.lit(0).cast("long").alias("records"))
 
@@ -64,7 +73,7 @@ def densify(counts: DataFrame, keys: Sequence[str], seconds: int) -> DataFrame:
     left join would shuffle both sides.  `counts` feeds the span, the series
     list and the union; each use prunes different columns, so Spark cannot
     share one exchange between them.  The counts (one row per series and
-    bucket, not per record) are therefore persisted once and read four times;
+    bucket, not per record) are therefore persisted once and read three times;
     a lost block is recomputed from lineage."""
     counts = counts.select(*keys, "_bucket", "records").persist(StorageLevel.MEMORY_AND_DISK)
     return (counts.unionByName(_grid(counts, keys, seconds))
