@@ -201,6 +201,10 @@ class Transfer:
             if o.quarantine and o.reject_when is not None and stats["rejected"]:
                 write_table_batch(plan.rejected, self.path("quarantine"), self.group, self.generation, batch_id)
             audit = plan.audit.withColumn("run_id", F.lit(self.run_id))
+            if o.destination_format == "kafka":  # the broker assigns destination offsets
+                planned_only = F.col("client_type") == PRODUCER
+                audit = (audit.withColumn("from_offset", F.when(~planned_only, F.col("from_offset")))
+                              .withColumn("until_offset", F.when(~planned_only, F.col("until_offset"))))
             write_table_batch(audit, self.path("audit"), self.group, self.generation, batch_id)
             commits = plan.commits.withColumn("generation", F.lit(self.generation))
             write_table_batch(commits, self.path("commits"), self.group, self.generation, batch_id)
