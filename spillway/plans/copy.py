@@ -114,7 +114,7 @@ def copy_bounded(log: DataFrame, partitions: int, destination: str, state: str,
     table (one row per source partition) is read once to the driver and shared
     by the four writes as a local table.  Returns, per topic, the destination's
     next free offset (`base` + the slots reserved)."""
-    from spillway.sinks.file_log import write_log_batch, write_table_batch
+    from spillway.sinks.file_log import run_concurrently, write_log_batch, write_table_batch
     planned = plan_copy_batch(log, partitions, start, reject_when, preserve_nulls, base)
     rows = planned.ranges.collect()
     if not rows:
@@ -123,10 +123,11 @@ def copy_bounded(log: DataFrame, partitions: int, destination: str, state: str,
     plan = plan_copy_batch(log, partitions, start, reject_when, preserve_nulls, base,
                            broadcast_slots=len(rows) <= SLOT_BROADCAST_LIMIT, ranges=local)
     write_log_batch(plan.records, destination, group, generation, batch_id, compression)
+    tables = [lambda: write_table_batch(plan.audit, f"{state}/audit", group, generation, batch_id),
+              lambda: write_table_batch(plan.commits, f"{state}/commits", group, generation, batch_id)]
     if any(r["rejected"] for r in rows):
-        write_table_batch(plan.rejected, f"{state}/quarantine", group, generation, batch_id)
-    write_table_batch(plan.audit, f"{state}/audit", group, generation, batch_id)
-    write_table_batch(plan.commits, f"{state}/commits", group, generation, batch_id)
+        tables.append(lambda: write_table_batch(plan.rejected, f"{state}/quarantine", group, generation, batch_id))
+    run_concurrently(tables)
     ends: dict[str, int] = {}
     for r in rows:
         ends[r["topic"]] = ends.get(r["topic"], base) + r["_span"]

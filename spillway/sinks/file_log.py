@@ -8,6 +8,9 @@ generation is part of the folder.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,3 +92,16 @@ def write_kafka_batch(records: DataFrame, opts: TransferOptions) -> None:
 
 def batch_at() -> Column:
     return F.current_timestamp()
+
+
+def run_concurrently(writes: list[Callable[[], None]]) -> None:
+    """Run independent writes as concurrent Spark jobs (one driver thread
+    each) and re-raise the first failure.  Used for the small state tables of a
+    batch, which a failed batch rewrites whole on replay anyway."""
+    if len(writes) <= 1:
+        for w in writes:
+            w()
+        return
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        for f in [pool.submit(w) for w in writes]:
+            f.result()

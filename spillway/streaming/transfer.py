@@ -43,7 +43,7 @@ from spillway.options import TransferOptions
 from spillway.plans.copy import SLOT_BROADCAST_LIMIT, plan_copy_batch
 from spillway.schema import AUDIT, PRODUCER
 from spillway.session import under_state
-from spillway.sinks.file_log import write_kafka_batch, write_log_batch, write_table_batch
+from spillway.sinks.file_log import run_concurrently, write_kafka_batch, write_log_batch, write_table_batch
 from spillway.sources.topic_log import read_file_log, topic_source
 from spillway.streaming import fs
 from spillway.streaming.progress import OBSERVATION
@@ -198,16 +198,21 @@ class Transfer:
             else:
                 write_kafka_batch(records, o)
             self._after_sink(batch_id)
-            if o.quarantine and o.reject_when is not None and stats["rejected"]:
-                write_table_batch(plan.rejected, self.path("quarantine"), self.group, self.generation, batch_id)
             audit = plan.audit.withColumn("run_id", F.lit(self.run_id))
             if o.destination_format == "kafka":  # the broker assigns destination offsets
                 planned_only = F.col("client_type") == PRODUCER
                 audit = (audit.withColumn("from_offset", F.when(~planned_only, F.col("from_offset")))
                               .withColumn("until_offset", F.when(~planned_only, F.col("until_offset"))))
-            write_table_batch(audit, self.path("audit"), self.group, self.generation, batch_id)
             commits = plan.commits.withColumn("generation", F.lit(self.generation))
-            write_table_batch(commits, self.path("commits"), self.group, self.generation, batch_id)
+            # After the sink, the state tables are independent small writes: run
+            # them as concurrent jobs (a failed batch is replayed whole).
+            tables = [lambda: write_table_batch(audit, self.path("audit"), self.group, self.generation, batch_id),
+                      lambda: write_table_batch(commits, self.path("commits"), self.group, self.generation,
+                                                batch_id)]
+            if o.quarantine and o.reject_when is not None and stats["rejected"]:
+                tables.append(lambda: write_table_batch(plan.rejected, self.path("quarantine"), self.group,
+                                                        self.generation, batch_id))
+            run_concurrently(tables)
             self.rejected_total += int(stats["rejected"] or 0)
             self._next = (batch_id + 1, base + int(stats["width"] or 0))
             self.batches.append(batch_id)
