@@ -62,9 +62,10 @@ REJECT = """COALESCE(length("value") > 8, false)"""
 # Each record read at its time, sent at the next 10 s flush tick unless rejected.
 AUDIT = f"""
 audit AS (
-  SELECT topic, 'consumer' AS client_type, CAST(1 AS BIGINT) AS n, "timestamp" AS "at" FROM log
+  SELECT topic, 'consumer' AS client_type, CAST(1 AS BIGINT) AS n,
+         CAST(CASE WHEN {REJECT} THEN 1 ELSE 0 END AS BIGINT) AS rejected, "timestamp" AS "at" FROM log
   UNION ALL
-  SELECT topic, 'producer' AS client_type, CAST(1 AS BIGINT) AS n,
+  SELECT topic, 'producer' AS client_type, CAST(1 AS BIGINT) AS n, CAST(0 AS BIGINT) AS rejected,
          make_timestamp(epoch_us("timestamp") + ((-epoch_us("timestamp")) % 10000000 + 10000000) % 10000000) AS at
   FROM log WHERE NOT {REJECT})"""
 
@@ -216,7 +217,7 @@ FROM lagrows GROUP BY "group", topic""",
 
     "in_flight": f"""WITH {LOG}, {AUDIT}, {_dense(
         f"SELECT topic, {_bucket('"at"', 30)} AS b, "
-        "SUM(CASE WHEN client_type = 'consumer' THEN n ELSE -n END) AS records FROM audit GROUP BY ALL",
+        "SUM(CASE WHEN client_type = 'consumer' THEN n - rejected ELSE -n END) AS records FROM audit GROUP BY ALL",
         ["topic"], 30)}
 SELECT topic, make_timestamp(b * 1000000) AS "time",
        CAST(SUM(records) OVER (PARTITION BY topic ORDER BY b

@@ -117,9 +117,12 @@ def in_flight(audit: DataFrame, seconds: int = 30, keys: Sequence[str] = ("topic
     """M5: records read and not yet sent, sampled at the end of every
     `seconds` bucket (the reference logs its queue length each 30 s).
 
-    Per bucket, consumed - produced is summed first; the running total over the
-    dense bucket series is then the queue length at each sample."""
-    delta = F.when(F.col("client_type") == "consumer", F.col("n")).otherwise(-F.col("n"))
+    A failed record leaves the queue when it fails, so it is not in flight:
+    per bucket, (consumed - rejected) - produced is summed first; the running
+    total over the dense bucket series is then the queue length at each
+    sample.  Without a `rejected` column, nothing is rejected."""
+    rejected = F.coalesce(F.col("rejected"), F.lit(0)) if "rejected" in audit.columns else F.lit(0)
+    delta = F.when(F.col("client_type") == "consumer", F.col("n") - rejected).otherwise(-F.col("n"))
     counts = (audit.groupBy(*keys, second_bucket(time, seconds).alias("_bucket"))
               .agg(F.sum(delta).cast("long").alias("records")))
     dense = densify(counts, keys, seconds)

@@ -80,3 +80,12 @@ def test_partition_lag_and_total(spark):
     assert got == {0: (7, 3, True), 1: (0, 5, False), 2: (0, 0, False)}
     tot = metrics.total_lag(lag).first()
     assert (tot.group, tot.total_lag, tot.partitions) == ("a_g", 8, 3)
+
+
+def test_in_flight_does_not_count_failed_records(spark):
+    rows = [("a", "consumer", 5, 2, T0 + dt.timedelta(seconds=1)),   # 5 read, 2 failed at once
+            ("a", "producer", 1, 0, T0 + dt.timedelta(seconds=40)),
+            ("a", "producer", 2, 0, T0 + dt.timedelta(seconds=70))]
+    audit = spark.createDataFrame(rows, "topic string, client_type string, n long, rejected long, at timestamp")
+    got = [r.in_flight for r in metrics.in_flight(audit, 30).orderBy("time").collect()]
+    assert got == [3, 2, 0]
