@@ -101,7 +101,12 @@ FROM lagrows
 UNION ALL
 SELECT 'rps_stats', 'rps_stats,clientType=' || client_type || ',host=spillway-host,topic=' || topic,
        'rps', records, "time"
-FROM tp"""
+FROM tp
+UNION ALL
+SELECT 'system_stats', 'system_stats,host=' || CAST(user_id AS VARCHAR), 'value',
+       CAST(floor(max_by(value, event_id)) AS BIGINT), make_timestamp(b * 1000000)
+FROM (SELECT *, {_bucket('ts', 60)} AS b FROM events)
+GROUP BY user_id, b"""
 
 
 def _dense(counts_sql: str, keys: list[str], seconds: int) -> str:

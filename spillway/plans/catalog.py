@@ -233,18 +233,25 @@ def q_in_flight(spark, sf_dir):
 
 def q_gauge_sample(spark, sf_dir):
     ensure_utc(spark)
+    return _gauges(spark, sf_dir)
+
+
+# ---- T: points ---------------------------------------------------------------
+
+def _gauges(spark, sf_dir) -> DataFrame:
     events = fx.table(spark, sf_dir, "events")
     return metrics.gauge_sample(events.withColumn("host", F.col("user_id").cast("string")),
                                 ["host"], ["value"], "ts", "event_id", GAUGE_SECONDS)
 
 
-# ---- T: points ---------------------------------------------------------------
-
 def _points(spark, sf_dir) -> DataFrame:
     log = _log(spark, sf_dir)
     lag_points = points.kafka_stats_points(_lag(log), POINT_HOST, F.to_timestamp(F.lit(fx.STORED_BEFORE)))
     rate_points = points.rps_points(metrics.throughput(fx.replay_audit(log), THROUGHPUT_SECONDS), POINT_HOST)
-    return points.to_points(lag_points, rate_points)
+    # system_stats: one point per host and minute; the gauge is the latest value, as an integer field
+    samples = _gauges(spark, sf_dir).withColumn("value", F.floor("value").cast("long"))
+    system = points.system_points(samples, F.col("host"), ["value"])
+    return points.to_points(lag_points, rate_points, system)
 
 
 def q_to_points(spark, sf_dir):
