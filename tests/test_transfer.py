@@ -264,3 +264,24 @@ def test_kafka_destination_branch(spark, scratch, monkeypatch):
     assert _multiset(spark.read.parquet(captured)) == _expected(spark, rows)
     prod = t.audit().where("client_type = 'producer'").collect()
     assert sum(r.n for r in prod) == 13 and all(r.from_offset is None and r.until_offset is None for r in prod)
+
+
+def test_kafka_source_branch(spark, scratch, monkeypatch):
+    """With a Kafka source the start is the connector's `startingOffsets`: no
+    snapshot is frozen and no scan predicate is added.  The stream is replaced
+    by a file-log stream of the same rows (the connector is not installed)."""
+    import spillway.streaming.transfer as tr
+    rows = _rows(0, 0, 6) + _rows(1, 0, 3)
+    _append(spark, f"{scratch}/src", 0, rows)
+
+    def fake_source(spark_, opts, stream=False):
+        assert opts.source_format == "kafka" and stream
+        return read_file_log(spark_, f"{scratch}/src", opts.topic, stream=True)
+
+    monkeypatch.setattr(tr, "topic_source", fake_source)
+    t = tr.Transfer(spark, _opts(scratch, source="broker:9092", source_format="kafka"))
+    t.start("available_now")
+    t.finish()
+    assert t._start is None and t._scan_filter is None
+    assert not os.path.exists(f"{scratch}/state/start")
+    assert _multiset(_sent(spark, scratch)) == _expected(spark, rows)
