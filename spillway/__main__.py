@@ -62,7 +62,7 @@ def main(argv: list[str] | None = None) -> int:
     # checkpoint on the next start (nothing queued is lost, unlike a process
     # that exits with records in memory).
     for sig in (signal.SIGINT, signal.SIGTERM):
-        signal.signal(sig, lambda *_: t.stop())
+        signal.signal(sig, lambda *_: t.request_stop())
     t.finish()
     return 0
 

@@ -70,6 +70,7 @@ class Transfer:
         self._scan_filter = None
         self._next: tuple[int, int] | None = None  # (next batch id, destination base)
         self.query: StreamingQuery | None = None
+        self._stop_requested = False
 
     # ---- folders -------------------------------------------------------
     def path(self, table: str) -> str:
@@ -253,11 +254,22 @@ class Transfer:
         self.query = w.start()
         return self.query
 
+    def request_stop(self) -> None:
+        """Ask `finish()` to stop the query (safe from a signal handler: no
+        call into the JVM happens here)."""
+        self._stop_requested = True
+
     def finish(self, timeout: float | None = None) -> None:
         """Wait for the query to end, then check the budget once more (the last
-        batch may have gone over with no next batch to refuse)."""
+        batch may have gone over with no next batch to refuse).  Waits in
+        one-second steps so that `request_stop()` is honoured."""
         if self.query is not None:
-            self.query.awaitTermination(timeout)
+            if timeout is not None:
+                self.query.awaitTermination(timeout)
+            else:
+                while not self.query.awaitTermination(1):
+                    if self._stop_requested:
+                        self.query.stop()
         if over_budget(self.rejected_total, self.opts.max_errors):
             raise BudgetExceeded(
                 f"{self.rejected_total} failed records in run {self.run_id} > max_errors={self.opts.max_errors}")

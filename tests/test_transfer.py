@@ -285,3 +285,15 @@ def test_kafka_source_branch(spark, scratch, monkeypatch):
     assert t._start is None and t._scan_filter is None
     assert not os.path.exists(f"{scratch}/state/start")
     assert _multiset(_sent(spark, scratch)) == _expected(spark, rows)
+
+
+def test_request_stop_ends_a_running_copy(spark, scratch):
+    import threading
+    _append(spark, f"{scratch}/src", 0, _rows(0, 0, 5))
+    t = Transfer(spark, _opts(scratch, start_at="earliest", flush_interval_ms=200))
+    t.start()
+    t.query.processAllAvailable()
+    threading.Timer(1.0, t.request_stop).start()  # as a signal handler would
+    t.finish()
+    assert not t.query.isActive
+    assert _sent(spark, scratch).count() == 5
