@@ -205,6 +205,19 @@ WHERE rn = 11""",
 
     "read_limit": f"WITH {LOG}{COPY}",
 
+    "copy_audit": f"""WITH {LOG}
+SELECT topic || '{GROUP_SUFFIX}' AS "group", 'consumer' AS client_type, COUNT(*) AS n,
+       CAST(SUM(CASE WHEN {REJECT} THEN 1 ELSE 0 END) AS BIGINT) AS rejected
+FROM log GROUP BY topic
+UNION ALL
+SELECT topic || '{GROUP_SUFFIX}', 'producer', CAST(SUM(CASE WHEN {REJECT} THEN 0 ELSE 1 END) AS BIGINT),
+       CAST(0 AS BIGINT)
+FROM log GROUP BY topic""",
+
+    "copy_commits": f"""WITH {LOG}
+SELECT topic || '{GROUP_SUFFIX}' AS "group", topic, "partition", MAX("offset") + 1 AS next_offset
+FROM log GROUP BY topic, "partition\"""",
+
     "throughput": f"""WITH {LOG}, {AUDIT}, {THROUGHPUT}
 SELECT topic, client_type, "time", records FROM tp""",
 

@@ -171,7 +171,10 @@ def q_commit_position(spark, sf_dir):
     return seed.unionByName(done).withColumn("generation", F.lit(0))
 
 
-def _stream_copy(spark, sf_dir, name: str, read_limit: int | None) -> DataFrame:
+def _run_copies(spark, sf_dir, name: str, read_limit: int | None, reject_when: str | None = None,
+                max_errors: int = 10) -> str:
+    """Stream-copy every topic of the events log (from the earliest offset)
+    into a fresh folder; returns that folder."""
     from spillway.streaming.transfer import run_transfers
     root = _scratch(spark, name)
     log = _log(spark, sf_dir)
@@ -180,10 +183,39 @@ def _stream_copy(spark, sf_dir, name: str, read_limit: int | None) -> DataFrame:
     topics = [r.topic for r in read_file_log(spark, f"{root}/source").select("topic").distinct().collect()]
     run_transfers(spark, [TransferOptions(topic=t, source=f"{root}/source", destination=f"{root}/dest",
                                           state_path=f"{root}/state", start_at="earliest",
-                                          read_limit=read_limit) for t in topics])
+                                          read_limit=read_limit, reject_when=reject_when,
+                                          max_errors=max_errors) for t in topics])
+    return root
+
+
+def _stream_copy(spark, sf_dir, name: str, read_limit: int | None) -> DataFrame:
+    root = _run_copies(spark, sf_dir, name, read_limit)
     return _show(read_file_log(spark, f"{root}/dest"), "topic", "partition", "key", "value")
 
 
+# The audit and commit queries copy with the reject predicate and a budget that
+# cannot trip (every record may fail), so that every record is accounted for.
+NO_BUDGET = 1 << 62
+
+
+def q_copy_audit(spark, sf_dir):
+    """K4 + K5 + M1 from the engine itself: the audit totals of streaming
+    copies of every topic (one file per batch), per group and client type."""
+    from spillway.schema import AUDIT
+    root = _run_copies(spark, sf_dir, "copy_audit", 1, fx.REJECT_WHEN, NO_BUDGET)
+    audit = spark.read.schema(AUDIT).parquet(f"{root}/state/audit")
+    return audit.groupBy("group", "client_type").agg(F.sum("n").cast("long").alias("n"),
+                                                     F.sum("rejected").cast("long").alias("rejected"))
+
+
+def q_copy_commits(spark, sf_dir):
+    """S5 after K5: stored positions of those copies, per partition."""
+    from spillway.streaming.transfer import read_commits
+    root = _run_copies(spark, sf_dir, "copy_commits", 1, fx.REJECT_WHEN, NO_BUDGET)
+    return (positions.committed_offsets(read_commits(spark, f"{root}/state/commits"))
+            .select("group", "topic", "partition", "next_offset"))
+
+
 def q_drain_stop(spark, sf_dir):
     """A streaming copy of every topic run until the source is drained."""
     return _stream_copy(spark, sf_dir, "drain_stop", None)
@@ -283,6 +315,8 @@ QUERIES: dict[str, Query] = {
     "error_budget": q_error_budget,
     "drain_stop": q_drain_stop,
     "read_limit": q_read_limit,
+    "copy_audit": q_copy_audit,
+    "copy_commits": q_copy_commits,
     "throughput": q_throughput,
     "dense_throughput": q_dense_throughput,
     "partition_lag": q_partition_lag,
