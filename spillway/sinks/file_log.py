@@ -14,7 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spillway.options import TransferOptions
+from spillway.options import CLIENT_ID, TransferOptions
 
 WRITER_COLUMNS = ("group", "generation", "batch_id")
 
@@ -71,18 +71,13 @@ def kafka_sink_options(opts: TransferOptions) -> dict[str, str]:
         "kafka.compression.type": "gzip",
         "kafka.acks": "1",
         "kafka.retries": str(opts.max_retry),
-        "kafka.client.id": _client_id(),
+        "kafka.client.id": CLIENT_ID,
         "kafka.linger.ms": str(opts.flush_interval_ms),
     }
     o.update(dict(opts.extra_sink_options))
     return o
 
 
-def _client_id() -> str:
-    from spillway.options import CLIENT_ID
-    return CLIENT_ID
-
-
 def write_kafka_batch(records: DataFrame, opts: TransferOptions) -> None:
     """K1 on Kafka: (topic, partition, key, value); the explicit partition
     column keeps the round-robin placement (the producer would hash the key)."""
@@ -90,9 +85,6 @@ def write_kafka_batch(records: DataFrame, opts: TransferOptions) -> None:
      .write.format("kafka").options(**kafka_sink_options(opts)).save())
 
 
-def batch_at() -> Column:
-    return F.current_timestamp()
-
 
 def run_concurrently(writes: list[Callable[[], None]]) -> None:
     """Run independent writes as concurrent Spark jobs (one driver thread
