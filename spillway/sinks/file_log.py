@@ -9,7 +9,8 @@ generation is part of the folder.
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import InheritableThread
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,13 +88,27 @@ def write_kafka_batch(records: DataFrame, opts: TransferOptions) -> None:
 
 
 def run_concurrently(writes: list[Callable[[], None]]) -> None:
-    """Run independent writes as concurrent Spark jobs (one driver thread
-    each) and re-raise the first failure.  Used for the small state tables of a
-    batch, which a failed batch rewrites whole on replay anyway."""
+    """Run independent writes as concurrent Spark jobs and re-raise the first
+    failure.  Used for the small state tables of a batch, which a failed batch
+    rewrites whole on replay anyway.  `InheritableThread` carries the caller's
+    Spark job properties (a streaming query's job group), so stopping the query
+    cancels these jobs too."""
     if len(writes) <= 1:
         for w in writes:
             w()
         return
-    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-        for f in [pool.submit(w) for w in writes]:
-            f.result()
+    errors: list[BaseException] = []
+
+    def run(w: Callable[[], None]) -> None:
+        try:
+            w()
+        except BaseException as e:  # noqa: BLE001 - re-raised below
+            errors.append(e)
+
+    threads = [InheritableThread(target=run, args=(w,)) for w in writes]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    if errors:
+        raise errors[0]
