@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import InheritableThread
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
