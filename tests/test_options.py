@@ -61,3 +61,16 @@ def test_command_line_maps_to_options():
                      "--max-errors", "3", "--flush-interval", "500", "--trigger", "available_now"])
     assert (o.topic, o.reset, o.max_errors, o.flush_interval_ms, trig) == ("t", True, 3, 500, "available_now")
     assert o.group == f"t_{DEFAULT_GROUP_SUFFIX}"
+
+
+def test_run_concurrently_runs_all_and_raises_the_failure():
+    from spillway.sinks.file_log import run_concurrently
+    done = []
+    run_concurrently([lambda: done.append(1), lambda: done.append(2), lambda: done.append(3)])
+    assert sorted(done) == [1, 2, 3]
+
+    def boom():
+        raise RuntimeError("write failed")
+    with pytest.raises(RuntimeError, match="write failed"):
+        run_concurrently([lambda: done.append(4), boom])
+    assert 4 in done
