@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spillway.llm import line_dedup, mixing, sharding
+from spillway.llm import embedding_dedup, html_text, line_dedup, mixing, secrets, sharding
 from spillway.llm.common import Workspace, table
 
 SHARDS = 40
@@ -15,6 +15,15 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"), Workspace(spark, "op3"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+    return found.select("doc_id", of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"),
+                        F.sha2(secrets.joined(base).cast("binary"), 256).alias("base_sha256"),
+                        secrets.joined(F.col("spans")).alias("spans"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), Workspace(spark, "op6"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -26,10 +35,21 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), Workspace(spark, "op10"))
+
+
 QUERIES = {
     "op3_line_dedup": op3_line_dedup,
+    "op5_secrets": op5_secrets,
     "op6_mix_sources": op6_mix_sources,
     "op8_shards": op8_shards,
+    "op9_html_text": op9_html_text,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLE: dict[str, str] = {
