@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spillway.llm import embedding_dedup, html_text, line_dedup, mixing, secrets, sharding
+from spillway.llm import decontaminate, embedding_dedup, html_text, line_dedup, minhash_dedup, mixing, secrets, sharding
 from spillway.llm.common import Workspace, table
 
 SHARDS = 40
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), Workspace(spark, "op2"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"), Workspace(spark, "op3"))
 
@@ -29,6 +33,10 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Workspace(spark, "op7"))
+
+
 def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.manifest(table(spark, sf_dir, "documents"), SHARDS, Workspace(spark, "op8"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -44,9 +52,11 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_minhash_dedup": op2_minhash_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op5_secrets": op5_secrets,
     "op6_mix_sources": op6_mix_sources,
+    "op7_decontaminate": op7_decontaminate,
     "op8_shards": op8_shards,
     "op9_html_text": op9_html_text,
     "op10_embedding_dedup": op10_embedding_dedup,
