@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spillway.llm import decontaminate, embedding_dedup, html_text, line_dedup, minhash_dedup, mixing, secrets, sharding
+from spillway.llm import decontaminate, embedding_dedup, html_text, language_model, line_dedup, minhash_dedup, mixing, secrets, sharding
 from spillway.llm.common import Workspace, table
 
 SHARDS = 40
@@ -19,6 +19,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"), Workspace(spark, "op3"))
 
 
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"), Workspace(spark, "op4"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
@@ -54,6 +58,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_line_dedup": op3_line_dedup,
+    "op4_kneser_ney": op4_kneser_ney,
     "op5_secrets": op5_secrets,
     "op6_mix_sources": op6_mix_sources,
     "op7_decontaminate": op7_decontaminate,
