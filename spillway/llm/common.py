@@ -50,8 +50,27 @@ def string_type(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.col(name).cast(T.StringType()))
 
 
-def arrow(batch_schema: pa.Schema, **columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in batch_schema], schema=batch_schema)
+def sorted_groups(batches, keys: int):
+    """Groups of rows that agree in their first `keys` columns (whole numbers), from batches sorted by them.
+
+    Yields one table a group; only the group at hand and one batch are held.
+    """
+    import numpy as np
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = pa.Table.from_batches([batch])
+        now = (pa.concat_tables([held, now]) if held is not None else now).combine_chunks()
+        new = np.zeros(now.num_rows - 1, bool)
+        for c in range(keys):
+            new |= np.diff(now.column(c).to_numpy()) != 0
+        cuts = [0, *(np.flatnonzero(new) + 1)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            yield now.slice(a, b - a)
+        held = now.slice(cuts[-1])
+    if held is not None:
+        yield held
 
 
 def long_lists(values, offsets) -> pa.Array:

@@ -7,12 +7,14 @@ component's value.  A process ends once its next arrival is later than the
 latest component, so long texts cost little more than one draw a shingle.  Two
 signatures agree in a component with the probability Jaccard similarity of the
 weighted sets.  Bands of the signature are the candidates' buckets; candidates
-are verified exactly.
+whose signatures are too far apart are dropped, the others verified exactly.
 
 Texts with the same words are one class.  In a bucket, classes are first
-compared with one representative; what that leaves unconnected is compared
-across the bucket's components, so no link that could join two groups is lost
-while a large group of near copies costs a few comparisons for each member.
+compared with one representative.  Buckets that this leaves in several
+components are compared in blocks: first along the strongest signature
+agreements, then every pair that is still in two components.  So no link that
+could join two groups is lost, and a large group of near copies is not
+written out as pairs.
 """
 
 from __future__ import annotations
@@ -25,14 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spillway.llm import tokens
-from spillway.llm.common import Workspace, long_lists, text_keys
+from spillway.llm.common import Workspace, long_lists, sorted_groups, text_keys
 from spillway.llm.graph import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 25, 5     # a pair at 0.8 misses all bands with probability (1 - 0.8**5)**25 = 5e-5
-STAR_ROUNDS = 6         # then the rest is compared across components, whatever its size
-PAIRS_PER_MEMBER = 8    # the rest is small enough at so many comparisons for each bucket member
+BANDS, ROWS = 42, 6     # a pair at 0.8 misses all bands with probability (1 - 0.8**6)**42 = 3e-6
+SIGNATURE = BANDS * ROWS
+ERRORS = 3.5            # signatures may fall short of the similarity by so many standard errors: one pair at 0.8 in 4,000 does
+BLOCK = 1024            # members of a bucket compared at once
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -94,25 +97,92 @@ def weighted_shingles(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, n
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, r1, r2, text -> doc_id, r1, r2, w1, w2, bands."""
-    salt = tokens.mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * _GOLDEN).reshape(1, BANDS, ROWS)
+    """doc_id, r1, r2, text -> doc_id, r1, r2, w1, w2, sign: one byte for each component."""
     for batch in batches:
         data, offs = tokens.buffers(batch.column(3))
         for a, b in tokens.chunks(offs):
             part = batch.slice(a, b - a)
             items, counts, at, w1, w2 = weighted_shingles(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
-            sign = probminhash(items, counts.astype(np.float64), at, BANDS * ROWS).reshape(-1, BANDS, ROWS)
-            with np.errstate(over="ignore"):
-                bands = tokens.mix((tokens.mix(sign + salt)).sum(axis=2, dtype=np.uint64))
+            sign = (probminhash(items, counts.astype(np.float64), at, SIGNATURE) & np.uint64(255)).astype(np.uint8)
             some = np.diff(at) > 0
             # Without a word there is no shingle: such texts are equal only as texts.
             w1 = np.where(some, w1.view(np.int64), part.column(1).to_numpy())
             w2 = np.where(some, w2.view(np.int64), part.column(2).to_numpy())
-            per = np.where(some, BANDS, 0)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), part.column(2), pa.array(w1), pa.array(w2),
-                 long_lists(bands[some].ravel(), np.concatenate([[0], np.cumsum(per)]))],
-                names=["doc_id", "r1", "r2", "w1", "w2", "bands"])
+                 pa.array([x.tobytes() if y else None for x, y in zip(sign, some, strict=True)], pa.binary())],
+                names=["doc_id", "r1", "r2", "w1", "w2", "sign"])
+
+
+def least_agreement(similarity: float) -> int:
+    """Components in which two similar enough texts agree at least (bytes agree by chance once in 256)."""
+    p = similarity + (1 - similarity) / 256
+    return int(np.ceil(SIGNATURE * p - ERRORS * np.sqrt(SIGNATURE * p * (1 - p))))
+
+
+def _signs(column) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SIGNATURE)
+
+
+def _alike(least: int):
+    """a, b, x, y -> the pairs whose signatures agree well enough."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = (_signs(batch.column(2)) == _signs(batch.column(3))).sum(axis=1) >= least
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep))
+    return run
+
+
+def _agreements(x: np.ndarray) -> np.ndarray:
+    """(rows, rows) numbers of equal components; SIGNATURE is under 256."""
+    out = np.zeros((len(x), len(x)), np.uint8)
+    for c in np.ascontiguousarray(x.T):
+        out += c[:, None] == c[None, :]
+    return out
+
+
+def _strongest(agree: np.ndarray, group: np.ndarray) -> list[tuple[int, int]]:
+    """A forest that joins the groups along their highest agreements (0: none), at most one edge fewer than groups."""
+    group = np.unique(group, return_inverse=True)[1]
+    edges: list[tuple[int, int]] = []
+    while True:
+        out = np.where(group[:, None] != group[None, :], agree, 0)
+        to = out.argmax(axis=1)
+        best = out[np.arange(len(group)), to]
+        if not best.any():
+            return edges
+        order = np.lexsort((best, group))
+        last = order[np.flatnonzero(np.append(np.diff(group[order]) > 0, True))]  # each group's strongest row
+        for i in last[best[last] > 0]:
+            a, b = group[i], group[to[i]]
+            if a != b:
+                edges.append((int(i), int(to[i])))
+                group[group == b] = a
+
+
+def _blocks(least: int, every: bool):
+    """Sorted bucket, i, j, cid, component, side, sign -> pairs (a, b) to verify.
+
+    `every`: all pairs in two components that agree well enough; else a forest of the strongest.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in sorted_groups(batches, 3):
+            cid, component, side = (rows.column(c).to_numpy() for c in ("cid", "component", "side"))
+            if len(cid) < 2:
+                continue
+            agree = _agreements(_signs(rows.column("sign")))
+            agree[agree < least] = 0
+            if rows.column("i")[0] != rows.column("j")[0]:
+                agree[side[:, None] == side[None, :]] = 0
+            if every:
+                agree[component[:, None] == component[None, :]] = 0
+                a, b = np.nonzero(np.triu(agree))
+            else:
+                a, b = np.array(_strongest(agree, component), np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cid[a], cid[b])), pa.array(np.maximum(cid[a], cid[b]))], names=["a", "b"])
+    return run
 
 
 def _shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,21 +224,22 @@ def _verify(similarity: float):
 
 
 class _Search:
-    """The candidate search of one run: bucket members, verified edges, components so far."""
+    """The candidate search of one run: bucket members, verified links, components so far."""
 
     def __init__(self, docs: DataFrame, work: Workspace, similarity: float) -> None:
-        self.docs, self.work, self.similarity = docs, work, similarity
+        self.docs, self.work, self.similarity, self.least = docs, work, similarity, least_agreement(similarity)
         signed = docs.select("doc_id", "r1", "r2", "text").mapInArrow(
-            _sign, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, r1 long, r2 long, w1 long, w2 long, bands array<long>")
+            _sign, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, r1 long, r2 long, w1 long, w2 long, sign binary")
         self.signed = work.write(signed, "signed")
         self.classes = work.write(
-            self.signed.groupBy("w1", "w2").agg(F.first("r1").alias("r1"), F.first("r2").alias("r2"), F.first("bands").alias("bands"))
+            self.signed.groupBy("w1", "w2").agg(F.first("r1").alias("r1"), F.first("r2").alias("r2"), F.first("sign").alias("sign"))
             .withColumn("cid", F.monotonically_increasing_id()), "classes")
-        members = self.classes.select("cid", F.posexplode("bands").alias("band", "hash")) \
-            .select("cid", F.xxhash64("band", "hash").alias("bucket"))
+        bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
+                            lambda i: F.xxhash64(i, F.substring("sign", i * ROWS + 1, F.lit(ROWS))))
+        members = self.classes.where("sign is not null").select("cid", F.explode(bands).alias("bucket"))
         crowded = members.groupBy("bucket").agg(F.count("*").alias("crowd"), F.min("cid").alias("lead")).where("crowd > 1")
         self.members = work.write(members.join(crowded, "bucket").select("bucket", "cid", "crowd", "lead"), "members")
-        self.edges: list[DataFrame] = []
+        self.signs = self.classes.select("cid", "sign")
 
     def shingles(self) -> DataFrame:
         """Weighted shingles of every class that shares a bucket."""
@@ -177,53 +248,50 @@ class _Search:
         per = texts.mapInArrow(_shingle, "cid long, items array<long>, counts array<int>")
         return self.work.write(per.groupBy("cid").agg(F.first("items").alias("items"), F.first("counts").alias("counts")), "shingles")
 
-    def verify(self, pairs: DataFrame, sets: DataFrame, name: str) -> None:
-        """Keep the pairs (a, b) that are similar enough."""
+    def verified(self, pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+        """The pairs (a, b) that are similar enough."""
+        pairs = self.work.write(pairs.distinct(), f"{name}-candidates")
         left = sets.select(F.col("cid").alias("a"), F.col("items").alias("x"), F.col("counts").alias("xw"))
         right = sets.select(F.col("cid").alias("b"), F.col("items").alias("y"), F.col("counts").alias("yw"))
         full = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "xw", "y", "yw")
-        self.edges.append(self.work.write(full.mapInArrow(_verify(self.similarity), "a long, b long"), name))
-
-    def grouped(self, name: str) -> DataFrame:
-        edges = self.edges[0]
-        for more in self.edges[1:]:
-            edges = edges.union(more)
-        return components(edges, self.work, name)
+        return self.work.write(full.mapInArrow(_verify(self.similarity), "a long, b long"), name)
+
+    def open_buckets(self, groups: DataFrame, name: str) -> DataFrame:
+        """Members of buckets that hold several components and more than the one pair that was compared."""
+        placed = self.work.write(
+            self.members.where("crowd > 2").select("bucket", "cid", "crowd").join(groups, "cid", "left")
+            .select("bucket", "cid", "crowd", F.coalesce("component", "cid").alias("component")), f"{name}-placed")
+        mixed = placed.groupBy("bucket").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q")
+        return self.work.write(placed.join(mixed.select("bucket"), "bucket", "left_semi"), name)
+
+    def in_blocks(self, opened: DataFrame, every: bool) -> DataFrame:
+        """Pairs to verify, from comparing blocks of buckets; all pairs of blocks, or each block in itself and with the first."""
+        count = F.ceil(F.col("crowd") / BLOCK).cast("int")
+        block = F.pmod(F.xxhash64("cid"), count).cast("int")
+        others = F.sequence(F.lit(0), F.col("count") - 1)
+        if not every:
+            others = F.when(F.col("block") == 0, others).otherwise(F.array(F.lit(0), F.col("block")))
+        dealt = (opened.withColumns({"count": count, "block": block}).withColumn("other", F.explode(others))
+                 .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                         "cid", "component", (F.col("block") > F.col("other")).alias("side"))
+                 .join(self.signs, "cid").select("bucket", "i", "j", "cid", "component", "side", "sign"))
+        return (dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+                .mapInArrow(_blocks(self.least, every), "a long, b long"))
 
     def run(self) -> DataFrame:
         """(cid, component) of all classes that have a link."""
         sets = self.shingles()
         star = self.members.where("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")).distinct()
-        self.verify(star, sets, "edges-0")
-        for turn in range(1, STAR_ROUNDS + 2):
-            groups = self.grouped(f"groups-{turn}").withColumnRenamed("id", "cid")
-            placed = self.work.write(
-                self.members.select("bucket", "cid").join(groups, "cid", "left")
-                .select("bucket", "cid", F.coalesce("component", "cid").alias("component")), f"placed-{turn}")
-            parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("part"))
-            buckets = parts.groupBy("bucket").agg(F.sum("part").alias("crowd"), F.count("*").alias("parts"),
-                                                  F.max(F.struct("part", "component")).alias("largest")) \
-                .where("parts > 1").select("bucket", "crowd", F.col("largest.component").alias("main"),
-                                           (F.col("crowd") - F.col("largest.part")).alias("others"))
-            buckets = self.work.write(buckets, f"mixed-{turn}")
-            rest = buckets.agg(F.sum(F.col("others") * F.col("crowd")).alias("pairs"), F.sum("crowd").alias("crowd")).first()
-            if not rest["pairs"]:
-                return groups
-            inside = placed.join(buckets, "bucket")
-            if rest["pairs"] <= PAIRS_PER_MEMBER * rest["crowd"] or turn > STAR_ROUNDS:
-                # Every pair of a bucket in two components has a member outside the main one.
-                others = inside.where("component <> main").select("bucket", F.col("cid").alias("p"), F.col("component").alias("pc"))
-                pairs = others.join(inside.select("bucket", F.col("cid").alias("q"), F.col("component").alias("qc")), "bucket") \
-                    .where("pc <> qc").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
-                self.verify(pairs, sets, f"edges-{turn}")
-                return self.grouped("groups-last").withColumnRenamed("id", "cid")
-            # Another representative in each mixed bucket, at random.
-            leads = inside.groupBy("bucket").agg(F.max(F.struct(F.xxhash64(F.lit(turn), "bucket", "cid").alias("r"), F.col("cid").alias("lead"),
-                                                                F.col("component").alias("lead_component"))).alias("s"))
-            pairs = inside.join(leads.select("bucket", "s.lead", "s.lead_component"), "bucket").where("component <> lead_component") \
-                .select(F.least("cid", "lead").alias("a"), F.greatest("cid", "lead").alias("b")).distinct()
-            self.verify(pairs, sets, f"edges-{turn}")
-        raise AssertionError("unreachable")
+        star = (star.join(self.signs.select(F.col("cid").alias("a"), F.col("sign").alias("x")), "a")
+                .join(self.signs.select(F.col("cid").alias("b"), F.col("sign").alias("y")), "b")
+                .select("a", "b", "x", "y").mapInArrow(_alike(self.least), "a long, b long"))
+        edges = self.verified(star, sets, "star")
+        groups = components(edges, self.work, "groups-1").withColumnRenamed("id", "cid")
+        for turn, every in enumerate((False, True), 2):
+            opened = self.open_buckets(groups, f"open-{turn}")
+            edges = self.verified(self.in_blocks(opened, every), sets, f"links-{turn}")
+            groups = components(groups.select("cid", "component").union(edges), self.work, f"groups-{turn}").withColumnRenamed("id", "cid")
+        return groups
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
