@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spillway.llm import decontaminate, embedding_dedup, html_text, language_model, line_dedup, minhash_dedup, mixing, secrets, sharding
+from spillway.llm import decontaminate, embedding_dedup, html_text, language_model, line_dedup, minhash_dedup, mixing, secrets, sharding, toxicity
 from spillway.llm.common import Workspace, table
 
 SHARDS = 40
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), Workspace(spark, "op2"))
 
@@ -56,6 +60,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_kneser_ney": op4_kneser_ney,

@@ -66,17 +66,18 @@ def chunks(offs: np.ndarray, limit: int = CHUNK_BYTES):
         a = b
 
 
-def words(data: np.ndarray, offs: np.ndarray, is_word: np.ndarray = PLAIN, fold_latin: bool = True):
+def words(data: np.ndarray, offs: np.ndarray, is_word: np.ndarray = PLAIN, fold_latin: bool = True, prefixes: tuple[int, ...] = ()):
     """Hashes of all words of the rows, and per row the offset of its first word.
 
     Letters A-Z are folded to lower case; with `fold_latin` also the capital
     letters U+00C0..U+00DE.  Returns (hashes uint64, word offsets int64 of
-    length rows + 1, word start byte, word end byte).
+    length rows + 1, word start byte, word end byte); with `prefixes` the fourth
+    is a list of hashes of each word's first so many letters instead.
     """
     n = len(data)
     if n == 0:
         return (np.zeros(0, np.uint64), np.zeros(len(offs), np.int64),
-                np.zeros(0, np.int64), np.zeros(0, np.int64))
+                np.zeros(0, np.int64), [np.zeros(0, np.uint64) for _ in prefixes] if prefixes else np.zeros(0, np.int64))
     _grow(n)
     inside = is_word[data]
     before = np.empty(n, bool)
@@ -103,6 +104,11 @@ def words(data: np.ndarray, offs: np.ndarray, is_word: np.ndarray = PLAIN, fold_
         total[0] = 0
         np.cumsum((low.astype(np.uint64) + np.uint64(1)) * _powers[:n], out=total[1:])
         h = mix((total[ends] - total[starts]) * _inverses[starts])
+        if prefixes:
+            letters = np.append(np.flatnonzero((data & 0xC0) != 0x80), np.full(max(prefixes), n))
+            place = np.searchsorted(letters[:len(letters) - max(prefixes)], starts)
+            stops = [np.minimum(letters[place + k], ends) for k in prefixes]
+            ends = [mix((total[stop] - total[starts]) * _inverses[starts] + np.uint64(k)) for k, stop in zip(prefixes, stops, strict=True)]
     return h, np.searchsorted(starts, offs).astype(np.int64), starts, ends
 
 
