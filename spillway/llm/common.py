@@ -7,7 +7,6 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from spillway.session import under_state
 
@@ -45,9 +44,9 @@ def words_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(BLANK_WORD)), F.lit(0)).cast("long")
 
 
-def string_type(df: DataFrame, name: str) -> DataFrame:
-    """The column as a string, whatever its type (a table without rows may carry none)."""
-    return df.withColumn(name, F.col(name).cast(T.StringType()))
+def whole_row(df: DataFrame) -> Column:
+    """All columns of the input as one struct, so that no other column can clash with them."""
+    return F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in df.columns))
 
 
 def sorted_groups(batches, keys: int):

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spillway.llm import tokens
-from spillway.llm.common import Workspace, long_lists, text_keys
+from spillway.llm.common import Workspace, long_lists, text_keys, whole_row
 
 # ---- fixed values: positions of a window that count (1) or are ignored (0) ----
 MASKS = ("1101011", "1110011", "1011101")
@@ -217,5 +217,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, work: Workspace) -> Dat
     """The rows of `docs` that contain no item, all columns as they are."""
     bad = contaminated_texts(docs, benchmark, work).select("k1", "k2").distinct()
     k1, k2 = text_keys(F.col("text").cast("string"))
-    packed = docs.select(F.struct(*docs.columns).alias("row"), k1.alias("k1"), k2.alias("k2"))
+    packed = docs.select(whole_row(docs).alias("row"), k1.alias("k1"), k2.alias("k2"))
     return packed.join(bad, ["k1", "k2"], "left_anti").select("row.*")

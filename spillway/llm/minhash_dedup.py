@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spillway.llm import tokens
-from spillway.llm.common import Workspace, long_lists, sorted_groups, text_keys
+from spillway.llm.common import Workspace, long_lists, sorted_groups, text_keys, whole_row
 from spillway.llm.graph import components
 
 SHINGLE = 5
@@ -349,7 +349,7 @@ def deduplicate(docs: DataFrame, work: Workspace, similarity: float = SIMILARITY
         rows.where("group is not null").groupBy("group", ident.alias("ident")).agg(F.count("*").alias("times"))
         .groupBy("group").agg(F.min(F.struct("ident", "times")).alias("w")).select("w.ident.*", "w.times"), "winners")
     r1, r2 = text_keys(F.col("text").cast("string"))
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("row_id"), r1.alias("r1"), r2.alias("r2"))
+    packed = docs.select(whole_row(docs).alias("row"), F.col("doc_id").alias("row_id"), r1.alias("r1"), r2.alias("r2"))
     e1, e2 = text_keys(F.lit(""))
     empty = (F.col("r1") == e1) & (F.col("r2") == e2)
 

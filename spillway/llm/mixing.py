@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spillway.llm.common import Workspace, words_of
+from spillway.llm.common import Workspace, whole_row, words_of
 
 BUCKET_BITS = 12  # a source's keys are range-split into 4,096 buckets
 WEIGHTS = (5, 2, 1)
@@ -137,7 +137,7 @@ def mix_documents(docs: DataFrame, work: Workspace, weights: Sequence[int] = WEI
     any budget and is taken once.
     """
     chosen = work.write(plan(work.write(sized(docs), "sized"), weights, share, most), "plan")
-    whole = docs.select(F.struct(*docs.columns).alias("row"), words_of(F.col("text")).alias("size"), random_key().alias("key"))
+    whole = docs.select(whole_row(docs).alias("row"), words_of(F.col("text")).alias("size"), random_key().alias("key"))
     joined = whole.join(chosen.withColumnRenamed("source", "plan_source"),
                         F.col("row.source").eqNullSafe(F.col("plan_source")))
     last = _taken(F.col("size"), F.col("key")) - F.col("epochs") * F.col("size")
