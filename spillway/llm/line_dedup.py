@@ -61,10 +61,12 @@ def remove_boilerplate(docs: DataFrame, work: Workspace, site: str = "source", m
     rows = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col(site).alias("site"))
     bad = work.write(boilerplate_lines(rows, "site", min_sites, work), "boilerplate")
     k1, k2 = text_keys(F.col("text"))
-    # What goes from a text depends on the text alone: copies share one list.
-    hits = (rows.select(k1.alias("k1"), k2.alias("k2"), F.explode(_keys(F.col("text"))).alias("line"))
+    # What goes from a text depends on the text alone: copies share one list.  It is written so
+    # that the join below has two plain inputs, which Spark can split where copies crowd.
+    hits = work.write(
+        rows.select(k1.alias("k1"), k2.alias("k2"), F.explode(_keys(F.col("text"))).alias("line"))
             .join(bad, "line", "left_semi")
-            .groupBy("k1", "k2").agg(F.collect_set("line").alias("drop")))
+            .groupBy("k1", "k2").agg(F.collect_set("line").alias("drop")), "hits")
     joined = rows.withColumns({"k1": k1, "k2": k2}).join(hits, ["k1", "k2"], "left")
     drop = F.coalesce("drop", F.array().cast("array<bigint>"))
     goes = lambda x: (F.trim(x) != "") & F.array_contains(F.col("gone"), line_key(x))
