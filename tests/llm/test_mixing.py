@@ -1,0 +1,93 @@
+import re
+from collections import defaultdict
+
+import pytest
+
+from spillway.llm import mixing
+from spillway.llm.common import Workspace
+from spillway.llm.queries import op6_mix_sources
+from tests.llm.helpers import clashing, documents, plain
+
+
+def words(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def brute_targets(sizes):
+    """source -> target by resharing the excess again and again."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    left, target, open_ = 1.5 * sum(sizes.values()), {}, set(order)
+    while open_:
+        share = left / sum(weight[s] for s in open_)
+        over = {s for s in open_ if weight[s] * share > 2 * sizes[s]}
+        if not over:
+            return target | {s: weight[s] * share for s in open_}
+        for s in over:
+            target[s] = 2.0 * sizes[s]
+        left -= sum(target[s] for s in over)
+        open_ -= over
+    return target
+
+
+@pytest.mark.parametrize("sizes", [
+    {"a": 10, "b": 100, "c": 1000}, {"a": 1000, "b": 10, "c": 0, None: 7}, {"a": 5}, {"é": 3, "z": 3, "Z": 3, "": 90, None: 3},
+    {f"s{i}": (i * 37) % 101 + 1 for i in range(30)},
+])
+def test_targets_equal_resharing_by_hand(spark, sizes):
+    rows = spark.createDataFrame([(s, n, i) for i, (s, n) in enumerate(sizes.items())], "source string, size long, key long")
+    got = {r["source"]: r["target"] for r in mixing.targets(rows).collect()}
+    want = brute_targets(sizes)
+    assert got.keys() == want.keys()
+    for s in want:
+        assert got[s] == pytest.approx(want[s], rel=1e-12)
+
+
+def check(rows, docs):
+    """The contract, on rows of the query and (doc_id, source, size) of the documents."""
+    per, by = defaultdict(int), defaultdict(list)
+    for _, source, size in docs:
+        per[source] += size
+    want = brute_targets(per)
+    for r in rows:
+        assert r["source_size"] == per[r["source"]]
+        assert r["target"] == pytest.approx(want[r["source"]], rel=1e-12)
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        by[r["source"]].append(r)
+    for source, some in by.items():
+        assert abs(sum(r["taken"] for r in some) - want[source]) <= len(some)
+
+
+def test_given_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = [(r["doc_id"], r["source"], words(r["text"])) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    first = mixing.mix(spark.read.parquet(f"{sf}/documents.parquet"), Workspace(spark, "t")).collect()
+    check(first, docs)
+    assert sorted((r["doc_id"], r["size"]) for r in first) == sorted((i, n) for i, _, n in docs)
+    for s in {r["source"] for r in first}:  # whole documents but for one at the cut
+        assert sum(r["size"] > 0 and r["taken"] % r["size"] != 0 for r in first if r["source"] == s) <= 1
+    again = op6_mix_sources(spark, sf)
+    assert sorted(plain(again, "doc_id", "taken")) == sorted((r["doc_id"], r["taken"]) for r in first)
+
+
+@pytest.mark.parametrize("wrap", [lambda d: d, clashing])
+def test_cases(spark, wrap):
+    docs = wrap(documents(spark))
+    rows = mixing.mix(docs, Workspace(spark, "t")).collect()
+    assert len(rows) == 12
+    check(rows, [(r["doc_id"], r["source"], words(r["text"])) for r in documents(spark).collect()])
+    mixed = mixing.mix_documents(docs, Workspace(spark, "t"))
+    assert mixed.columns == docs.columns
+    times = defaultdict(int)
+    for r in mixed.collect():
+        times[(r["doc_id"], r["text"])] += 1
+    assert times[(3, None)] == times[(4, "")] == times[(5, " \t\n ")] == 1
+    none = mixing.mix(docs.limit(0), Workspace(spark, "t"))
+    assert none.count() == mixing.mix_documents(docs.limit(0), Workspace(spark, "t")).count() == 0
+
+
+def test_equal_rows_share_the_cut(spark):
+    docs = documents(spark, [(1, "a b c d e", "en", "s", 9)] * 30 + [(2, "x " * 300, "en", "t", 0)])
+    rows = mixing.mix(docs, Workspace(spark, "t")).collect()
+    check(rows, [(r["doc_id"], r["source"], words(r["text"])) for r in docs.collect()])
+    assert len({r["taken"] for r in rows if r["doc_id"] == 1}) == 1
