@@ -33,8 +33,8 @@ from spillway.llm import tokens
 from spillway.llm.common import Workspace
 
 ORDER = 2
-FLUSH_TOKENS = 4_000_000   # words counted in a task before its counts are sent on: bounds its memory
-CHUNK = 4 << 20            # bytes of text scored at once
+FLUSH_TOKENS = 1_500_000   # words counted in a task before its counts are sent on: bounds its memory
+CHUNK = 2 << 20            # bytes of text scored at once
 PART_BYTES = 16 << 20      # text bytes for each array file
 HOT_SHARE = 256            # contexts with more than 1/256 of all words are spread over files
 SPREAD = 64
@@ -260,6 +260,14 @@ def _distinct_grams(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np
     return ids[at], total
 
 
+def _ending(stream: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
+    """(len(last), n): the n numbers of the stream that end at each place."""
+    out = np.empty((len(last), n), stream.dtype)
+    for j in range(n):
+        out[:, j] = stream[last - (n - 1 - j)]
+    return out
+
+
 def _count_grams(model: Model):
     """n-grams of the highest order; at a text's begin, the shorter ones that start with number 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +281,7 @@ def _count_grams(model: Model):
                 # A word at place p (from 1) of its text closes an n-gram of min(p + 1, order) words.
                 last = np.flatnonzero(places >= level - 1 if level == model.order else places == level - 1)
                 if len(last):
-                    grams, counts = _distinct_grams(ids[last[:, None] + np.arange(1 - level, 1)], np.ones(len(last), np.uint64))
+                    grams, counts = _distinct_grams(_ending(ids, last, level), np.ones(len(last), np.uint64))
                     _, before, _ = known_counts(known, grams[:, -2])
                     yield _blobs(grams, counts, known.gram_part(grams, before), level)
 
@@ -499,7 +507,7 @@ def token_probabilities(known: Arrays, h: np.ndarray, at: np.ndarray) -> tuple[n
     where = np.arange(len(h)) + np.repeat(np.arange(1, len(at)), np.diff(at))
     for level in range(2, model.order + 1):
         use = np.flatnonzero(place >= level - 1)
-        grams = stream[where[use][:, None] + np.arange(1 - level, 1)]
+        grams = _ending(stream, where[use], level)
         fine = (grams[:, :-1] != UNKNOWN).all(axis=1)
         use, grams = use[fine], grams[fine]
         if not len(use):
