@@ -1,0 +1,95 @@
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+
+from spillway.llm import decontaminate as d
+from spillway.llm.common import Workspace
+from tests.llm.helpers import clashing, documents, plain
+
+
+def words(text):
+    return re.findall(r"[a-z0-9_\x80-\U0010ffff]+", (text or "").lower())
+
+
+def brute(docs, items):
+    """(doc_id, item_id) of all rows by comparing every diagonal."""
+    out = []
+    for di, dt in docs:
+        a = np.array(words(dt), object)
+        for ii, it in items:
+            b = np.array(words(it), object)
+            size = min(len(b), 13)
+            most = 2 if len(b) >= 13 else 1 if len(b) >= 8 else 0
+            found = False
+            if len(b) >= 5:
+                for shift in range(size - len(b), len(a) - size + 1):
+                    lo, hi = max(0, -shift), min(len(b), len(a) - shift)
+                    if hi - lo >= size:
+                        same = (a[lo + shift:hi + shift] == b[lo:hi]).astype(int)
+                        found |= bool((np.convolve(same, np.ones(size, int), "valid") >= size - most).any())
+            if found:
+                out.append((di, ii))
+    return sorted(out, key=str)
+
+
+def items(spark, rows):
+    return spark.createDataFrame(rows, "item_id long, text string")
+
+
+def test_masks_fit_every_window_that_counts():
+    def seen(size, off):
+        return any(all(o + i not in off for i, c in enumerate(mask) if c == "1")
+                   for mask in d.MASKS for o in range(size - len(mask) + 1))
+    assert all(seen(d.WINDOW, set(off)) for off in itertools.combinations(range(d.WINDOW), d.SUBSTITUTED))
+    for size in range(d.SHORT, d.WINDOW):
+        assert all(seen(size, {off}) for off in range(size))
+
+
+@pytest.mark.parametrize("wrap", [lambda x: x, clashing])
+def test_cases(spark, wrap):
+    rng = random.Random(3)
+    item = [" ".join(f"v{rng.randrange(60)}" for _ in range(n)) for n in (40, 13, 12, 8, 7, 5, 4, 1)] + [None, ""]
+    bench = [*enumerate(item), (0, item[0]), (None, item[1])]
+    rows = []
+    for number, text in enumerate(item[:8]):
+        w = text.split()
+        for k in range(4):
+            v = list(w)
+            for place in rng.sample(range(len(v)), min(k, len(v))):
+                v[place] = "other"
+            front = [f"f{rng.randrange(99)}" for _ in range(rng.randrange(30))]
+            rows.append((100 * number + k, " ".join([*front, *v, "Ende."]), "en", "s", 0))
+    rows += [(900, " ".join(item[0].split()[10:23]), "en", "s", 0), (901, " ".join(item[0].split()[10:20]), "en", "s", 0), rows[0],
+             (None, rows[0][1].upper(), "en", "s", 0)]
+    docs = wrap(documents(spark).union(documents(spark, rows)))
+    pairs = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    want = brute(pairs, bench)
+    got = d.find_leaks(docs, items(spark, bench), Workspace(spark, "t"))
+    assert sorted(map(tuple, got.select("doc_id", "item_id").collect()), key=str) == want
+    bad = {i for i, _ in want}
+    left = d.decontaminate(docs, items(spark, bench), Workspace(spark, "t"))
+    assert left.columns == docs.columns
+    assert sorted((r["doc_id"] for r in left.collect()), key=str) == sorted(
+        (i for i, t in pairs if not brute([(i, t)], bench)), key=str)
+    assert bad and d.find_leaks(docs.limit(0), items(spark, bench), Workspace(spark, "t")).count() == 0
+    none = items(spark, [])
+    assert d.find_leaks(docs, none, Workspace(spark, "t")).count() == 0
+    assert d.decontaminate(docs, none, Workspace(spark, "t")).count() == docs.count()
+
+
+def test_given_documents(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, bench = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
+    want = brute([(r["doc_id"], r["text"]) for r in docs.collect()], [(r["item_id"], r["text"]) for r in bench.collect()])
+    assert sorted(map(tuple, d.find_leaks(docs, bench, Workspace(spark, "t")).select("doc_id", "item_id").collect()), key=str) == want
+
+
+def test_overlap_reports_the_part_found():
+    item = np.arange(30)
+    text = np.concatenate([np.full(5, 99), item[4:25], np.full(5, 98)])
+    assert d.overlap(text, item, 1) == (2, 27, 21)  # up to two words at either end may differ
+    assert d.overlap(text, item, 0) is None
+    assert plain is not None
