@@ -163,22 +163,27 @@ def _strongest(agree: np.ndarray, group: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _blocks(least: int, every: bool):
-    """Sorted bucket, i, j, cid, component, side, sign -> pairs (a, b) to verify.
+    """Sorted bucket, i, j, cid, component, side, sign, band -> pairs (a, b) to verify.
 
-    `every`: all pairs in two components that agree well enough; else a forest of the strongest.
+    `every`: all pairs in two components that agree well enough, each in the
+    first band it shares; else a forest of the strongest.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in sorted_groups(batches, 3):
             cid, component, side = (rows.column(c).to_numpy() for c in ("cid", "component", "side"))
             if len(cid) < 2:
                 continue
-            agree = _agreements(_signs(rows.column("sign")))
+            signs = _signs(rows.column("sign"))
+            agree = _agreements(signs)
             agree[agree < least] = 0
             if rows.column("i")[0] != rows.column("j")[0]:
                 agree[side[:, None] == side[None, :]] = 0
             if every:
                 agree[component[:, None] == component[None, :]] = 0
                 a, b = np.nonzero(np.triu(agree))
+                shared = (signs[a] == signs[b]).reshape(-1, BANDS, ROWS).all(axis=2)
+                here = shared.argmax(axis=1) == rows.column("band")[0].as_py()
+                a, b = a[here], b[here]
             else:
                 a, b = np.array(_strongest(agree, component), np.int64).reshape(-1, 2).T
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cid[a], cid[b])), pa.array(np.maximum(cid[a], cid[b]))], names=["a", "b"])
@@ -236,9 +241,9 @@ class _Search:
             .withColumn("cid", F.monotonically_increasing_id()), "classes")
         bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
                             lambda i: F.xxhash64(i, F.substring("sign", i * ROWS + 1, F.lit(ROWS))))
-        members = self.classes.where("sign is not null").select("cid", F.explode(bands).alias("bucket"))
+        members = self.classes.where("sign is not null").select("cid", F.posexplode(bands).alias("band", "bucket"))
         crowded = members.groupBy("bucket").agg(F.count("*").alias("crowd"), F.min("cid").alias("lead")).where("crowd > 1")
-        self.members = work.write(members.join(crowded, "bucket").select("bucket", "cid", "crowd", "lead"), "members")
+        self.members = work.write(members.join(crowded, "bucket").select("bucket", "band", "cid", "crowd", "lead"), "members")
         self.signs = self.classes.select("cid", "sign")
 
     def shingles(self) -> DataFrame:
@@ -259,8 +264,8 @@ class _Search:
     def open_buckets(self, groups: DataFrame, name: str) -> DataFrame:
         """Members of buckets that hold several components and more than the one pair that was compared."""
         placed = self.work.write(
-            self.members.where("crowd > 2").select("bucket", "cid", "crowd").join(groups, "cid", "left")
-            .select("bucket", "cid", "crowd", F.coalesce("component", "cid").alias("component")), f"{name}-placed")
+            self.members.where("crowd > 2").select("bucket", "band", "cid", "crowd").join(groups, "cid", "left")
+            .select("bucket", "band", "cid", "crowd", F.coalesce("component", "cid").alias("component")), f"{name}-placed")
         mixed = placed.groupBy("bucket").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q")
         return self.work.write(placed.join(mixed.select("bucket"), "bucket", "left_semi"), name)
 
@@ -273,8 +278,8 @@ class _Search:
             others = F.when(F.col("block") == 0, others).otherwise(F.array(F.lit(0), F.col("block")))
         dealt = (opened.withColumns({"count": count, "block": block}).withColumn("other", F.explode(others))
                  .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                         "cid", "component", (F.col("block") > F.col("other")).alias("side"))
-                 .join(self.signs, "cid").select("bucket", "i", "j", "cid", "component", "side", "sign"))
+                         "cid", "component", (F.col("block") > F.col("other")).alias("side"), "band")
+                 .join(self.signs, "cid").select("bucket", "i", "j", "cid", "component", "side", "sign", "band"))
         return (dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
                 .mapInArrow(_blocks(self.least, every), "a long, b long"))
 
