@@ -505,7 +505,7 @@ def token_probabilities(known: Arrays, h: np.ndarray, at: np.ndarray) -> tuple[n
     stream = np.insert(number, at[:-1], np.uint32(0))
     seen = np.insert(count, at[:-1], 0.0)
     where = np.arange(len(h)) + np.repeat(np.arange(1, len(at)), np.diff(at))
-    for level in range(2, model.order + 1):
+    for level in sorted(set(model.discounts) - {1}):  # none where nothing was learned
         use = np.flatnonzero(place >= level - 1)
         grams = _ending(stream, where[use], level)
         fine = (grams[:, :-1] != UNKNOWN).all(axis=1)
