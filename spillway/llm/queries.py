@@ -78,11 +78,11 @@ ORACLE: dict[str, str] = {
         seen AS (SELECT DISTINCT trim(x) AS line, source
                  FROM (SELECT unnest(string_split(text, chr(10))) AS x, source FROM d) WHERE trim(x) <> ''),
         bad AS (SELECT line FROM seen GROUP BY line HAVING count(*) >= {line_dedup.MIN_SITES}),
-        cut AS (SELECT doc_id, list_filter(string_split(text, chr(10)), x -> trim(x) <> '') AS solid,
-                       list_filter(string_split(text, chr(10)), x -> NOT coalesce(list_contains((SELECT list(line) FROM bad), trim(x)), false)) AS kept
-                FROM d)
+        cut AS (SELECT doc_id, [x FOR x IN string_split(text, chr(10)) IF trim(x) <> ''] AS solid,
+                       [x FOR x IN string_split(text, chr(10)) IF NOT list_contains(gone, trim(x))] AS kept
+                FROM d, (SELECT coalesce(list(line), []) AS gone FROM bad))
         SELECT doc_id, CAST(len(solid) AS BIGINT) AS n_lines,
-               CAST(len(solid) - len(list_filter(kept, x -> trim(x) <> '')) AS BIGINT) AS n_removed,
+               CAST(len(solid) - len([x FOR x IN kept IF trim(x) <> '']) AS BIGINT) AS n_removed,
                array_to_string(kept, chr(10)) AS text
         FROM cut""",
 }
