@@ -7,7 +7,10 @@ Prints one JSON line.  Timed steps (seconds):
 * derive_events_log / derive_lineitem_log - the given tables turned into topic
   logs (skew-safe offset numbering) and written as file logs;
 * copy_events_batch / copy_lineitem_batch - one bounded copy of the whole log
-  (placement, destination offsets, gzip file-log write, audit and commits);
+  (placement, destination offsets, gzip file-log write, audit and commits); every
+  record is sent, which is checked;
+* copy_events_rejects - the same with a predicate that fails most records, which
+  go to the quarantine table;
 * copy_lineitem_stream - the same log copied by the streaming transfer
   (availableNow), through checkpoint, audit and commits;
 * lag_lineitem - newest offsets of the source + stored positions -> lag and total;
@@ -75,18 +78,30 @@ def main() -> None:
     rows["events"] = read_file_log(spark, ev_log).count()
     rows["lineitem"] = read_file_log(spark, li_log).count()
 
-    def batch_copy(src, dst):
+    def batch_copy(src, dst, reject_when=None):
         copy_bounded(read_file_log(spark, src), fx.FIXTURE_PARTITIONS, dst, f"{dst}_state",
-                     group_name("topic", fx.FIXTURE_SUFFIX), reject_when=fx.REJECT_WHEN)
+                     group_name("topic", fx.FIXTURE_SUFFIX), reject_when=reject_when)
+
+    def sent(name, path, want):
+        rows[name] = read_file_log(spark, path).count()
+        assert rows[name] == want, f"{name}: {rows[name]} records at the destination, {want} at the source"
 
     timed("copy_events_batch", lambda i: batch_copy(ev_log, f"{root}/events_copy{i}"))
+    sent("sent_events_batch", f"{root}/events_copy0", rows["events"])
     timed("copy_lineitem_batch", lambda i: batch_copy(li_log, f"{root}/lineitem_copy{i}"))
+    sent("sent_lineitem_batch", f"{root}/lineitem_copy0", rows["lineitem"])
+    timed("copy_events_rejects", lambda i: batch_copy(ev_log, f"{root}/events_rejects{i}", fx.REJECT_WHEN))
+    kept = read_file_log(spark, f"{root}/events_rejects0").count()
+    failed = spark.read.parquet(f"{root}/events_rejects0_state/quarantine").count()
+    assert kept + failed == rows["events"]
+    rows |= {"sent_events_rejects": kept, "quarantined_events_rejects": failed}
 
     def stream_opts(i):
         return TransferOptions(topic="lineitem", source=li_log, destination=f"{root}/lineitem_stream{i}",
                                state_path=f"{root}/state{i}", start_at="earliest", destination_partitions=24)
     t = timed("copy_lineitem_stream", lambda i: run_transfer(spark, stream_opts(i)))
     opts = t.opts
+    sent("sent_lineitem_stream", opts.destination, rows["lineitem"])
 
     def lag(i):
         src = read_file_log(spark, li_log, "lineitem")

@@ -7,10 +7,8 @@ given tables.  Column names equal the Spark query's.
 
 from __future__ import annotations
 
-from spillway.options import DEFAULT_GROUP_SUFFIX
-
-# Consumer groups are named <topic>_<suffix>.
-GROUP_SUFFIX = f"_{DEFAULT_GROUP_SUFFIX}"
+# Consumer groups are named <topic>_<suffix>; written out, not taken from the engine.
+GROUP_SUFFIX = "_spillway"
 
 # The topic log derived from `events` (FIXTURES.md).
 LOG = """
@@ -122,6 +120,19 @@ dense AS (
   FROM grid g LEFT JOIN counts c ON {on} AND g.b = c.b)"""
 
 
+TOPIC_SINK = f"""WITH {LOG},
+rng AS (SELECT topic, "partition", MIN("offset") AS f, MAX("offset") + 1 AS u FROM log GROUP BY topic, "partition"),
+slots AS (
+  SELECT topic, "partition", f,
+         COALESCE(SUM((u - f + 23) // 24) OVER (PARTITION BY topic ORDER BY "partition"
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS slot
+  FROM rng)
+SELECT l.topic, CAST((l."offset" + l."partition") % 24 AS INTEGER) AS "partition",
+       CAST(s.slot + (l."offset" - s.f) // 24 AS BIGINT) AS "offset",
+       COALESCE(l."key", '') AS "key", COALESCE(l."value", '') AS "value"
+FROM log l JOIN slots s ON l.topic = s.topic AND l."partition" = s."partition\""""
+
+
 ORACLE: dict[str, str] = {
     "topic_source": f"""WITH {LOG}
 SELECT topic, "partition", "offset", "key", "value", "timestamp" FROM log""",
@@ -168,17 +179,7 @@ FROM log l""",
 
     "fan_out": f"WITH {LOG}{COPY}",
 
-    "topic_sink": f"""WITH {LOG},
-rng AS (SELECT topic, "partition", MIN("offset") AS f, MAX("offset") + 1 AS u FROM log GROUP BY topic, "partition"),
-slots AS (
-  SELECT topic, "partition", f,
-         COALESCE(SUM((u - f + 23) // 24) OVER (PARTITION BY topic ORDER BY "partition"
-                                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS slot
-  FROM rng)
-SELECT l.topic, CAST((l."offset" + l."partition") % 24 AS INTEGER) AS "partition",
-       CAST(s.slot + (l."offset" - s.f) // 24 AS BIGINT) AS "offset",
-       COALESCE(l."key", '') AS "key", COALESCE(l."value", '') AS "value"
-FROM log l JOIN slots s ON l.topic = s.topic AND l."partition" = s."partition\"""",
+    "topic_sink": TOPIC_SINK,
 
     "failed_records": f"""WITH {LOG}
 SELECT topic, CAST(SUM(CASE WHEN {REJECT} THEN 0 ELSE 1 END) AS BIGINT) AS sent,
@@ -201,9 +202,29 @@ FROM (SELECT user_id, event_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY
       FROM events WHERE event_type = 'error')
 WHERE rn = 11""",
 
-    "drain_stop": f"WITH {LOG}{COPY}",
+    "drain_stop": f"""WITH {LOG}
+SELECT topic, COUNT(*) AS consumed, COUNT(*) AS produced, CAST(0 AS BIGINT) AS waiting, false AS running FROM log GROUP BY topic""",
+
+    "read_limit": f"""WITH {LOG}
+SELECT topic, COUNT(*) AS records, COUNT(DISTINCT "partition") AS partitions FROM log GROUP BY topic, dayofyear("timestamp") // 5""",
+
+    "flush_policy": f"""WITH {LOG}
+SELECT topic, COUNT(*) AS records, true AS one_batch_an_interval FROM log GROUP BY topic""",
+
+    "delivery_options": f"""WITH {LOG}
+SELECT topic, 'gz' AS codec, COUNT(*) AS records FROM log GROUP BY topic""",
+
+    "copy_replay": TOPIC_SINK,
+
+    "copy_lag": f"""WITH {LOG}, {SNAP}
+SELECT topic || '{GROUP_SUFFIX}' AS "group", l.topic, l."partition", COALESCE(ANY_VALUE(s.start_offset), 0) AS current_offset,
+       COUNT(*) AS newest_offset, COUNT(*) - COALESCE(ANY_VALUE(s.start_offset), 0) AS lag, ANY_VALUE(s.start_offset) IS NOT NULL AS has_position
+FROM log l LEFT JOIN snap s USING (topic, "partition") GROUP BY l.topic, l."partition\"""",
 
-    "read_limit": f"WITH {LOG}{COPY}",
+    "copy_points": f"""WITH {LOG}, c(client) AS (VALUES ('consumer'), ('producer'))
+SELECT 'rps_stats,clientType=' || client || ',host=spillway-host,topic=' || topic AS series, COUNT(*) AS records,
+       true AS no_duplicate, true AS no_gap
+FROM log, c GROUP BY topic, client""",
 
     "copy_audit": f"""WITH {LOG}
 SELECT topic || '{GROUP_SUFFIX}' AS "group", 'consumer' AS client_type, COUNT(*) AS n,
@@ -222,9 +243,11 @@ FROM log GROUP BY topic, "partition\"""",
 SELECT topic, client_type, "time", records FROM tp""",
 
     "dense_throughput": f"""WITH {LOG}, {AUDIT}, {_dense(
-        f"SELECT topic, client_type, {_bucket('"at"', 10)} AS b, SUM(n) AS records FROM audit GROUP BY ALL",
-        ["topic", "client_type"], 10)}
-SELECT topic, client_type, make_timestamp(b * 1000000) AS "time", CAST(records AS BIGINT) AS records FROM dense""",
+        f"SELECT topic, client_type, {_bucket('"at"', 1)} AS b, SUM(n) AS records FROM audit GROUP BY ALL",
+        ["topic", "client_type"], 1)}
+SELECT topic, client_type, make_timestamp((b - b % 60) * 1000000) AS "start",
+       string_agg(CAST(CAST(records AS BIGINT) AS VARCHAR), ',' ORDER BY b) AS records
+FROM dense GROUP BY topic, client_type, b - b % 60""",
 
     "partition_lag": f"""WITH {LOG}, {STORED}, {PARTS}, {LAG}
 SELECT * FROM lagrows""",

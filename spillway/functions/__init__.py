@@ -12,4 +12,5 @@ from spillway.functions.columns import (  # noqa: F401
     series_key,
     to_ntz,
     truncate_time,
+    whole_div,
 )

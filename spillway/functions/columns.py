@@ -44,11 +44,16 @@ def truncate_time(c: str | Column) -> Column:
     return F.date_trunc("second", col)
 
 
+def whole_div(c: Column, n: int) -> Column:
+    """Whole-number quotient of a non-negative BIGINT or an exact multiple of n (`div`: no double on the way)."""
+    return F.call_function("div", c, F.lit(n).cast("long"))
+
+
 def second_bucket(c: str | Column, seconds: int) -> Column:
     """Start of the fixed ``seconds``-wide bucket holding a timestamp, as epoch
     seconds (BIGINT).  Integer arithmetic: no struct, no zone, stays in codegen."""
     m = F.unix_micros(_c(c).cast("timestamp"))
-    return ((m - F.pmod(m, F.lit(1_000_000 * seconds))) / F.lit(1_000_000)).cast("long")
+    return whole_div(m - F.pmod(m, F.lit(1_000_000 * seconds)), 1_000_000)
 
 
 def next_tick(c: str | Column, seconds: int) -> Column:

@@ -10,15 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spillway.functions import second_bucket
+from spillway.functions import second_bucket, whole_div
 
-# Buckets per generated chunk of a dense series: one input row of the grid
-# explodes into at most this many rows, so no task builds a whole series.
-DENSE_CHUNK = 3600
+# Buckets of a dense series that are built in one row (a minute of seconds).
+DENSE_CHUNK = 60
 
 
 def _epoch_to_ntz(c):
@@ -41,43 +39,53 @@ def throughput(audit: DataFrame, seconds: int = 1, keys: Sequence[str] = ("topic
             .select(*keys, _epoch_to_ntz("_bucket").alias("time"), "records"))
 
 
-def _grid(counts: DataFrame, keys: Sequence[str], seconds: int) -> DataFrame:
-    """Every (series, bucket) from the first to the last bucket of all series,
-    with records = 0.
-
-    Three numbers come back in one small aggregate (first and last bucket,
-    number of series); they size the grid.  Each series gets one row per chunk
-    of `DENSE_CHUNK` buckets; chunk rows are spread over as many tasks as there
-    are chunks (at most the default parallelism) and only then exploded, so no
-    task builds a whole series and no task is launched for nothing."""
-    span = counts.agg(F.min("_bucket").alias("lo"), F.max("_bucket").alias("hi"),
-                      F.count_distinct(*keys).alias("series")).first()
-    if span["lo"] is None:
-        return counts.select(*keys, "_bucket", "records").where(F.lit(False))  # no buckets, no grid
-    lo, hi = int(span["lo"]), int(span["hi"])
+def _span(counts: DataFrame) -> tuple[Column, Column]:
+    """First and last bucket of all series, as scalar subqueries (null without buckets)."""
+    return counts.agg(F.min("_bucket")).scalar(), counts.agg(F.max("_bucket")).scalar()
+
+
+def _chunks(counts: DataFrame, keys: Sequence[str], step: int) -> DataFrame:
+    """(keys, _lo, _hi, _chunk): every chunk of the span for every series; a few rows a series."""
+    lo, hi = _span(counts)
+    return (counts.select(*keys).distinct().withColumns({"_lo": lo, "_hi": hi})
+            .withColumn("_chunk", F.explode(F.sequence(whole_div(F.col("_lo"), step), whole_div(F.col("_hi"), step)))))
+
+
+def _dense(counts: DataFrame, keys: Sequence[str], seconds: int) -> DataFrame:
+    """(keys, _chunk, _from, _values): per series and chunk of the span, the first bucket and the values in order.
+
+    Counts and chunks meet in one exchange and grow to buckets inside a row, so
+    zeros are neither shuffled nor summed, and no task builds a whole series.
+    """
     step = seconds * DENSE_CHUNK
-    chunk_rows = int(span["series"]) * ((hi - lo) // step + 1)
-    tasks = max(1, min(counts.sparkSession.sparkContext.defaultParallelism, chunk_rows))
-    chunks = (counts.select(*keys).distinct()
-              .select(*keys, F.explode(F.sequence(F.lit(lo), F.lit(hi), F.lit(step))).alias("_chunk"))
-              .repartition(tasks, *keys, "_chunk"))
-    last = F.least(F.col("_chunk") + F.lit(step - seconds), F.lit(hi))
-    return chunks.select(*keys, F.explode(F.sequence(F.col("_chunk"), last, F.lit(seconds))).alias("_bucket"),
-                         F.lit(0).cast("long").alias("records"))
+    entry = F.struct(F.col("_bucket").alias("key"), F.col("records").alias("value"))
+    none = F.lit(None).cast("struct<key: bigint, value: bigint>")
+    given = counts.select(*keys, whole_div(F.col("_bucket"), step).alias("_chunk"), entry.alias("_entry"),
+                          F.lit(None).cast("long").alias("_lo"), F.lit(None).cast("long").alias("_hi"))
+    rows = given.unionByName(_chunks(counts, keys, step).withColumn("_entry", none))
+    found = rows.groupBy(*keys, "_chunk").agg(F.map_from_entries(F.collect_list("_entry")).alias("_found"),
+                                              F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    first = F.greatest("_lo", F.col("_chunk") * step)
+    last = F.least("_hi", F.col("_chunk") * step + (step - seconds))
+    buckets = F.sequence(first, last, F.lit(seconds).cast("long"))
+    zero = F.lit(0).cast("long")
+    return found.select(*keys, "_chunk", first.alias("_from"),
+                        F.transform(buckets, lambda t: F.coalesce(F.try_element_at("_found", t), zero)).alias("_values"))
+
+
+def _exploded(dense: DataFrame, keys: Sequence[str], seconds: int) -> DataFrame:
+    """(keys, _chunk, _bucket, records)"""
+    return (dense.select(*keys, "_chunk", "_from", F.posexplode("_values").alias("_at", "records"))
+            .select(*keys, "_chunk", (F.col("_from") + F.col("_at") * seconds).alias("_bucket"), "records"))
 
 
 def densify(counts: DataFrame, keys: Sequence[str], seconds: int) -> DataFrame:
-    """(keys, _bucket, records) -> the same with every bucket of the span.
+    """(keys, _bucket, records) -> the same with every bucket of the span of all series.
 
-    Union with the zero grid and one aggregate: a single exchange, where a
-    left join would shuffle both sides.  `counts` feeds the span, the series
-    list and the union; each use prunes different columns, so Spark cannot
-    share one exchange between them.  The counts (one row per series and
-    bucket, not per record) are therefore persisted once and read three times;
-    a lost block is recomputed from lineage."""
-    counts = counts.select(*keys, "_bucket", "records").persist(StorageLevel.MEMORY_AND_DISK)
-    return (counts.unionByName(_grid(counts, keys, seconds))
-            .groupBy(*keys, "_bucket").agg(F.sum("records").alias("records")))
+    Lazy and stateless: nothing is cached and no job runs here, so a plan built
+    later sees what the tables hold then.  The span is a scalar subquery.
+    """
+    return _exploded(_dense(counts, keys, seconds), keys, seconds).drop("_chunk")
 
 
 def dense_throughput(audit: DataFrame, seconds: int = 1,
@@ -96,6 +104,10 @@ def partition_lag(newest: DataFrame, committed: DataFrame, group: str | Column)
     have one row per partition; `committed` holds the positions of one group."""
     c = committed.select("topic", "partition", "next_offset")
     joined = newest.select("topic", "partition", "newest_offset").join(c, ["topic", "partition"], "left")
+    return _lag_columns(joined, group)
+
+
+def _lag_columns(joined: DataFrame, group: str | Column) -> DataFrame:
     grp = F.lit(group) if isinstance(group, str) else group
     return joined.select(
         grp.alias("group"), "topic", "partition",
@@ -125,10 +137,35 @@ def in_flight(audit: DataFrame, seconds: int = 30, keys: Sequence[str] = ("topic
     delta = F.when(F.col("client_type") == "consumer", F.col("n") - rejected).otherwise(-F.col("n"))
     counts = (audit.groupBy(*keys, second_bucket(time, seconds).alias("_bucket"))
               .agg(F.sum(delta).cast("long").alias("records")))
-    dense = densify(counts, keys, seconds)
-    running = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    return dense.select(*keys, _epoch_to_ntz("_bucket").alias("time"),
-                        F.sum("records").over(running).cast("long").alias("in_flight"))
+    # A running total of one long series in many tasks: inside chunks of the
+    # series, plus the total of the chunks before (one row per chunk).
+    step = seconds * DENSE_CHUNK
+    dense = _exploded(_dense(counts, keys, seconds), keys, seconds)
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (counts.groupBy(*keys, whole_div(F.col("_bucket"), step).alias("_chunk")).agg(F.sum("records").alias("_total")))
+    bases = (_chunks(counts, keys, step).join(totals, [*keys, "_chunk"], "left")
+             .select(*keys, "_chunk", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base")))
+    return (dense.withColumn("_inside", F.sum("records").over(inside)).join(bases, [*keys, "_chunk"])
+            .select(*keys, _epoch_to_ntz("_bucket").alias("time"), (F.col("_base") + F.col("_inside")).cast("long").alias("in_flight")))
+
+
+def packed_throughput(audit: DataFrame, seconds: int = 1, keys: Sequence[str] = ("topic", "client_type")) -> DataFrame:
+    """M2 with one row per (keys, chunk of `DENSE_CHUNK` buckets): the values in time order, comma-joined."""
+    dense = _dense(bucket_counts(audit, keys, seconds), keys, seconds)
+    return dense.select(*keys, _epoch_to_ntz(F.col("_chunk") * (seconds * DENSE_CHUNK)).alias("start"),
+                        F.array_join(F.transform("_values", lambda v: v.cast("string")), ",").alias("records"))
+
+
+def lag_of_log(log: DataFrame, partitions: DataFrame, before: str, group: str | Column) -> DataFrame:
+    """M3 over a log whose stored positions are "everything older than `before`":
+    newest offset and stored position from one aggregate over the log."""
+    old = F.col("timestamp") < F.to_timestamp(F.lit(before))
+    ends = log.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("newest_offset"),
+                                                 (F.max(F.when(old, F.col("offset"))) + 1).alias("next_offset"))
+    all_parts = (partitions.select("topic", "partition").join(ends, ["topic", "partition"], "left")
+                 .withColumn("newest_offset", F.coalesce("newest_offset", F.lit(0))))
+    return _lag_columns(all_parts, group)
 
 
 def gauge_sample(gauges: DataFrame, keys: Sequence[str], values: Sequence[str],

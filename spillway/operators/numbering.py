@@ -28,6 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spillway.functions import whole_div
+
 DEFAULT_SLICE_WIDTH = 1 << 20
 
 
@@ -41,7 +43,7 @@ def sequence_within(df: DataFrame, group: Sequence[str], order: str, out: str,
     unique.
     """
     group = list(group)
-    sliced = df.withColumn("_slice", F.floor(F.col(order) / F.lit(slice_width)))
+    sliced = df.withColumn("_slice", whole_div(F.col(order).cast("long"), slice_width))
     local = sliced.withColumn(
         "_local", F.row_number().over(Window.partitionBy(*group, "_slice").orderBy(order)) - 1)
     sizes = sliced.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"))

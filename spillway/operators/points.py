@@ -26,9 +26,6 @@ TAG_CLIENT_TYPE = "clientType"
 FIELD_CURRENT = "currentOffset"
 FIELD_NEWEST = "newestOffset"
 FIELD_RPS = "rps"
-SYSTEM_FIELDS = ("active_go_routines", "mallocs", "frees", "lookups", "memory_total_alloc",
-                 "memory_total_heap_alloc", "memory_total_heap_in_use", "memory_total_stack_sys",
-                 "memory_total_stack_in_use", "memory_total_sys")
 
 
 def _time(t) -> Column:

@@ -1,5 +1,5 @@
 """Offsets: newest per partition (S4), start position (S2), reset (S3),
-stored positions (S5) and the commit rows a copy appends (K5).
+stored positions (S5) and the seeds of a new generation (K5).
 
 Every table here has one row per (topic, partition), so its size is bounded by
 the partition count of the topic, never by the number of records.
@@ -70,17 +70,6 @@ def reset_position(stored: DataFrame, reset_snapshot: DataFrame, generation: int
                                F.lit(0)).cast("long").alias("skipped")))
 
 
-def commit_rows(copied: DataFrame, group: str, generation: int, batch_id: int,
-                at: Column | None = None) -> DataFrame:
-    """K5: the positions a batch moves to: per partition, last copied offset + 1."""
-    return (copied.groupBy("topic", "partition")
-            .agg((F.max("offset") + 1).alias("next_offset"))
-            .select(F.lit(group).alias("group"), F.lit(generation).cast("int").alias("generation"),
-                    "topic", "partition", "next_offset",
-                    F.lit(batch_id).cast("long").alias("batch_id"),
-                    (at if at is not None else F.current_timestamp()).alias("at")))
-
-
 def seed_rows(start: DataFrame, group: str, generation: int, at: Column | None = None) -> DataFrame:
     """K5: a new generation is seeded with its start snapshot as batch -1, so a
     fresh copy does not report the whole log as lag."""

@@ -53,19 +53,3 @@ def reject_flag(predicate: str | Column | None) -> Column:
         return F.lit(False)
     p = F.expr(predicate) if isinstance(predicate, str) else predicate
     return F.coalesce(p, F.lit(False))
-
-
-def split_rejects(df: DataFrame, predicate: str | Column | None) -> tuple[DataFrame, DataFrame]:
-    """K4: (records that go on, records that failed)."""
-    flagged = df.withColumn("_rejected", reject_flag(predicate))
-    return (flagged.where(~F.col("_rejected")).drop("_rejected"),
-            flagged.where(F.col("_rejected")).drop("_rejected"))
-
-
-def copy_records(log: DataFrame, topic: str, partitions: int,
-                 preserve_nulls: bool = False) -> DataFrame:
-    """P1 -> D1 -> P2 -> P3: the records a copy sends, with the destination
-    partition in column `partition`."""
-    placed = place_round_robin(topic_filter(log, topic), partitions)
-    sent = placed.select("topic", F.col("dst_partition").alias("partition"), "key", "value")
-    return null_to_empty(sent, preserve_nulls)

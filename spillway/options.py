@@ -10,16 +10,14 @@ from __future__ import annotations
 import dataclasses
 import socket
 
+DEFAULT_GROUP_SUFFIX = "spillway"
+CLIENT_ID = "spillway_copy"
+DEFAULT_BATCH_BYTES = 64 << 30
 # Fixed values that must equal the reference's.
-DEFAULT_GROUP_SUFFIX = "firehose"
-DEFAULT_BUFFER_SIZE = 10000
 DEFAULT_MAX_ERRORS = 10
 DEFAULT_MAX_RETRY = 5
-DEFAULT_BATCH_SIZE = 500
 DEFAULT_FLUSH_INTERVAL_MS = 10000
 DEFAULT_CONSUMER_CONCURRENCY = 4
-DEFAULT_PRODUCER_CONCURRENCY = 4
-CLIENT_ID = "firehose_realtime"
 METRIC_FLUSH_SECONDS = 5
 HOST_FALLBACK = "N/A"
 
@@ -41,6 +39,9 @@ class TransferOptions:
     quarantine live; ``None`` = under the session's checkpoint dir.
     read_limit: records (Kafka) or files (file log) per micro-batch; unset by
     default, as the reference's buffer bounds memory, not rate.
+    batch_bytes: source bytes per micro-batch of a file log while read_limit is
+    unset, so that a backlog of any size is copied in bounded batches.
+    monitor_seconds: how often points are written when metrics_path is set.
     producer_concurrency: ``None`` keeps the read parallelism for the write (no
     exchange); a number adds one round-robin exchange to that many writers.
     """
@@ -53,9 +54,10 @@ class TransferOptions:
     group_suffix: str = DEFAULT_GROUP_SUFFIX
     state_path: str | None = None
     read_limit: int | None = None
+    batch_bytes: int = DEFAULT_BATCH_BYTES
+    monitor_seconds: float = METRIC_FLUSH_SECONDS
     max_errors: int = DEFAULT_MAX_ERRORS
     max_retry: int = DEFAULT_MAX_RETRY
-    batch_size: int = DEFAULT_BATCH_SIZE
     flush_interval_ms: int = DEFAULT_FLUSH_INTERVAL_MS
     reset: bool = False
     # "latest" is the reference's start for a group without a stored position;
@@ -68,6 +70,9 @@ class TransferOptions:
     preserve_nulls: bool = False
     reject_when: str | None = None
     quarantine: bool = True
+    # Records that aged out of the source before they were copied end the copy
+    # with an error; False skips them (the copy is then not complete).
+    fail_on_data_loss: bool = True
     metrics_path: str | None = None
     host: str = dataclasses.field(default_factory=host_name)
     extra_source_options: tuple[tuple[str, str], ...] = ()
@@ -85,6 +90,8 @@ class TransferOptions:
             raise ValueError("max_errors must be >= 0")
         if self.read_limit is not None and self.read_limit <= 0:
             raise ValueError("read_limit must be positive")
+        if self.batch_bytes <= 0:
+            raise ValueError("batch_bytes must be positive")
         if self.destination_partitions <= 0:
             raise ValueError("destination_partitions must be positive")
         if self.flush_interval_ms <= 0:

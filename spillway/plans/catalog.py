@@ -9,21 +9,26 @@ wall clock), so that results compare with a zone-less engine.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spillway.functions import as_text, group_name, to_ntz, truncate_time
+from spillway.functions import as_text, group_name, to_ntz, truncate_time, whole_div
 from spillway.operators import budget, metrics, points, positions, records
 from spillway.options import TransferOptions
-from spillway.plans.copy import plan_copy_batch
+from spillway.plans.copy import plan_copy_batch, plan_counted
+from spillway.plans.monitoring import copy_lag
+from spillway.schema import AUDIT
 from spillway.session import ensure_utc, under_state
-from spillway.sinks.file_log import write_log_batch, write_topic_log
+from spillway.sinks.file_log import write_log_batch, write_partitioned, write_topic_log
 from spillway.sources import fixtures as fx
 from spillway.sources.topic_log import read_file_log
 from spillway.streaming.metric_sink import read_points, write_points
+from spillway.streaming.transfer import Transfer, read_commits, run_transfers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,7 +37,7 @@ CLICK = "click"
 POINT_HOST = "spillway-host"
 FAN_OUT_WRITERS = 4
 THROUGHPUT_SECONDS = 1
-DENSE_SECONDS = 10
+DENSE_SECONDS = 1
 IN_FLIGHT_SECONDS = 30
 GAUGE_SECONDS = 60
 BUDGET = 10
@@ -82,10 +87,18 @@ def q_start_position(spark, sf_dir):
 
 
 def q_reset_position(spark, sf_dir):
-    """S3: a reset at a later time discards the stored position."""
+    """S3: copies of every topic are reset while records wait: the gap from the
+    stored position to the newest offset is skipped for good."""
+    root = _scratch(spark, "reset_position")
     log = _log(spark, sf_dir)
-    snap = positions.newest_offsets(log, before=fx.RESET_AT)
-    return positions.reset_position(_stored(log), snap, generation=1)
+    _append_source(log.where(_before(fx.STORED_BEFORE)), root, 0)
+    _run_copies(spark, root)
+    _append_source(log.where(_before(fx.RESET_AT) & ~_before(fx.STORED_BEFORE)), root, 1)
+    stored = positions.committed_offsets(read_commits(spark, f"{root}/state/commits").where("generation = 0"))
+    _run_copies(spark, root, start_at="latest", reset=True)
+    record = spark.read.parquet(f"{root}/state/generations").where("generation = 1 and partition >= 0")
+    snap = record.select("topic", "partition", F.col("start_offset").alias("newest_offset"))
+    return positions.reset_position(stored, snap, generation=1)
 
 
 def q_newest_offsets(spark, sf_dir):
@@ -145,7 +158,7 @@ def q_topic_sink(spark, sf_dir):
     """K1: one batch of a copy of the whole log, written to a file log with
     destination offsets and read back."""
     root = _scratch(spark, "topic_sink")
-    plan = plan_copy_batch(_log(spark, sf_dir), fx.FIXTURE_PARTITIONS)
+    _, plan = plan_counted(_log(spark, sf_dir), fx.FIXTURE_PARTITIONS)
     write_log_batch(plan.records, root, "copy", 0, 0)
     return _show(read_file_log(spark, root), "topic", "partition", "offset", "key", "value")
 
@@ -171,59 +184,161 @@ def q_commit_position(spark, sf_dir):
     return seed.unionByName(done).withColumn("generation", F.lit(0))
 
 
-def _run_copies(spark, sf_dir, name: str, read_limit: int | None, reject_when: str | None = None,
-                max_errors: int = 10) -> str:
-    """Stream-copy every topic of the events log (from the earliest offset)
-    into a fresh folder; returns that folder."""
-    from spillway.streaming.transfer import run_transfers
-    root = _scratch(spark, name)
-    log = _log(spark, sf_dir)
-    write_topic_log(log, f"{root}/source")
-    # Topic discovery (names only, as a broker's topic list): one copy per topic.
+def _before(when: str):
+    return F.col("timestamp") < F.to_timestamp(F.lit(when))
+
+
+def _append_source(log: DataFrame, root: str, batch_id: int) -> None:
+    write_topic_log(log, f"{root}/source", batch_id=batch_id)
+
+
+def _copies(spark, root: str, **options) -> list[TransferOptions]:
+    """One copy per topic of the source (names only, as a broker's topic list), from the earliest offset."""
     topics = [r.topic for r in read_file_log(spark, f"{root}/source").select("topic").distinct().collect()]
-    run_transfers(spark, [TransferOptions(topic=t, source=f"{root}/source", destination=f"{root}/dest",
-                                          state_path=f"{root}/state", start_at="earliest",
-                                          read_limit=read_limit, reject_when=reject_when,
-                                          max_errors=max_errors) for t in topics])
-    return root
+    given = {"start_at": "earliest", "state_path": f"{root}/state", "source": f"{root}/source", "destination": f"{root}/dest"}
+    return [TransferOptions(topic=t, **(given | options)) for t in sorted(topics)]
 
 
-def _stream_copy(spark, sf_dir, name: str, read_limit: int | None) -> DataFrame:
-    root = _run_copies(spark, sf_dir, name, read_limit)
-    return _show(read_file_log(spark, f"{root}/dest"), "topic", "partition", "key", "value")
+def _run_copies(spark, root: str, **options) -> list[Transfer]:
+    return run_transfers(spark, _copies(spark, root, **options))
+
+
+def _whole_source(spark, sf_dir, name: str) -> str:
+    root = _scratch(spark, name)
+    _append_source(_log(spark, sf_dir), root, 0)
+    return root
 
 
 # The audit and commit queries copy with the reject predicate and a budget that
 # cannot trip (every record may fail), so that every record is accounted for.
 NO_BUDGET = 1 << 62
+ALL_COUNTED = {"read_limit": 1, "reject_when": fx.REJECT_WHEN, "max_errors": NO_BUDGET}
+
+
+def _audit_of(spark, root: str) -> DataFrame:
+    return spark.read.schema(AUDIT).parquet(f"{root}/state/audit")
 
 
 def q_copy_audit(spark, sf_dir):
     """K4 + K5 + M1 from the engine itself: the audit totals of streaming
     copies of every topic (one file per batch), per group and client type."""
-    from spillway.schema import AUDIT
-    root = _run_copies(spark, sf_dir, "copy_audit", 1, fx.REJECT_WHEN, NO_BUDGET)
-    audit = spark.read.schema(AUDIT).parquet(f"{root}/state/audit")
-    return audit.groupBy("group", "client_type").agg(F.sum("n").cast("long").alias("n"),
-                                                     F.sum("rejected").cast("long").alias("rejected"))
+    root = _whole_source(spark, sf_dir, "copy_audit")
+    _run_copies(spark, root, **ALL_COUNTED)
+    return _audit_of(spark, root).groupBy("group", "client_type").agg(F.sum("n").cast("long").alias("n"),
+                                                                      F.sum("rejected").cast("long").alias("rejected"))
 
 
 def q_copy_commits(spark, sf_dir):
     """S5 after K5: stored positions of those copies, per partition."""
-    from spillway.streaming.transfer import read_commits
-    root = _run_copies(spark, sf_dir, "copy_commits", 1, fx.REJECT_WHEN, NO_BUDGET)
+    root = _whole_source(spark, sf_dir, "copy_commits")
+    _run_copies(spark, root, **ALL_COUNTED)
     return (positions.committed_offsets(read_commits(spark, f"{root}/state/commits"))
             .select("group", "topic", "partition", "next_offset"))
 
 
+class _Killed(Transfer):
+    """A copy that dies between the sink and the positions of its first batch."""
+
+    def _after_sink(self, batch_id: int) -> None:
+        raise RuntimeError("killed between the sink and the commits")
+
+
+def q_copy_replay(spark, sf_dir):
+    """K1 + K5: every copy is killed after the sink of its first batch and run
+    again: the destination with its offsets, as if nothing had happened."""
+    root = _whole_source(spark, sf_dir, "copy_replay")
+    for o in _copies(spark, root):
+        killed = _Killed(spark, o)
+        killed.start("available_now")
+        try:
+            killed.finish()
+        except StreamingQueryException:
+            pass
+    _run_copies(spark, root)
+    return _show(read_file_log(spark, f"{root}/dest"), "topic", "partition", "offset", "key", "value")
+
+
+def q_copy_lag(spark, sf_dir):
+    """M3 of real copies that began at the newest offsets, after more records came."""
+    root = _scratch(spark, "copy_lag")
+    log = _log(spark, sf_dir)
+    _append_source(log.where(_before(fx.STORED_BEFORE)), root, 0)
+    done = _run_copies(spark, root, start_at="latest")
+    _append_source(log.where(~_before(fx.STORED_BEFORE)), root, 1)
+    lags = [copy_lag(spark, t.opts) for t in done]
+    return functools.reduce(DataFrame.unionByName, lags)
+
+
+def q_copy_points(spark, sf_dir):
+    """T2 of real copies with their monitors: what the points add up to, and
+    whether every series has one point a second without gaps."""
+    root = _whole_source(spark, sf_dir, "copy_points")
+    _run_copies(spark, root, read_limit=1, metrics_path=f"{root}/points", host=POINT_HOST, monitor_seconds=0.5)
+    rates = points.explode_points(read_points(spark, f"{root}/points")).where("field = 'rps'")
+    seconds = F.unix_seconds(F.max("time").cast("timestamp")) - F.unix_seconds(F.min("time").cast("timestamp")) + 1
+    return rates.groupBy("series").agg(F.sum("value").cast("long").alias("records"),
+                                       (F.count("*") == F.count_distinct("time")).alias("no_duplicate"),
+                                       (F.count_distinct("time") == seconds).alias("no_gap"))
+
+
 def q_drain_stop(spark, sf_dir):
-    """A streaming copy of every topic run until the source is drained."""
-    return _stream_copy(spark, sf_dir, "drain_stop", None)
+    """Copies of every topic run until the source is drained and then stop:
+    what they read and sent, and what is left."""
+    root = _whole_source(spark, sf_dir, "drain_stop")
+    done = _run_copies(spark, root)
+    counts = _audit_of(spark, root).groupBy("topic").agg(
+        F.sum(F.when(F.col("client_type") == "consumer", F.col("n"))).alias("consumed"),
+        F.sum(F.when(F.col("client_type") == "producer", F.col("n"))).alias("produced"))
+    left = functools.reduce(DataFrame.unionByName, [metrics.total_lag(copy_lag(spark, t.opts)) for t in done])
+    running = F.create_map(*[x for t in done for x in (F.lit(t.opts.topic), F.lit(t.query.isActive))])
+    return counts.join(left.select("topic", "total_lag"), "topic").select(
+        "topic", "consumed", "produced", F.col("total_lag").alias("waiting"), running[F.col("topic")].alias("running"))
+
+
+DAYS_A_FILE = 5
+
+
+def _filed_source(spark, sf_dir, name: str) -> str:
+    """The log as one file for each topic and five days."""
+    root = _scratch(spark, name)
+    log = _log(spark, sf_dir)
+    days = (log.withColumns({"group": F.lit("seed"), "generation": F.lit(0), "batch_id": whole_div(F.dayofyear("timestamp").cast("long"), DAYS_A_FILE)})
+            .repartition("topic", "batch_id"))
+    write_partitioned(days, f"{root}/source", ["topic", "group", "generation", "batch_id"])
+    return root
 
 
 def q_read_limit(spark, sf_dir):
-    """The same copy, one file per micro-batch."""
-    return _stream_copy(spark, sf_dir, "read_limit", 1)
+    """One file in each micro-batch: the records of every batch, from the audit."""
+    root = _filed_source(spark, sf_dir, "read_limit")
+    _run_copies(spark, root, read_limit=1)
+    read = _audit_of(spark, root).where("client_type = 'consumer'")
+    return (read.groupBy("topic", "batch_id").agg(F.sum("n").cast("long").alias("records"), F.count("*").alias("partitions"))
+            .select("topic", "records", "partitions"))
+
+
+def q_flush_policy(spark, sf_dir):
+    """K2: copies on the flush-interval trigger: no two batches begin in one interval."""
+    root = _whole_source(spark, sf_dir, "flush_policy")
+    interval = 1000
+    running = [Transfer(spark, o) for o in _copies(spark, root, read_limit=1, flush_interval_ms=interval)]
+    for t in running:
+        t.start("interval")
+    for t in running:
+        t.query.processAllAvailable()
+        t.stop()
+    batches = (_audit_of(spark, root).where("client_type = 'consumer'").groupBy("topic", "batch_id")
+               .agg(F.sum("n").alias("n"), whole_div(F.unix_millis(F.min("at")), interval).alias("slot")))
+    return batches.groupBy("topic").agg(F.sum("n").cast("long").alias("records"),
+                                        (F.count_distinct("slot") == F.count("*")).alias("one_batch_an_interval"))
+
+
+def q_delivery_options(spark, sf_dir):
+    """K3: the codec of the destination's files, from their names, with the records in them."""
+    root = _whole_source(spark, sf_dir, "delivery_options")
+    _run_copies(spark, root)
+    sent = spark.read.parquet(f"{root}/dest").select("topic", F.regexp_extract("_metadata.file_name", r"\.(\w+)\.parquet$", 1).alias("codec"))
+    return sent.groupBy("topic", "codec").agg(F.count("*").alias("records"))
 
 
 def q_error_budget(spark, sf_dir):
@@ -243,12 +358,13 @@ def q_throughput(spark, sf_dir):
 
 
 def q_dense_throughput(spark, sf_dir):
-    return metrics.dense_throughput(_audit(spark, sf_dir), DENSE_SECONDS)
+    """M2 at its cadence of one second, idle seconds included; reported as one
+    row a minute that holds the minute's values in order."""
+    return metrics.packed_throughput(_audit(spark, sf_dir), DENSE_SECONDS)
 
 
 def _lag(log: DataFrame) -> DataFrame:
-    newest = positions.newest_offsets(log, _listed(log))
-    return metrics.partition_lag(newest, _stored(log), group_name("topic", fx.FIXTURE_SUFFIX))
+    return metrics.lag_of_log(log, _listed(log), fx.STORED_BEFORE, group_name("topic", fx.FIXTURE_SUFFIX))
 
 
 def q_partition_lag(spark, sf_dir):
@@ -317,6 +433,11 @@ QUERIES: dict[str, Query] = {
     "read_limit": q_read_limit,
     "copy_audit": q_copy_audit,
     "copy_commits": q_copy_commits,
+    "copy_replay": q_copy_replay,
+    "copy_lag": q_copy_lag,
+    "copy_points": q_copy_points,
+    "flush_policy": q_flush_policy,
+    "delivery_options": q_delivery_options,
     "throughput": q_throughput,
     "dense_throughput": q_dense_throughput,
     "partition_lag": q_partition_lag,

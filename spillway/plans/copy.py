@@ -9,9 +9,9 @@ each destination partition, so a record's index among those sent by s to its
 destination is floor((offset - first_offset_of_s) / N).  Each source partition
 gets a slot range of ceil(len_s / N) per destination partition, placed after the
 slot ranges of the partitions before it.  Offsets are therefore unique and
-increasing per destination partition, identical on replay, and the only table
-that moves is one row per source partition (broadcast; bounded by the topic's
-partition count).  Like a broker's, they may have holes (rejected records,
+increasing per destination partition, the same whenever the batch is planned
+with the same base, and the only table that moves is one row per source
+partition (bounded by the topic's partition count).  Like a broker's, they may have holes (rejected records,
 uneven tails).
 """
 
@@ -22,7 +22,7 @@ import dataclasses
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spillway.functions import null_to_empty
+from spillway.functions import null_to_empty, whole_div
 from spillway.operators.positions import apply_start
 from spillway.operators.records import reject_flag
 from spillway.schema import CONSUMER, PRODUCER
@@ -50,9 +50,10 @@ def plan_ranges(src: DataFrame, partitions: int) -> DataFrame:
               .agg(F.min("offset").alias("from_offset"),
                    (F.max("offset") + 1).alias("until_offset"),
                    F.count(F.lit(1)).alias("n"),
-                   F.sum(F.col("_rejected").cast("long")).alias("rejected"))
-              .withColumn("_span", F.ceil((F.col("until_offset") - F.col("from_offset")) / F.lit(partitions))
-                          .cast("long")))
+                   F.sum(F.col("_rejected").cast("long")).alias("rejected"),
+                   F.sum(F.coalesce(F.octet_length("key"), F.lit(0)).cast("long")
+                         + F.coalesce(F.octet_length("value"), F.lit(0))).alias("bytes"))
+              .withColumn("_span", whole_div(F.col("until_offset") - F.col("from_offset") + (partitions - 1), partitions)))
     before = Window.partitionBy("topic").orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)
     return ranges.withColumn("_slot", F.coalesce(F.sum("_span").over(before), F.lit(0)).cast("long"))
 
@@ -60,13 +61,13 @@ def plan_ranges(src: DataFrame, partitions: int) -> DataFrame:
 def plan_copy_batch(log: DataFrame, partitions: int, start: DataFrame | None = None,
                     reject_when: str | Column | None = None, preserve_nulls: bool = False,
                     base: int | Column = 0, at: Column | None = None,
-                    broadcast_slots: bool = True, ranges: DataFrame | None = None) -> CopyBatch:
+                    broadcast_slots: bool = False, ranges: DataFrame | None = None) -> CopyBatch:
     """Plan one batch over `log` (TOPIC_LOG rows, any number of topics).
 
     `base`: the destination's next free offset for these topics (same for
     every destination partition, see the module doc).  `at`: batch time.
-    `broadcast_slots`: broadcast the per-partition slot table (callers that
-    counted it pass False above `SLOT_BROADCAST_LIMIT`).  `ranges`: the range
+    `broadcast_slots`: broadcast the per-partition slot table (for callers that
+    counted it, up to `SLOT_BROADCAST_LIMIT`); else Spark decides by its size.  `ranges`: the range
     table of this batch when the caller already has it (the stream holds it as
     driver-side metadata, as Spark's Kafka source holds offset ranges).
     """
@@ -81,8 +82,7 @@ def plan_copy_batch(log: DataFrame, partitions: int, start: DataFrame | None = N
     placed = (src.join(slots, ["topic", "partition"])
               .withColumn("_dst", F.pmod(F.col("offset") + F.col("partition"), F.lit(partitions)).cast("int"))
               .withColumn("_dst_offset", (base_c + F.col("_slot")
-                                          + F.floor((F.col("offset") - F.col("from_offset")) / F.lit(partitions)))
-                          .cast("long")))
+                                          + whole_div(F.col("offset") - F.col("from_offset"), partitions)).cast("long")))
 
     key, value = (F.col("key"), F.col("value")) if preserve_nulls else (null_to_empty("key"), null_to_empty("value"))
     records = placed.where(~F.col("_rejected")).select(
@@ -94,17 +94,32 @@ def plan_copy_batch(log: DataFrame, partitions: int, start: DataFrame | None = N
     # per source partition, what the consumer read, and what the producer sent
     # (read - rejected) with the destination slot range those records went to.
     consumer = ranges.select("topic", "partition", F.lit(CONSUMER).alias("client_type"),
-                             "n", "rejected", "from_offset", "until_offset")
+                             "n", "rejected", "from_offset", "until_offset", "bytes")
     producer = ranges.select("topic", "partition", F.lit(PRODUCER).alias("client_type"),
                              (F.col("n") - F.coalesce("rejected", F.lit(0))).cast("long").alias("n"),
                              F.lit(0).cast("long").alias("rejected"),
                              (base_c + F.col("_slot")).cast("long").alias("from_offset"),
-                             (base_c + F.col("_slot") + F.col("_span")).cast("long").alias("until_offset"))
+                             (base_c + F.col("_slot") + F.col("_span")).cast("long").alias("until_offset"),
+                             F.lit(None).cast("long").alias("bytes"))
     audit = consumer.unionByName(producer).withColumn("at", at)
     commits = ranges.select("topic", "partition", F.col("until_offset").alias("next_offset"), at.alias("at"))
     return CopyBatch(records, rejected, audit, commits, ranges)
 
 
+def plan_counted(log: DataFrame, partitions: int, start: DataFrame | None = None,
+                 reject_when: str | Column | None = None, preserve_nulls: bool = False,
+                 base: int | Column = 0, at: Column | None = None) -> tuple[list, CopyBatch]:
+    """The range table of a batch as rows (one per source partition, as Spark's
+    Kafka source holds offset ranges on the driver), and the batch planned with
+    it as a local table: its writes share it, and the slot broadcast is checked
+    against its exact size."""
+    planned = plan_copy_batch(log, partitions, start, reject_when, preserve_nulls, base, at)
+    rows = planned.ranges.collect()
+    local = log.sparkSession.createDataFrame(rows, planned.ranges.schema, verifySchema=False)
+    return rows, plan_copy_batch(log, partitions, start, reject_when, preserve_nulls, base, at,
+                                 broadcast_slots=len(rows) <= SLOT_BROADCAST_LIMIT, ranges=local)
+
+
 def copy_bounded(log: DataFrame, partitions: int, destination: str, state: str, group: str | Column,
                  generation: int = 0, batch_id: int = 0, start: DataFrame | None = None,
                  reject_when: str | Column | None = None, preserve_nulls: bool = False, base: int = 0,
@@ -115,13 +130,9 @@ def copy_bounded(log: DataFrame, partitions: int, destination: str, state: str,
     by the four writes as a local table.  Returns, per topic, the destination's
     next free offset (`base` + the slots reserved)."""
     from spillway.sinks.file_log import run_concurrently, write_log_batch, write_table_batch
-    planned = plan_copy_batch(log, partitions, start, reject_when, preserve_nulls, base)
-    rows = planned.ranges.collect()
+    rows, plan = plan_counted(log, partitions, start, reject_when, preserve_nulls, base)
     if not rows:
         return {}
-    local = log.sparkSession.createDataFrame(rows, planned.ranges.schema, verifySchema=False)
-    plan = plan_copy_batch(log, partitions, start, reject_when, preserve_nulls, base,
-                           broadcast_slots=len(rows) <= SLOT_BROADCAST_LIMIT, ranges=local)
     write_log_batch(plan.records, destination, group, generation, batch_id, compression)
     tables = [lambda: write_table_batch(plan.audit, f"{state}/audit", group, generation, batch_id),
               lambda: write_table_batch(plan.commits, f"{state}/commits", group, generation, batch_id)]

@@ -1,27 +1,44 @@
-"""Monitoring of a copy: the reference's per-second lag and rate points,
-rebuilt as batch plans over the copy's own tables.
-
-    newest offsets of the source (S4) ⟕ stored positions of the group (S5)
-        -> partition lag (M3) -> total (M4) -> kafka_stats points (T1) -> sink (T2)
-    audit table -> throughput (M1) -> dense series (M2) -> rps_stats points
-
-Every table joined here has one row per partition; the audit is collapsed by a
-partial aggregate before anything else.
+"""Monitoring of a copy: the reference's lag, rate and gauge points, from the
+copy's own tables.
+
+    newest offsets of the source (S4) + stored positions of the group (S5)
+        -> partition lag (M3) -> kafka_stats points (T1)
+    audit rows of closed seconds -> throughput (M1), dense (M2) -> rps_stats points
+    audit rows -> gauges of the last batch, records in flight (M5, M6) -> system_stats points
+        -> one write to the metric table (T2) per tick
+
+`Monitor` runs beside a copy.  A tick covers the seconds since the last one up
+to the first second that a batch may still add to, idle seconds included, and
+remembers where it ended; so every second of every series is written once,
+whatever the number of ticks, restarts or batches in a second.  Newest offsets
+are remembered too: a tick reads only source files that came since the last.
 """
 
 from __future__ import annotations
 
-import json
+import datetime as _dt
+import logging
+import threading
+import time
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spillway.operators import metrics, points, positions
 from spillway.options import TransferOptions
-from spillway.schema import AUDIT, COMMITS
+from spillway.schema import AUDIT, COMMITS, CONSUMER, PRODUCER
 from spillway.session import under_state
-from spillway.sources.topic_log import topic_source
+from spillway.sources.topic_log import read_file_log, topic_source
+from spillway.streaming import fs
 from spillway.streaming.metric_sink import write_points
+from spillway.streaming.progress import BATCH_GAUGES, batch_gauges, parse_offsets
+
+GAUGE_SECONDS = 60   # cadence of system_stats, as the reference's
+TICKS = "until long, gauged long, in_flight long, seen timestamp"
+OFFSETS = "topic string, partition int, newest_offset long"
+
+_log = logging.getLogger(__name__)
 
 
 def _root(spark: SparkSession, opts: TransferOptions) -> str:
@@ -34,8 +51,10 @@ def commits_of(spark: SparkSession, opts: TransferOptions) -> DataFrame:
 
 
 def audit_of(spark: SparkSession, opts: TransferOptions) -> DataFrame:
-    return (spark.read.schema(AUDIT).parquet(f"{_root(spark, opts)}/audit")
-            .where(F.col("group") == opts.group))
+    path = f"{_root(spark, opts)}/audit"
+    if not fs.exists(spark, path):  # no batch yet
+        return spark.createDataFrame([], AUDIT)
+    return spark.read.schema(AUDIT).parquet(path).where(F.col("group") == opts.group)
 
 
 def newest_from_progress(spark: SparkSession, progress: dict) -> DataFrame:
@@ -45,11 +64,9 @@ def newest_from_progress(spark: SparkSession, progress: dict) -> DataFrame:
     rows = []
     for src in progress.get("sources", []):
         latest = src.get("latestOffset")
-        latest = json.loads(latest) if isinstance(latest, str) else latest
-        for topic, parts in (latest or {}).items():
-            if isinstance(parts, dict):
-                rows += [(topic, int(p), int(o)) for p, o in parts.items()]
-    return spark.createDataFrame(rows, "topic string, partition int, newest_offset long")
+        if isinstance(latest, str):
+            rows += parse_offsets(latest)
+    return spark.createDataFrame(rows, OFFSETS)
 
 
 def copy_lag(spark: SparkSession, opts: TransferOptions, newest: DataFrame | None = None,
@@ -66,22 +83,106 @@ def copy_lag(spark: SparkSession, opts: TransferOptions, newest: DataFrame | Non
     return metrics.partition_lag(newest, committed, opts.group)
 
 
-def lag_points(spark: SparkSession, opts: TransferOptions, newest: DataFrame | None = None,
-               time=None) -> DataFrame:
-    return points.kafka_stats_points(copy_lag(spark, opts, newest), opts.host, time)
-
-
-def rate_points(spark: SparkSession, opts: TransferOptions, dense: bool = True) -> DataFrame:
-    audit = audit_of(spark, opts)
-    rates = metrics.dense_throughput(audit, 1) if dense else metrics.throughput(audit, 1)
-    return points.rps_points(rates, opts.host)
-
-
-def write_monitoring_points(spark: SparkSession, opts: TransferOptions, tick: int,
-                            newest: DataFrame | None = None) -> None:
-    """One monitoring tick: lag and rate points of the copy into the metric
-    table (replay-safe per tick)."""
-    if not opts.metrics_path:
-        raise ValueError("metrics_path is not set")
-    write_points(points.to_points(lag_points(spark, opts, newest), rate_points(spark, opts)),
-                 opts.metrics_path, f"{opts.group}-monitor", tick)
+class Monitor:
+    """Writes the points of one copy while it runs (and once more when it ends)."""
+
+    def __init__(self, spark: SparkSession, opts: TransferOptions, transfer) -> None:
+        if not opts.metrics_path:
+            raise ValueError("metrics_path is not set")
+        self.spark, self.opts, self.transfer = spark, opts, transfer
+        self.writer = f"{opts.group}-g{transfer.generation}"
+        self.root = f"{_root(spark, opts)}/monitor/group={opts.group}/generation={transfer.generation}"
+        self.ticks = max((int(t) for t in fs.child_values(spark, self.root, "tick")
+                          if fs.exists(spark, f"{self.root}/tick={t}/_SUCCESS")), default=-1)
+        opened = int(transfer._opened_at.timestamp())  # noqa: SLF001 - of the same package
+        self.until, self.gauged, self.in_flight, self.seen = opened, opened - GAUGE_SECONDS, 0, None
+        if self.ticks >= 0:
+            last = spark.read.schema(TICKS).parquet(f"{self.root}/tick={self.ticks}").first()
+            self.until, self.gauged, self.in_flight, self.seen = (last[c] for c in ("until", "gauged", "in_flight", "seen"))
+        self._ended = threading.Event()
+        self._thread: InheritableThread | None = None
+
+    # ---- newest offsets ---------------------------------------------------
+    def _offsets_path(self, tick: int) -> str:
+        return f"{self.root.replace('/monitor/', '/monitor-offsets/')}/tick={tick}"
+
+    def _newest(self, tick: int) -> DataFrame:
+        """Newest offsets, kept from tick to tick; a table of one row per partition."""
+        if self.opts.source_format == "kafka":
+            return newest_from_progress(self.spark, self.transfer.query.lastProgress or {})
+        log = read_file_log(self.spark, self.opts.source, self.opts.topic, file_time=True)
+        now = self.seen
+        if now is not None:
+            # Files of the last tick's newest instant may have come after its listing: they are read again.
+            log = log.where(F.col("file_time") >= F.lit(now))
+        fresh = log.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("newest_offset"), F.max("file_time").alias("file_time"))
+        parts = fresh
+        if tick > 0 and fs.exists(self.spark, f"{self._offsets_path(tick - 1)}/_SUCCESS"):
+            old = self.spark.read.schema(OFFSETS).parquet(self._offsets_path(tick - 1))
+            parts = fresh.unionByName(old.withColumn("file_time", F.lit(None).cast("timestamp")))
+        found = parts.groupBy("topic", "partition").agg(F.max("newest_offset").alias("newest_offset"), F.max("file_time").alias("file_time"))
+        rows = found.collect()  # one row per partition of the topic
+        self.seen = max((r["file_time"] for r in rows if r["file_time"] is not None), default=now)
+        table = self.spark.createDataFrame([(r["topic"], r["partition"], r["newest_offset"]) for r in rows], OFFSETS)
+        table.coalesce(1).write.mode("overwrite").parquet(self._offsets_path(tick))
+        return table
+
+    # ---- one tick -----------------------------------------------------------
+    def tick(self, until: int | None = None) -> bool:
+        """Write the points of the seconds from the last tick to `until` (exclusive); False if there are none."""
+        until = self.transfer.open_second() if until is None else until
+        if until <= self.until:
+            return False
+        number, host, topic = self.ticks + 1, self.opts.host, self.opts.topic
+        # One clock for all: epoch seconds.
+        second = F.unix_seconds("at")
+        audit = audit_of(self.spark, self.opts).where((F.col("generation") == self.transfer.generation)
+                                                      & (second >= self.until) & (second < until))
+        rates = metrics.throughput(audit, 1)
+        zeros = (self.spark.range(self.until, until)
+                 .select(F.lit(topic).alias("topic"), F.explode(F.array(F.lit(CONSUMER), F.lit(PRODUCER))).alias("client_type"),
+                         F.timestamp_seconds("id").cast("timestamp_ntz").alias("time"), F.lit(0).cast("long").alias("records")))
+        dense = rates.unionByName(zeros).groupBy("topic", "client_type", "time").agg(F.sum("records").alias("records"))
+        at = _dt.datetime.fromtimestamp(until, _dt.timezone.utc)
+        self.transfer.seed_from_checkpoint()
+        lag = copy_lag(self.spark, self.opts, self._newest(number)) if self._has_positions() else None
+        sets = [points.rps_points(dense, host)]
+        if lag is not None:
+            sets.append(points.kafka_stats_points(lag, host, F.lit(at)))
+        moved = audit.agg(F.sum(F.when(F.col("client_type") == CONSUMER, F.col("n") - F.col("rejected"))
+                                .otherwise(-F.col("n"))).alias("n")).first()["n"]
+        in_flight, gauged = self.in_flight + int(moved or 0), self.gauged
+        if until - self.gauged >= GAUGE_SECONDS:
+            last = batch_gauges(audit, host).agg(*(F.max_by(g, "batch_id").alias(g) for g in BATCH_GAUGES))
+            sample = last.select(*(F.coalesce(g, F.lit(0)).alias(g) for g in BATCH_GAUGES), F.lit(in_flight).cast("long").alias("in_flight"))
+            sets.append(points.system_points(sample, host, [*BATCH_GAUGES, "in_flight"], F.lit(at)))
+            gauged = until
+        write_points(points.to_points(*sets), self.opts.metrics_path, self.writer, number)
+        self.spark.createDataFrame([(until, gauged, in_flight, self.seen)], TICKS).coalesce(1) \
+            .write.mode("overwrite").parquet(f"{self.root}/tick={number}")
+        self.ticks, self.until, self.gauged, self.in_flight = number, until, gauged, in_flight
+        return True
+
+    def _has_positions(self) -> bool:
+        return fs.exists(self.spark, fs.partition_folder(self.spark, f"{_root(self.spark, self.opts)}/commits", group=self.opts.group))
+
+    # ---- beside a copy --------------------------------------------------------
+    def start(self) -> None:
+        self._thread = InheritableThread(target=self._run, daemon=True)
+        self._thread.start()
+
+    def _run(self) -> None:
+        while not self._ended.wait(self.opts.monitor_seconds):
+            try:
+                self.tick()
+            except Exception:  # noqa: BLE001 - as the reference: logged; the next tick covers these seconds too
+                _log.exception("monitoring tick failed")
+
+    def finish(self) -> None:
+        """Stop, and write the seconds up to now; the copy must have ended."""
+        self._ended.set()
+        if self._thread is not None:
+            self._thread.join()
+        until = int(time.time()) + 1
+        self.tick(until)
+        time.sleep(max(0.0, until - time.time()))  # a copy that starts now begins behind what was written

@@ -20,15 +20,6 @@ TOPIC_LOG = T.StructType([
 # filter prunes whole folders; the files hold the other columns.
 FILE_LOG_DATA = T.StructType([f for f in TOPIC_LOG.fields if f.name != "topic"])
 
-# What the copy sends: the reference keeps only topic, key and value; the
-# partition is the destination partition chosen by the round-robin placement.
-RECORD_OUT = T.StructType([
-    T.StructField("topic", T.StringType(), False),
-    T.StructField("partition", T.IntegerType(), False),
-    T.StructField("key", T.BinaryType(), True),
-    T.StructField("value", T.BinaryType(), True),
-])
-
 COMMITS = T.StructType([
     T.StructField("group", T.StringType(), False),
     T.StructField("generation", T.IntegerType(), False),
@@ -52,6 +43,20 @@ AUDIT = T.StructType([
     T.StructField("from_offset", T.LongType(), True),
     T.StructField("until_offset", T.LongType(), True),
     T.StructField("at", T.TimestampType(), False),
+    T.StructField("bytes", T.LongType(), True),     # payload bytes read (consumer rows)
+    T.StructField("took_ms", T.LongType(), True),   # from the batch's begin to the end of its sink write
+])
+
+# What a checkpoint generation starts from, written once before anything else of
+# it: one row per source partition known then, and one with partition -1 for
+# the generation itself.
+GENERATIONS = T.StructType([
+    T.StructField("topic", T.StringType(), False),
+    T.StructField("partition", T.IntegerType(), False),
+    T.StructField("start_offset", T.LongType(), True),
+    T.StructField("base", T.LongType(), True),          # the destination's next free offset
+    T.StructField("start_at", T.StringType(), True),
+    T.StructField("opened_at", T.TimestampType(), True),
 ])
 
 POINTS = T.StructType([

@@ -4,7 +4,8 @@ Everything the engine writes besides the destination log (frozen start
 snapshots, audit and commit tables, quarantine, checkpoints) goes under one
 *state root*.  On a cluster that root must be shared storage, so it is read
 from the session (`spark.checkpoint.dir`, or the SparkContext checkpoint dir);
-only when neither is set (local runs, tests) is a fresh local folder made.
+only when neither is set and the master is local (tests) is a fresh local
+folder made; on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -62,13 +63,20 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process (`local[n]`; not `local-cluster`)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def state_root(spark: SparkSession) -> str:
     """The shared folder for engine state.
 
     Order: `spark.checkpoint.dir` from the session conf, then the checkpoint
-    dir already set on the SparkContext.  If neither is set (a local run or a
-    test), a fresh local folder is created and registered as the checkpoint
-    dir so that later calls agree.
+    dir already set on the SparkContext.  If neither is set, a local master
+    (a test) gets a fresh local folder, registered as the checkpoint dir so
+    that later calls agree; any other master raises, because each executor
+    would write to a disk of its own.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -82,6 +90,8 @@ def state_root(spark: SparkSession) -> str:
         return path.rsplit("/", 1)[0] if "/" in path else path
     # `spark.checkpoint.dir` is a core setting that cannot change at run time;
     # the SparkContext checkpoint dir can, and later calls find it above.
+    if not is_local(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="spillway-state-")
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -1,9 +1,12 @@
 """K1/K3: writing topic records and engine tables, replay-safe.
 
-Every write names its (group, generation, batch_id) folder and replaces exactly
-that folder (dynamic partition overwrite), so running a batch again leaves one
-copy.  Batch ids start at 0 again in every new checkpoint, which is why the
-generation is part of the folder.
+Every write names its (group, generation, batch_id) folder.  The folder appears
+whole, by one rename at the end of its write (dynamic partition overwrite), so a
+folder that is there is complete: a copy that repeats a batch after a failure
+keeps it as it is (`write_once`), and what has already been read from it stays
+true.  On a store whose renames are not atomic a half-made folder may be kept;
+use a committer that writes folders whole there.  Batch ids start at 0 again in
+every new checkpoint, which is why the generation is part of the folder.
 """
 
 from __future__ import annotations
@@ -11,10 +14,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import InheritableThread
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spillway.options import CLIENT_ID, TransferOptions
+from spillway.streaming import fs
 
 WRITER_COLUMNS = ("group", "generation", "batch_id")
 
@@ -60,6 +64,14 @@ def write_table_batch(rows: DataFrame, root: str, group: str | Column, generatio
                       root, list(WRITER_COLUMNS))
 
 
+def write_once(spark: SparkSession, folder: str, write: Callable[[], None]) -> bool:
+    """Run `write` unless its folder is already there; says whether it ran."""
+    if fs.exists(spark, folder):
+        return False
+    write()
+    return True
+
+
 def kafka_sink_options(opts: TransferOptions) -> dict[str, str]:
     """K2/K3 on Spark's Kafka sink: gzip, leader-only acknowledgement, the
     reference's retry count and client id, and the flush interval as linger.

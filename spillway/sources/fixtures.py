@@ -31,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def topic_log_from_events(events: DataFrame, keep_event_id: bool = False) -> DataFrame:
+def topic_log_from_events(events: DataFrame) -> DataFrame:
     """TOPIC_LOG from `events`.
 
     topic = event_type; partition = user_id % 24; offset = position in the
@@ -49,8 +49,7 @@ def topic_log_from_events(events: DataFrame, keep_event_id: bool = False) -> Dat
         F.col("event_id"),
     )
     log = sequence_within(base, ["topic", "partition"], "event_id", "offset")
-    cols = ["topic", "partition", "offset", "key", "value", "timestamp"]
-    return log.select(*cols, *(["event_id"] if keep_event_id else []))
+    return log.select("topic", "partition", "offset", "key", "value", "timestamp")
 
 
 def topic_log_from_lineitem(lineitem: DataFrame) -> DataFrame:
@@ -68,8 +67,8 @@ def topic_log_from_lineitem(lineitem: DataFrame) -> DataFrame:
             .select("topic", "partition", "offset", "key", "value", "timestamp"))
 
 
-def events_log(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
-    return topic_log_from_events(table(spark, sf_dir, "events"), keep_event_id)
+def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topic_log_from_events(table(spark, sf_dir, "events"))
 
 
 # Flush interval of the replayed copy, in seconds (the reference's 10,000 ms).

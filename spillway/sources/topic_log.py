@@ -35,24 +35,33 @@ LOG_COLUMNS = [f.name for f in TOPIC_LOG.fields]
 
 def read_file_log(spark: SparkSession, path: str, topic: str | None = None,
                   stream: bool = False, max_files_per_trigger: int | None = None,
-                  keep_layout: bool = False) -> DataFrame:
-    """Read a file log as TOPIC_LOG rows (optionally with the writer columns)."""
+                  keep_layout: bool = False, max_bytes_per_trigger: int | None = None,
+                  file_time: bool = False) -> DataFrame:
+    """Read a file log as TOPIC_LOG rows (optionally with the writer columns, or
+    with `file_time`, the time each row's file was written).
+
+    A stream's micro-batch is bounded by files or by bytes (files win)."""
+    def bounded(reader):
+        if max_files_per_trigger:
+            return reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        return reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger)) if max_bytes_per_trigger else reader
+
     if stream and topic is not None:
         # A topic stream lists only the topic's own folder (the file stream
         # source takes no basePath, so `topic` is added back as a literal).
-        reader = spark.readStream.schema(_TOPIC_FOLDER_SCHEMA)
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        reader = bounded(spark.readStream.schema(_TOPIC_FOLDER_SCHEMA))
         df = reader.parquet(f"{path.rstrip('/')}/topic={topic}").withColumn("topic", F.lit(topic))
     else:
         reader = spark.readStream if stream else spark.read
         reader = reader.schema(FILE_LOG_SCHEMA)
-        if stream and max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        if stream:
+            reader = bounded(reader)
         df = reader.parquet(path)
         if topic is not None:
             df = df.where(F.col("topic") == F.lit(topic))
     cols = LOG_COLUMNS + ([f.name for f in LAYOUT.fields if f.name != "topic"] if keep_layout else [])
+    if file_time:
+        return df.select(*cols, F.col("_metadata.file_modification_time").alias("file_time"))
     return df.select(*cols)
 
 
@@ -68,7 +77,7 @@ def kafka_source_options(opts: TransferOptions) -> dict[str, str]:
         "kafka.bootstrap.servers": opts.source,
         "subscribe": opts.topic,
         "startingOffsets": opts.start_at,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(opts.fail_on_data_loss).lower(),
         "minPartitions": str(opts.consumer_concurrency),
         "kafka.client.id": f"{opts.group}_consumer",
     }
@@ -95,4 +104,4 @@ def topic_source(spark: SparkSession, opts: TransferOptions, stream: bool = Fals
     if opts.source_format == "kafka":
         return read_kafka(spark, opts, stream)
     return read_file_log(spark, opts.source, opts.topic, stream=stream,
-                         max_files_per_trigger=opts.read_limit)
+                         max_files_per_trigger=opts.read_limit, max_bytes_per_trigger=opts.batch_bytes)

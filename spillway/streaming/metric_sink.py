@@ -2,15 +2,11 @@
 
 The reference collects points and writes them together every 5 seconds; a
 failed write is logged and lost.  Here points are a table (POINTS schema,
-partitioned by measurement and by writer batch) and a batch write is
-replay-safe like the copy's own writes, so a failed write is retried, not lost.
-
-* `write_points` - write one batch of points (any DataFrame in POINTS shape).
-* `write_batch_points` - the rps points of one copy batch, from its audit rows
-  (called by the transfer when `metrics_path` is set).
-* `start_metric_stream` - a separate query that turns new audit rows into rps
-  points every 5 s, for copies that run without `metrics_path`.
-* `read_points` - read the table back.
+partitioned by measurement and by writer batch).  A writer names itself and the
+batch; writing a batch again replaces it, so a failed write is retried, not
+lost.  The writer of a running copy is `spillway.plans.monitoring.Monitor`:
+its name holds the group and the generation, and each of its batches covers
+seconds that no other batch covers, so a table has one row per series and time.
 """
 
 from __future__ import annotations
@@ -18,12 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
-from spillway.operators.metrics import throughput
-from spillway.operators.points import rps_points
-from spillway.options import METRIC_FLUSH_SECONDS, TransferOptions
-from spillway.schema import AUDIT, POINTS
+from spillway.schema import POINTS
 from spillway.sinks.file_log import write_partitioned
 
 POINT_FILE = T.StructType(list(POINTS.fields) + [
@@ -42,22 +34,3 @@ def write_points(points: DataFrame, path: str, writer: str, batch_id: int) -> No
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(POINT_FILE).parquet(path)
-
-
-def write_batch_points(spark: SparkSession, audit: DataFrame, opts: TransferOptions,
-                       generation: int, batch_id: int) -> None:
-    rates = throughput(audit, seconds=1)
-    write_points(rps_points(rates, opts.host), opts.metrics_path,
-                 f"{opts.group}-g{generation}", batch_id)
-
-
-def start_metric_stream(spark: SparkSession, audit_path: str, metrics_path: str, host: str,
-                        checkpoint: str, seconds: int = METRIC_FLUSH_SECONDS) -> StreamingQuery:
-    """rps points from an audit table as it grows, written every `seconds`."""
-    stream = spark.readStream.schema(AUDIT).option("basePath", audit_path).parquet(audit_path)
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        write_points(rps_points(throughput(batch, seconds=1), host), metrics_path, "audit-stream", batch_id)
-
-    return (stream.writeStream.option("checkpointLocation", checkpoint)
-            .foreachBatch(sink).trigger(processingTime=f"{seconds} seconds").start())

@@ -1,46 +1,41 @@
-"""Gauges of a running copy, from Spark's own progress reports.
-
-The reference samples its process gauges (goroutines, allocator counters) each
-60 s into `system_stats`.  The Spark analogue of "how the copy process is
-doing" is the streaming query's progress: rows per batch, input and processing
-rates, batch duration, state of the source.  `progress_gauges` turns the
-query's recent progress (kept by Spark on the driver, at most
-`spark.sql.streaming.numRecentProgressUpdates` entries) into a gauge table;
-`gauge_sample` and `system_points` then work on it as on any gauge table.
-"""
+"""What Spark says about a running copy: offsets its Kafka source began at, and
+the newest it knows; and gauges of the copy's batches from its audit table."""
 
 from __future__ import annotations
 
-import datetime as _dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
-
-# Name of the observation the copy attaches to its stream (see transfer.py).
-OBSERVATION = "copy"
-
-# Gauges taken from each progress report (integers, as point fields are).
-PROGRESS_GAUGES = ("num_input_rows", "input_rows_per_second", "processed_rows_per_second",
-                   "trigger_ms", "add_batch_ms", "observed_records", "observed_bytes")
-
-
-def _ts(s: str) -> _dt.datetime:
-    return _dt.datetime.strptime(s.rstrip("Z")[:26], "%Y-%m-%dT%H:%M:%S.%f")
-
-
-def progress_gauges(spark: SparkSession, query: StreamingQuery, host: str) -> DataFrame:
-    rows = []
-    for d in query.recentProgress:  # StreamingQueryProgress is a dict
-        dur = d.get("durationMs", {}) or {}
-        seen = (d.get("observedMetrics", {}) or {}).get(OBSERVATION) or {}
-        seen = seen.asDict() if hasattr(seen, "asDict") else seen
-        rows.append((host, _ts(d["timestamp"]), int(d["batchId"]),
-                     int(d.get("numInputRows", 0) or 0),
-                     int(round(d.get("inputRowsPerSecond", 0.0) or 0.0)),
-                     int(round(d.get("processedRowsPerSecond", 0.0) or 0.0)),
-                     int(dur.get("triggerExecution", 0) or 0),
-                     int(dur.get("addBatch", 0) or 0),
-                     int(seen.get("records", 0) or 0), int(seen.get("bytes", 0) or 0)))
-    schema = ("host string, at timestamp, batch_id long, " +
-              ", ".join(f"{g} long" for g in PROGRESS_GAUGES))
-    return spark.createDataFrame(rows, schema)
+from pyspark.sql import functions as F
+
+from spillway.schema import CONSUMER
+from spillway.streaming import fs
+
+# Gauges of one batch (integers, as point fields are).
+BATCH_GAUGES = ("records", "bytes", "rejected", "took_ms")
+
+
+def parse_offsets(text: str) -> list[tuple[str, int, int]]:
+    """(topic, partition, offset) of {topic: {partition: offset}} as JSON."""
+    return [(topic, int(p), int(o)) for topic, parts in json.loads(text).items() if isinstance(parts, dict)
+            for p, o in parts.items()]
+
+
+def first_offsets(spark: SparkSession, checkpoint: str) -> list[tuple[str, int, int]]:
+    """The offsets a Kafka query began at, from its checkpoint; empty before they are written.
+
+    One row per partition of the topic."""
+    path = f"{checkpoint}/sources/0/0"
+    if not fs.exists(spark, path):
+        return []
+    lines = [r[0] for r in spark.read.text(path).collect()]
+    return [x for line in lines if line.startswith("{") for x in parse_offsets(line)]
+
+
+def batch_gauges(audit: DataFrame, host: str) -> DataFrame:
+    """(host, at, batch_id, records, bytes, rejected, took_ms): one row per batch of an audit table."""
+    read = audit.where(F.col("client_type") == CONSUMER)
+    return (read.groupBy("generation", "batch_id", "at")
+            .agg(F.sum("n").alias("records"), F.sum("bytes").alias("bytes"), F.sum("rejected").alias("rejected"),
+                 F.max("took_ms").alias("took_ms"))
+            .select(F.lit(host).alias("host"), "at", "batch_id", *(F.coalesce(g, F.lit(0)).cast("long").alias(g) for g in BATCH_GAUGES)))

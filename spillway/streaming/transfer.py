@@ -1,37 +1,44 @@
 """The continuous copy as one Structured Streaming query.
 
-    source stream --foreachBatch--> sink, quarantine, audit, commits (in that order)
-
-* Start (S2): a new checkpoint *generation* starts at the newest offsets of
-  the source.  On a file log that snapshot is computed once and frozen beside
-  the checkpoint (recomputing it on restart would skip what arrived between);
-  on Kafka, `startingOffsets=latest` does the same.  The snapshot is seeded into
-  `commits` as batch -1.
-* Reset (S3): a new generation with a new checkpoint and a new snapshot; the
-  old generation's folders are never deleted.
-* Delivery (K1, K5): each write replaces exactly the folder of its
-  (group, generation, batch_id), so a batch replayed after a failure leaves one
-  copy; positions are committed after the sink (at-least-once on Kafka,
-  effectively once on a file log).  No watermark or dedup state on the path.
+    source stream --foreachBatch--> sink, then audit, commits, quarantine
+
+* Generations (S2, S3, S5): a new checkpoint is opened by one durable record,
+  written before anything else of it: the source's start offsets, the
+  destination's next free offset and the time.  Positions are seeded from it as
+  batch -1, for every kind of start.  A restart goes on with the newest record;
+  a reset opens the next one.  Old generations' folders are never deleted.
+* Start (S2): "latest" starts at the newest offsets, frozen in the record
+  (recomputing them on a restart would skip what arrived between); "earliest"
+  at 0.  On Kafka `startingOffsets` does the same, and the seeds are read from
+  the first offsets in the query's checkpoint.
+* Delivery (K1, K5): a batch's folder appears whole, and a replayed batch keeps
+  the folders that are already there.  Destination offsets depend on the
+  generation's record and on the audit of earlier batches of it, never on what
+  an unfinished batch left behind.  So a replay changes nothing that a reader of
+  the destination may have seen; positions are committed after the sink
+  (at-least-once on Kafka, exactly once on a file log).
 * Failed records (K4): records matching `reject_when` are not sent; they are
   counted in the audit table and kept in a quarantine table.
 * Error budget (C1): the reject total of this run is one number kept on the
   driver.  It is checked *before* each batch: the batch that goes over the
   limit is finished and committed, the next refuses to start, so a restart (a
   new run, a fresh budget) goes on behind it instead of replaying it forever.
-  `finish()` checks once more after the query ends.
+  `finish()` checks once more after the query ends; both raise `BudgetExceeded`.
 * Drain (C2): `trigger="available_now"` runs until the source is empty and
   stops; `stop()` stops at once (an unfinished batch is replayed on restart).
-* Read limit (C3): `maxOffsetsPerTrigger` (Kafka) / `maxFilesPerTrigger`
-  (file log), unset by default.
+* Batches (C3): nothing of a batch is cached; its source is read once for the
+  offset ranges and once for the write.  `read_limit` bounds records (Kafka) or
+  files (file log), `batch_bytes` the bytes of a file log's batch.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import threading
+import time
 import uuid
 
-from pyspark import StorageLevel
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -40,18 +47,13 @@ from spillway.operators.budget import BudgetExceeded, over_budget
 from spillway.operators.positions import as_start, newest_offsets, seed_rows
 from spillway.operators.records import fan_out
 from spillway.options import TransferOptions
-from spillway.plans.copy import SLOT_BROADCAST_LIMIT, plan_copy_batch
-from spillway.schema import AUDIT, PRODUCER
+from spillway.plans.copy import plan_counted
+from spillway.schema import AUDIT, GENERATIONS, PRODUCER
 from spillway.session import under_state
-from spillway.sinks.file_log import run_concurrently, write_kafka_batch, write_log_batch, write_table_batch
+from spillway.sinks.file_log import run_concurrently, write_kafka_batch, write_log_batch, write_once, write_table_batch
 from spillway.sources.topic_log import read_file_log, topic_source
 from spillway.streaming import fs
-from spillway.streaming.progress import OBSERVATION
-
-
-# Start snapshots up to this many partitions become an exact per-partition
-# scan predicate; larger ones a single minimum (see `_start_predicate`).
-EXACT_START_PARTITIONS = 256
+from spillway.streaming.progress import first_offsets
 
 
 class Transfer:
@@ -68,160 +70,176 @@ class Transfer:
         self.generation = self._pick_generation()
         self._start: DataFrame | None = None
         self._scan_filter = None
+        self._base = 0                              # the destination's next free offset when the generation began
+        self._opened_at: _dt.datetime | None = None
         self._next: tuple[int, int] | None = None  # (next batch id, destination base)
         self.query: StreamingQuery | None = None
+        self._trip: BudgetExceeded | None = None
         self._stop_requested = False
+        self._clock_lock = threading.Lock()
+        self._running_at: _dt.datetime | None = None  # begin of the batch that runs now
+        self._monitor = None
 
     # ---- folders -------------------------------------------------------
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def folder(self, table_root: str, batch_id: int, **first) -> str:
+        return fs.partition_folder(self.spark, table_root, **first, group=self.group, generation=self.generation,
+                                   batch_id=batch_id)
+
     @property
     def checkpoint(self) -> str:
         return f"{self.path('checkpoints')}/group={self.group}/generation={self.generation}"
 
     @property
-    def start_path(self) -> str:
-        return f"{self.path('start')}/group={self.group}/generation={self.generation}"
+    def record_path(self) -> str:
+        return f"{self.path('generations')}/group={self.group}/generation={self.generation}"
 
+    # ---- generations ---------------------------------------------------
     def _pick_generation(self) -> int:
-        gens = [int(g) for g in fs.child_values(self.spark, f"{self.path('checkpoints')}/group={self.group}",
-                                                 "generation")]
+        """The newest recorded generation, or the next one where none is recorded or a reset is asked for."""
+        root = f"{self.path('generations')}/group={self.group}"
+        gens = [int(g) for g in fs.child_values(self.spark, root, "generation")
+                if fs.exists(self.spark, f"{root}/generation={g}/_SUCCESS")]
         if not gens:
             return 0
         return max(gens) + 1 if self.opts.reset else max(gens)
 
-    # ---- start position ------------------------------------------------
     def _freeze_start(self) -> None:
-        """Freeze (or reload) the start snapshot of this generation."""
-        if self.opts.source_format == "kafka" or self.opts.start_at == "earliest":
-            self._start = None  # Kafka: startingOffsets; earliest: no filter
+        """Open the generation (or reload its record), then seed its positions."""
+        o = self.opts
+        if not fs.exists(self.spark, f"{self.record_path}/_SUCCESS"):
+            starts = self._start_offsets()
+            own = self.spark.createDataFrame(
+                [(o.topic, -1, None, self._destination_end(), o.start_at, _dt.datetime.now(_dt.timezone.utc))], GENERATIONS)
+            known = starts.select("topic", "partition", "start_offset").withColumns(
+                {"base": F.lit(None).cast("long"), "start_at": F.lit(None).cast("string"), "opened_at": F.lit(None).cast("timestamp")})
+            known.unionByName(own).coalesce(1).write.mode("overwrite").parquet(self.record_path)
+        record = self.spark.read.schema(GENERATIONS).parquet(self.record_path)
+        own = record.where("partition = -1").first()
+        self._base, self._opened_at = int(own["base"]), own["opened_at"]
+        starts = record.where("partition >= 0").select("topic", "partition", "start_offset")
+        if o.source_format == "file":
+            self._seed(starts)
+            if own["start_at"] == "latest":
+                self._start = starts
+                self._scan_filter = self._start_predicate()
+
+    def _start_offsets(self) -> DataFrame:
+        """(topic, partition, start_offset) of the partitions the source has now; none on Kafka."""
+        o = self.opts
+        if o.source_format == "kafka" or not fs.exists(self.spark, f"{o.source.rstrip('/')}/topic={o.topic}"):
+            return self.spark.createDataFrame([], "topic string, partition int, start_offset long")
+        log = read_file_log(self.spark, o.source, o.topic)
+        if o.start_at == "earliest":
+            return log.select("topic", "partition").distinct().withColumn("start_offset", F.lit(0).cast("long"))
+        return as_start(newest_offsets(log))
+
+    def _seed(self, starts: DataFrame) -> None:
+        write_once(self.spark, self.folder(self.path("commits"), -1), lambda: write_table_batch(
+            seed_rows(starts, self.group, self.generation), self.path("commits"), self.group, self.generation, -1))
+
+    def seed_from_checkpoint(self) -> None:
+        """Kafka: seed the positions with the offsets the query began at, once its checkpoint names them."""
+        if self.opts.source_format != "kafka" or fs.exists(self.spark, self.folder(self.path("commits"), -1)):
             return
-        marker = f"{self.start_path}/_SUCCESS"
-        if not fs.exists(self.spark, marker):
-            if fs.exists(self.spark, f"{self.opts.source.rstrip('/')}/topic={self.opts.topic}"):
-                snap = as_start(newest_offsets(read_file_log(self.spark, self.opts.source, self.opts.topic)))
-            else:  # the topic has no records yet: every partition starts at 0
-                snap = self.spark.createDataFrame([], "topic string, partition int, start_offset long")
-            snap.write.mode("overwrite").parquet(self.start_path)
-            seeds = seed_rows(self.spark.read.parquet(self.start_path), self.group, self.generation)
-            write_table_batch(seeds, self.path("commits"), self.group, self.generation, -1)
-        self._start = self.spark.read.parquet(self.start_path)
-        self._scan_filter = self._start_predicate()
+        found = first_offsets(self.spark, self.checkpoint)
+        if found:
+            self._seed(self.spark.createDataFrame(found, "topic string, partition int, start_offset long"))
 
     def _start_predicate(self):
         """A constant predicate implied by the frozen start, for the parquet
-        scan: row groups wholly before the start are skipped by their footer
-        statistics instead of being read and dropped by the join.  The snapshot
-        has one row per partition (bounded by the partition count); up to
-        `EXACT_START_PARTITIONS` partitions the predicate is exact per
-        partition, above that it is the minimum start.  Partitions not in the
-        snapshot (created later) start at 0.  The exact filter stays the join."""
-        snap = self._start.agg(F.count(F.lit(1)).alias("n"), F.min("start_offset").alias("lo")).first()
-        if not snap["n"] or snap["n"] > SLOT_BROADCAST_LIMIT:  # none, or too many to list: join only
+        scan: row groups wholly before the smallest start are skipped by their
+        footer statistics instead of being read and dropped by the join.
+        Partitions not in the record (created later) start at 0.  The exact
+        filter stays the join.  One row per partition is read here."""
+        known = self._start.collect()
+        if not known:
             return None
-        parts = [(r.partition, r.start_offset) for r in self._start.collect()] \
-            if snap["n"] <= EXACT_START_PARTITIONS else None
-        known = F.col("partition").isin([p for p, _ in parts]) if parts else None
-        if parts:
-            exact = None
-            for p, s0 in parts:
-                term = (F.col("partition") == F.lit(p)) & (F.col("offset") >= F.lit(s0))
-                exact = term if exact is None else (exact | term)
-            return exact | ~known
-        listed = self._start.select("partition").distinct()
-        return (F.col("offset") >= F.lit(int(snap["lo"]))) | ~F.col("partition").isin(
-            [r.partition for r in listed.collect()])
+        return (F.col("offset") >= F.lit(min(r["start_offset"] for r in known))) | ~F.col("partition").isin(
+            [r["partition"] for r in known])
 
     # ---- destination base ------------------------------------------------
+    def _audit_end(self, condition) -> int:
+        """The largest destination slot that audit rows of this group reserved."""
+        if not fs.exists(self.spark, fs.partition_folder(self.spark, self.path("audit"), group=self.group)):
+            return 0
+        rows = self.audit().where(F.col("client_type") == PRODUCER).where(condition)
+        return int(rows.agg(F.max("until_offset")).first()[0] or 0)
+
+    def _destination_end(self) -> int:
+        """The next free destination offset when a generation begins."""
+        if self.opts.destination_format != "file" or not fs.exists(self.spark, self.opts.destination):
+            return 0
+        there = read_file_log(self.spark, self.opts.destination, self.opts.topic).agg(F.max("offset")).first()[0]
+        return max(0 if there is None else int(there) + 1, self._audit_end(F.col("generation") < self.generation))
+
     def _destination_base(self, batch_id: int) -> int:
-        """Next free destination offset before `batch_id` of this generation:
-        the largest slot end any earlier batch of this group reserved.  Read
-        once per run; afterwards carried on the driver as one number."""
+        """Next free destination offset before `batch_id`: from the record and
+        the audit of this generation's earlier batches only.  Read once per
+        run; afterwards carried on the driver as one number."""
         if self._next is not None and self._next[0] == batch_id:
             return self._next[1]
-        audit_path = self.path("audit")
-        if not fs.exists(self.spark, f"{audit_path}/group={self.group}"):
-            return self._existing_destination_end()
-        prev = f"{audit_path}/group={self.group}/generation={self.generation}/batch_id={batch_id - 1}"
-        if batch_id > 0 and fs.exists(self.spark, prev):  # offsets only grow: the last batch holds the max
-            got = (self.spark.read.parquet(prev).where(F.col("client_type") == PRODUCER)
-                   .agg(F.max("until_offset")).first()[0])
-            if got is not None:
-                return int(got)
-        a = (self.spark.read.schema(AUDIT).parquet(audit_path)
-             .where((F.col("group") == self.group) & (F.col("client_type") == PRODUCER))
-             .where((F.col("generation") < self.generation)
-                    | ((F.col("generation") == self.generation) & (F.col("batch_id") < batch_id))))
-        got = a.agg(F.max("until_offset")).first()[0]
-        return int(got) if got is not None else self._existing_destination_end()
-
-    def _existing_destination_end(self) -> int:
-        if self.opts.destination_format != "file" or not fs.exists(self.spark, self.opts.destination):
-            return 0
-        d = read_file_log(self.spark, self.opts.destination, self.opts.topic)
-        got = d.agg(F.max("offset")).first()[0]
-        return int(got) + 1 if got is not None else 0
+        earlier = (F.col("generation") == self.generation) & (F.col("batch_id") < batch_id)
+        return max(self._base, self._audit_end(earlier) if batch_id else 0)
 
     # ---- one micro-batch -------------------------------------------------
     def _batch(self, df: DataFrame, batch_id: int) -> None:
-        o = self.opts
-        if over_budget(self.rejected_total, o.max_errors):
-            raise BudgetExceeded(
-                f"{self.rejected_total} failed records in run {self.run_id} > max_errors={o.max_errors}")
-        at = F.lit(_dt.datetime.now(_dt.timezone.utc)).cast("timestamp")
-        # The batch feeds four writes: cache it once, so the source is read
-        # once per batch (and progress reports count each record once).  A
-        # backfill bounds what is cached per batch with `read_limit`.
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        if over_budget(self.rejected_total, self.opts.max_errors):
+            self._trip = self._over()
+            raise self._trip
+        with self._clock_lock:
+            self._running_at = _dt.datetime.now(_dt.timezone.utc)
         try:
-            base = self._destination_base(batch_id)
-            # Per-partition offset ranges of the batch are metadata (one row per
-            # source partition, as Spark's Kafka source plans offset ranges on
-            # the driver): computed once, then a local table, so the writes
-            # below share it with no recomputation and no shuffle, and the
-            # slot broadcast is checked against its exact size.
-            planned = plan_copy_batch(df, o.destination_partitions, self._start, o.reject_when,
-                                      o.preserve_nulls, base, at)
-            rows = planned.ranges.collect()
-            if not rows:  # nothing at or after the start position
-                self._next = (batch_id + 1, base)
-                self.batches.append(batch_id)
-                return
-            local = self.spark.createDataFrame(rows, planned.ranges.schema, verifySchema=False)
-            plan = plan_copy_batch(df, o.destination_partitions, self._start, o.reject_when,
-                                   o.preserve_nulls, base, at,
-                                   broadcast_slots=len(rows) <= SLOT_BROADCAST_LIMIT, ranges=local)
-            stats = {"rejected": sum(r["rejected"] or 0 for r in rows), "width": sum(r["_span"] for r in rows)}
+            self._copy(df, batch_id, self._running_at)
+        finally:
+            with self._clock_lock:
+                self._running_at = None
+
+    def _copy(self, df: DataFrame, batch_id: int, began: _dt.datetime) -> None:
+        o, begin = self.opts, time.monotonic()
+        self.seed_from_checkpoint()
+        base = self._destination_base(batch_id)
+        rows, plan = plan_counted(df, o.destination_partitions, self._start, o.reject_when, o.preserve_nulls, base,
+                                  F.lit(began).cast("timestamp"))
+        rejected, width = sum(r["rejected"] or 0 for r in rows), sum(r["_span"] for r in rows)
+        if rows:  # else nothing at or after the start position
             records = fan_out(plan.records, o.producer_concurrency)
             if o.destination_format == "file":
-                write_log_batch(records, o.destination, self.group, self.generation, batch_id, o.compression)
+                write_once(self.spark, self.folder(o.destination, batch_id, topic=o.topic), lambda: write_log_batch(
+                    records, o.destination, self.group, self.generation, batch_id, o.compression))
             else:
                 write_kafka_batch(records, o)
             self._after_sink(batch_id)
-            audit = plan.audit.withColumn("run_id", F.lit(self.run_id))
+            audit = plan.audit.withColumn("run_id", F.lit(self.run_id)).withColumn(
+                "took_ms", F.lit(round((time.monotonic() - begin) * 1000)).cast("long"))
             if o.destination_format == "kafka":  # the broker assigns destination offsets
                 planned_only = F.col("client_type") == PRODUCER
                 audit = (audit.withColumn("from_offset", F.when(~planned_only, F.col("from_offset")))
                               .withColumn("until_offset", F.when(~planned_only, F.col("until_offset"))))
-            commits = plan.commits.withColumn("generation", F.lit(self.generation))
+            tables = {"audit": audit, "commits": plan.commits.withColumn("generation", F.lit(self.generation))}
+            if o.quarantine and rejected:
+                tables["quarantine"] = plan.rejected
             # After the sink, the state tables are independent small writes: run
-            # them as concurrent jobs (a failed batch is replayed whole).
-            tables = [lambda: write_table_batch(audit, self.path("audit"), self.group, self.generation, batch_id),
-                      lambda: write_table_batch(commits, self.path("commits"), self.group, self.generation,
-                                                batch_id)]
-            if o.quarantine and o.reject_when is not None and stats["rejected"]:
-                tables.append(lambda: write_table_batch(plan.rejected, self.path("quarantine"), self.group,
-                                                        self.generation, batch_id))
-            run_concurrently(tables)
-            self.rejected_total += int(stats["rejected"] or 0)
-            self._next = (batch_id + 1, base + int(stats["width"] or 0))
-            self.batches.append(batch_id)
-            if o.metrics_path:
-                from spillway.streaming.metric_sink import write_batch_points
-                write_batch_points(self.spark, audit, o, self.generation, batch_id)
-        finally:
-            df.unpersist()
+            # them as concurrent jobs (a failed batch is replayed; tables already
+            # there stay).
+            run_concurrently([lambda t=t, d=d: self._write_table(t, d, batch_id) for t, d in tables.items()])
+        self.rejected_total += int(rejected)
+        self._next = (batch_id + 1, base + int(width))
+        self.batches.append(batch_id)
+
+    def _write_table(self, table: str, rows: DataFrame, batch_id: int) -> None:
+        write_once(self.spark, self.folder(self.path(table), batch_id), lambda: write_table_batch(
+            rows, self.path(table), self.group, self.generation, batch_id))
+
+    def _over(self) -> BudgetExceeded:
+        return BudgetExceeded(f"{self.rejected_total} failed records in run {self.run_id} > max_errors={self.opts.max_errors}")
+
+    def open_second(self) -> int:
+        """The first second (epoch) that a batch may still add records to."""
+        with self._clock_lock:
+            return int((self._running_at or _dt.datetime.now(_dt.timezone.utc)).timestamp())
 
     def _after_sink(self, batch_id: int) -> None:
         """Called between the sink write and the commits; a failure here is
@@ -239,10 +257,6 @@ class Transfer:
         stream = topic_source(self.spark, self.opts, stream=True)
         if self._scan_filter is not None:
             stream = stream.where(self._scan_filter)
-        # M1's live value: records and payload bytes read, per batch, in the
-        # query's progress (computed while the batch is read; no extra pass).
-        stream = stream.observe(OBSERVATION, F.count(F.lit(1)).alias("records"),
-                                F.coalesce(F.sum(F.length("value")), F.lit(0)).alias("bytes"))
         w = stream.writeStream.queryName(f"copy_{self.group}_{self.generation}") \
             .option("checkpointLocation", self.checkpoint).foreachBatch(self._batch)
         if trigger == "available_now":
@@ -252,6 +266,10 @@ class Transfer:
         else:
             w = w.trigger(processingTime=self.opts.trigger_interval)
         self.query = w.start()
+        if self.opts.metrics_path:
+            from spillway.plans.monitoring import Monitor
+            self._monitor = Monitor(self.spark, self.opts, self)
+            self._monitor.start()
         return self.query
 
     def request_stop(self) -> None:
@@ -263,20 +281,32 @@ class Transfer:
         """Wait for the query to end, then check the budget once more (the last
         batch may have gone over with no next batch to refuse).  Waits in
         one-second steps so that `request_stop()` is honoured."""
-        if self.query is not None:
-            if timeout is not None:
-                self.query.awaitTermination(timeout)
-            else:
-                while not self.query.awaitTermination(1):
-                    if self._stop_requested:
-                        self.query.stop()
+        try:
+            if self.query is not None:
+                if timeout is not None:
+                    self.query.awaitTermination(timeout)
+                else:
+                    while not self.query.awaitTermination(1):
+                        if self._stop_requested:
+                            self.query.stop()
+        except StreamingQueryException:
+            if self._trip is None:
+                raise
+            raise self._trip from None
+        finally:
+            self._end_monitor()
         if over_budget(self.rejected_total, self.opts.max_errors):
-            raise BudgetExceeded(
-                f"{self.rejected_total} failed records in run {self.run_id} > max_errors={self.opts.max_errors}")
+            raise self._over()
 
     def stop(self) -> None:
         if self.query is not None:
             self.query.stop()
+        self._end_monitor()
+
+    def _end_monitor(self) -> None:
+        if self._monitor is not None and not (self.query is not None and self.query.isActive):
+            monitor, self._monitor = self._monitor, None
+            monitor.finish()
 
     # ---- tables ----------------------------------------------------------
     def audit(self) -> DataFrame:

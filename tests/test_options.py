@@ -26,6 +26,8 @@ def test_kafka_source_options():
     assert o["subscribe"] == "orders" and o["startingOffsets"] == "latest"
     assert o["maxOffsetsPerTrigger"] == "500" and o["minPartitions"] == "8"
     assert kafka_source_options(_o(start_at="earliest"))["startingOffsets"] == "earliest"
+    assert o["failOnDataLoss"] == "true"
+    assert kafka_source_options(_o(fail_on_data_loss=False))["failOnDataLoss"] == "false"
 
 
 def test_kafka_sink_options_are_the_delivery_options():
@@ -74,3 +76,17 @@ def test_run_concurrently_runs_all_and_raises_the_failure():
     with pytest.raises(RuntimeError, match="write failed"):
         run_concurrently([lambda: done.append(4), boom])
     assert 4 in done
+
+
+def test_state_needs_a_shared_folder_off_a_local_master():
+    from types import SimpleNamespace
+
+    from spillway.session import is_local, state_root
+    at = lambda master: SimpleNamespace(sparkContext=SimpleNamespace(master=master))
+    assert [is_local(at(m)) for m in ("local", "local[4]", "local-cluster[3,2,900]", "yarn")] == [True, True, False, False]
+    none = SimpleNamespace(isDefined=lambda: False)
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda *_: None),
+        sparkContext=SimpleNamespace(master="yarn", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: none))))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        state_root(cluster)

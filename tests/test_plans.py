@@ -2,7 +2,8 @@
 
 from helpers import log_rows, make_log
 from spillway.options import TransferOptions
-from spillway.plans.copy import plan_copy_batch
+from spillway.plans import copy
+from spillway.plans.copy import plan_counted
 from spillway.sinks.file_log import write_log_batch
 from spillway.sources.topic_log import read_file_log
 from spillway.streaming.transfer import run_transfer
@@ -43,7 +44,9 @@ def shuffles_outside_broadcast(plan) -> list[str]:
 def test_copy_moves_no_record_even_with_a_hot_partition(spark, scratch):
     rows = log_rows("t", 0, 0, 3000) + [r for p in range(1, 9) for r in log_rows("t", p, 0, 700)]
     write_log_batch(make_log(spark, rows), scratch, "p", 0, 0, "snappy")
-    records = plan_copy_batch(read_file_log(spark, scratch), 24).records
+    rows, plan = plan_counted(read_file_log(spark, scratch), 24)
+    assert len(rows) == 9
+    records = plan.records
     records.write.format("noop").mode("overwrite").save()
     plan = records._jdf.queryExecution().executedPlan()
     assert shuffles_outside_broadcast(plan) == []
@@ -55,6 +58,37 @@ def test_copy_moves_no_record_even_with_a_hot_partition(spark, scratch):
     assert max(per.values()) - min(per.values()) <= 9  # round robin spreads the hot partition
 
 
+def test_slots_join_without_a_broadcast_beyond_the_limit(spark, scratch, monkeypatch):
+    """The same records and offsets on both sides of the broadcast's size check."""
+    rows = [r for p in range(9) for r in log_rows("t", p, 3 * p, 200)]
+    write_log_batch(make_log(spark, rows), scratch, "p", 0, 0, "snappy")
+    show = lambda: sorted((r.partition, r.offset, bytes(r.value)) for r in plan_counted(read_file_log(spark, scratch), 4)[1].records.collect())
+    hinted = show()
+    monkeypatch.setattr(copy, "SLOT_BROADCAST_LIMIT", 3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _, plan = plan_counted(read_file_log(spark, scratch), 4)
+        assert "Broadcast" not in plan.records._jdf.queryExecution().executedPlan().toString()
+        assert show() == hinted
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _count(df, word):
+    return df._jdf.queryExecution().executedPlan().toString().count(word)
+
+
+def test_lag_reads_the_log_twice_and_budget_once(spark, scratch):
+    """Lag: one aggregate for positions, one for the topic names of the partition list."""
+    from spillway.operators import budget, metrics, positions
+    write_log_batch(make_log(spark, log_rows("t", 0, 0, 20) + log_rows("u", 1, 0, 9)), scratch, "p", 0, 0, "snappy")
+    log = read_file_log(spark, scratch)
+    lag = metrics.lag_of_log(log, positions.partition_list(log, 3), "2024-01-01 00:00:05", "g")
+    assert _count(lag, "FileScan") == 2 and _count(lag, "Exchange hash") <= 3
+    trips = budget.budget_trips(log, ["topic"], "offset", 10)
+    assert _count(trips, "FileScan") == 1 and _count(trips, "Exchange hash") == 1 and _count(trips, "WindowGroupLimit") >= 1
+
+
 def test_frozen_start_reaches_the_stream_scan(spark, scratch, capsys):
     src = f"{scratch}/src"
     write_log_batch(make_log(spark, log_rows("t", 0, 0, 20)).coalesce(1), src, "p", 0, 0, "snappy")

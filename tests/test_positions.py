@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from helpers import log_rows, make_log
 from spillway.operators import positions
+from spillway.plans.copy import plan_copy_batch
 
 
 def _log(spark):
@@ -45,8 +46,7 @@ def test_reset_reports_the_skipped_gap(spark):
 
 def test_commit_and_seed_rows(spark):
     log = _log(spark)
-    c = positions.commit_rows(log, "g", 0, 7)
-    got = {(r.topic, r.partition): (r.next_offset, r.batch_id, r.group) for r in c.collect()}
-    assert got[("a", 0)] == (10, 7, "g") and got[("b", 0)] == (8, 7, "g")
+    got = {(r.topic, r.partition): r.next_offset for r in plan_copy_batch(log, 4).commits.collect()}
+    assert got[("a", 0)] == 10 and got[("b", 0)] == 8
     seeds = positions.seed_rows(positions.as_start(positions.newest_offsets(log)), "g", 2)
     assert {r.batch_id for r in seeds.collect()} == {-1}

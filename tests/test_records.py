@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from helpers import as_set, log_rows, make_log
 from spillway.operators import records
+from spillway.plans.copy import plan_copy_batch
 from spillway.sinks.file_log import write_topic_log
 from spillway.sources.topic_log import read_file_log
 
@@ -39,18 +40,18 @@ def test_round_robin_is_even_and_stateless(spark):
 
 def test_fan_out_keeps_the_multiset(spark):
     log = make_log(spark, log_rows("a", 0, 0, 100) + log_rows("a", 1, 0, 100))
-    sent = records.copy_records(log, "a", 4)
+    sent = plan_copy_batch(log, 4).records.select("topic", "partition", "key", "value")
     assert as_set(records.fan_out(sent, 3), ("topic", "partition", "key", "value")) == \
         as_set(sent, ("topic", "partition", "key", "value"))
     assert records.fan_out(sent, 3).rdd.getNumPartitions() == 3
     assert records.fan_out(sent, None) is sent
 
 
-def test_split_rejects_counts_null_as_not_rejected(spark):
+def test_rejects_count_null_as_not_rejected(spark):
     log = make_log(spark, log_rows("a", 0, 0, 10, value=lambda o: None if o < 3 else (b"x" * o)))
-    ok, bad = records.split_rejects(log, "length(value) > 8")
-    assert ok.count() == 9 and bad.count() == 1
-    assert bad.first().offset == 9
+    plan = plan_copy_batch(log, 4, reject_when="length(value) > 8")
+    assert plan.records.count() == 9 and plan.rejected.count() == 1
+    assert plan.rejected.first().offset == 9
 
 
 def test_payload_edge_cases_survive_the_file_log(spark, scratch):

@@ -45,7 +45,7 @@ def test_record_operators_stream_equals_batch(spark, scratch):
 def test_rejects_and_points_on_a_stream(spark, scratch):
     _log_files(spark, scratch)
     stream = read_file_log(spark, scratch, stream=True, max_files_per_trigger=1)
-    ok, bad = records.split_rejects(stream, "length(value) > 2")
+    bad = stream.where(records.reject_flag("length(value) > 2"))
     assert _run(bad, "rejected_s").count() == read_file_log(spark, scratch).where("length(value) > 2").count()
     audit = stream.select("topic", F.lit("consumer").alias("client_type"), F.lit(1).cast("long").alias("n"),
                           F.col("timestamp").alias("at"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from helpers import log_rows, make_log
 from spillway.operators import records
+from spillway.operators.budget import BudgetExceeded
 from spillway.options import TransferOptions
 from spillway.plans.copy import plan_copy_batch
 from spillway.sinks.file_log import write_log_batch
@@ -76,27 +77,86 @@ def test_latest_start_skips_the_backlog_then_copies_new_records(spark, scratch):
     assert _multiset(_sent(spark, scratch)) == _expected(spark, new)
 
 
-class _FailOnce(Transfer):
-    failed = False
+def _killed_at(batch):
+    class Killed(Transfer):
+        def _after_sink(self, batch_id):
+            if batch_id == batch:
+                raise RuntimeError("killed between sink and commit")
+    return Killed
 
-    def _after_sink(self, batch_id):
-        if batch_id == 1 and not _FailOnce.failed:
-            _FailOnce.failed = True
-            raise RuntimeError("killed between sink and commit")
 
+def _exact(df):
+    return sorted((r.partition, r.offset, bytes(r.key), bytes(r.value)) for r in df.collect())
 
-def test_kill_after_sink_then_restart_has_no_duplicates(spark, scratch):
+
+@pytest.mark.parametrize("batch", [0, 1])
+def test_kill_after_sink_then_restart_changes_nothing_that_was_sent(spark, scratch, batch):
+    """Also for a reader of the destination that looked in between."""
     rows = _rows(0, 0, 12) + _rows(1, 0, 12)
     for b in range(3):
         _append(spark, f"{scratch}/src", b, rows[b * 8:(b + 1) * 8])
-    t = _FailOnce(spark, _opts(scratch, start_at="earliest", read_limit=1))
+    t = _killed_at(batch)(spark, _opts(scratch, start_at="earliest", read_limit=1))
     t.start("available_now")
     with pytest.raises(StreamingQueryException):
         t.finish()
-    assert _FailOnce.failed
+    before = _exact(_sent(spark, scratch))
+    assert len(before) == 8 * (batch + 1)
+    hop = TransferOptions(topic="t", source=f"{scratch}/dst", destination=f"{scratch}/dst2", state_path=f"{scratch}/state2",
+                          destination_partitions=4, start_at="earliest", group_suffix="hop")
+    run_transfer(spark, hop)
     t2 = run_transfer(spark, _opts(scratch, start_at="earliest", read_limit=1))
-    assert t2.batches[0] == 1  # the unfinished batch is replayed under its own id
+    assert t2.batches[0] == batch  # the unfinished batch is replayed under its own id
+    after = _exact(_sent(spark, scratch))
+    assert set(before) <= set(after) and len(after) == 24
     assert _multiset(_sent(spark, scratch)) == _expected(spark, rows)
+    run_transfer(spark, hop)
+    assert _multiset(read_file_log(spark, f"{scratch}/dst2", "t")) == _expected(spark, rows)
+    assert t2.audit().groupBy("client_type").agg(F.sum("n").alias("n")).where("n <> 24").count() == 0
+
+
+def test_first_batch_with_records_is_replay_safe_after_empty_ones(spark, scratch):
+    _append(spark, f"{scratch}/src", 0, _rows(0, 0, 6))
+    o = _opts(scratch)
+    run_transfer(spark, o)                                    # newest: a batch without records
+    _append(spark, f"{scratch}/src", 1, _rows(0, 6, 6))
+    t = Transfer(spark, o)
+    t._after_sink = lambda batch_id: 1 / 0
+    t.start("available_now")
+    with pytest.raises(StreamingQueryException):
+        t.finish()
+    before = _exact(_sent(spark, scratch))
+    run_transfer(spark, o)
+    assert _exact(_sent(spark, scratch)) == before and len(before) == 6
+
+
+def test_every_start_is_seeded_from_one_record(spark, scratch):
+    """A crash right after the record: the restart seeds from it, and lag tells the truth."""
+    from spillway.plans.monitoring import copy_lag
+    _append(spark, f"{scratch}/src", 0, _rows(0, 0, 10) + _rows(1, 0, 4))
+    for start_at, lag in (("latest", {0: 3, 1: 0}), ("earliest", {0: 13, 1: 4})):
+        o = _opts(scratch, start_at=start_at, state_path=f"{scratch}/{start_at}")
+        t = Transfer(spark, o)
+        t._seed = lambda starts: (_ for _ in ()).throw(RuntimeError("crash"))
+        with pytest.raises(RuntimeError):
+            t._freeze_start()
+        _append(spark, f"{scratch}/src", 1, _rows(0, 10, 3))
+        again = Transfer(spark, o)
+        again._freeze_start()
+        assert again.generation == 0
+        assert {r.partition: r.lag for r in copy_lag(spark, o).collect()} == lag
+        run_transfer(spark, o)
+        assert {r.lag for r in copy_lag(spark, o).collect()} == {0}
+
+
+def test_kafka_positions_are_seeded_from_the_checkpoint(spark, scratch):
+    import os
+    t = Transfer(spark, _opts(scratch, source="broker:9092", source_format="kafka"))
+    t.seed_from_checkpoint()  # nothing known yet
+    os.makedirs(f"{t.checkpoint}/sources/0")
+    with open(f"{t.checkpoint}/sources/0/0", "w") as f:
+        f.write('v1\n{"t":{"0":400,"1":7}}')
+    t.seed_from_checkpoint()
+    assert {(r.partition, r.next_offset, r.batch_id) for r in t.commits().collect()} == {(0, 400, -1), (1, 7, -1)}
 
 
 def test_reset_skips_the_gap_and_keeps_the_old_generation(spark, scratch):
@@ -130,7 +190,7 @@ def test_budget_trips_at_max_plus_one_and_restart_goes_on(spark, scratch):
     o = _opts(scratch, start_at="earliest", read_limit=1, reject_when="length(value) > 8", max_errors=3)
     t = Transfer(spark, o)
     t.start("available_now")
-    with pytest.raises(StreamingQueryException, match="max_errors=3"):
+    with pytest.raises(BudgetExceeded, match="max_errors=3"):
         t.finish()
     assert t.batches == [0, 1] and t.rejected_total == 4
     assert t.quarantined().count() == 4
@@ -160,7 +220,7 @@ def test_stream_equals_batch(spark, scratch):
 def test_metric_points_are_written_per_batch(spark, scratch):
     _append(spark, f"{scratch}/src", 0, _rows(0, 0, 9))
     run_transfer(spark, _opts(scratch, start_at="earliest", metrics_path=f"{scratch}/metrics", host="h"))
-    pts = read_points(spark, f"{scratch}/metrics")
+    pts = read_points(spark, f"{scratch}/metrics").where("measurement = 'rps_stats'")
     by_type = {r.ct: r.s for r in pts.select(F.col("tags")["clientType"].alias("ct"),
                                              F.col("fields")["rps"].alias("v"))
                .groupBy("ct").agg(F.sum("v").alias("s")).collect()}
@@ -283,7 +343,7 @@ def test_kafka_source_branch(spark, scratch, monkeypatch):
     t.start("available_now")
     t.finish()
     assert t._start is None and t._scan_filter is None
-    assert not os.path.exists(f"{scratch}/state/start")
+    assert spark.read.parquet(f"{scratch}/state/generations").where("partition >= 0").count() == 0
     assert _multiset(_sent(spark, scratch)) == _expected(spark, rows)
 
 
