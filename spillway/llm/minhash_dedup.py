@@ -255,17 +255,15 @@ class _Search:
 
     def verified(self, pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
         """The pairs (a, b) that are similar enough."""
-        pairs = self.work.write(pairs.distinct(), f"{name}-candidates")
         left = sets.select(F.col("cid").alias("a"), F.col("items").alias("x"), F.col("counts").alias("xw"))
         right = sets.select(F.col("cid").alias("b"), F.col("items").alias("y"), F.col("counts").alias("yw"))
-        full = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "xw", "y", "yw")
+        full = pairs.distinct().join(left, "a").join(right, "b").select("a", "b", "x", "xw", "y", "yw")
         return self.work.write(full.mapInArrow(_verify(self.similarity), "a long, b long"), name)
 
     def open_buckets(self, groups: DataFrame, name: str) -> DataFrame:
         """Members of buckets that hold several components and more than the one pair that was compared."""
-        placed = self.work.write(
-            self.members.where("crowd > 2").select("bucket", "band", "cid", "crowd").join(groups, "cid", "left")
-            .select("bucket", "band", "cid", "crowd", F.coalesce("component", "cid").alias("component")), f"{name}-placed")
+        placed = (self.members.where("crowd > 2").select("bucket", "band", "cid", "crowd").join(groups, "cid", "left")
+                  .select("bucket", "band", "cid", "crowd", F.coalesce("component", "cid").alias("component")))
         mixed = placed.groupBy("bucket").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q")
         return self.work.write(placed.join(mixed.select("bucket"), "bucket", "left_semi"), name)
 
