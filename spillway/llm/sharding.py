@@ -84,5 +84,8 @@ def shard_documents(docs: DataFrame, shards: int, work: Workspace) -> DataFrame:
     starts = F.array(*[F.struct(F.lit(gone).alias("gone"), F.lit(ident).cast("long").alias("id"),
                                 F.lit(crc).cast("long").alias("crc")) for _, gone, ident, crc in cuts])
     numbers = F.array(*[F.lit(number) for number, *_ in cuts])
-    shard = F.element_at(numbers, F.size(F.filter(starts, lambda s: s <= row))) if cuts else F.lit(0)
+    # A fold carries the row's key along, so that it is computed once.
+    before = F.aggregate(starts, F.struct(row.alias("key"), F.lit(0).alias("n")), lambda acc, s: F.struct(
+        acc["key"].alias("key"), (acc["n"] + (s <= acc["key"]).cast("int")).alias("n")), lambda acc: acc["n"])
+    shard = F.element_at(numbers, before) if cuts else F.lit(0)
     return docs.withColumn(free_name(docs, "shard"), shard.cast("int"))
