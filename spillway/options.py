@@ -41,6 +41,7 @@ class TransferOptions:
     default, as the reference's buffer bounds memory, not rate.
     batch_bytes: source bytes per micro-batch of a file log while read_limit is
     unset, so that a backlog of any size is copied in bounded batches.
+    fold_batches: after so many batches the audit and commit folders are folded into one.
     monitor_seconds: how often points are written when metrics_path is set.
     producer_concurrency: ``None`` keeps the read parallelism for the write (no
     exchange); a number adds one round-robin exchange to that many writers.
@@ -55,6 +56,7 @@ class TransferOptions:
     state_path: str | None = None
     read_limit: int | None = None
     batch_bytes: int = DEFAULT_BATCH_BYTES
+    fold_batches: int = 1000
     monitor_seconds: float = METRIC_FLUSH_SECONDS
     max_errors: int = DEFAULT_MAX_ERRORS
     max_retry: int = DEFAULT_MAX_RETRY
@@ -90,6 +92,8 @@ class TransferOptions:
             raise ValueError("max_errors must be >= 0")
         if self.read_limit is not None and self.read_limit <= 0:
             raise ValueError("read_limit must be positive")
+        if self.fold_batches <= 0:
+            raise ValueError("fold_batches must be positive")
         if self.batch_bytes <= 0:
             raise ValueError("batch_bytes must be positive")
         if self.destination_partitions <= 0:

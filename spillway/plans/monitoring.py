@@ -27,12 +27,13 @@ from pyspark.sql import functions as F
 
 from spillway.operators import metrics, points, positions
 from spillway.options import TransferOptions
-from spillway.schema import AUDIT, COMMITS, CONSUMER, PRODUCER
+from spillway.schema import CONSUMER, PRODUCER
 from spillway.session import under_state
 from spillway.sources.topic_log import read_file_log, topic_source
 from spillway.streaming import fs
 from spillway.streaming.metric_sink import write_points
 from spillway.streaming.progress import BATCH_GAUGES, batch_gauges, parse_offsets
+from spillway.streaming.state import read_table
 
 GAUGE_SECONDS = 60   # cadence of system_stats, as the reference's
 TICKS = "until long, gauged long, in_flight long, seen timestamp"
@@ -46,15 +47,11 @@ def _root(spark: SparkSession, opts: TransferOptions) -> str:
 
 
 def commits_of(spark: SparkSession, opts: TransferOptions) -> DataFrame:
-    return (spark.read.schema(COMMITS).parquet(f"{_root(spark, opts)}/commits")
-            .where(F.col("group") == opts.group))
+    return read_table(spark, _root(spark, opts), "commits", opts.group)
 
 
 def audit_of(spark: SparkSession, opts: TransferOptions) -> DataFrame:
-    path = f"{_root(spark, opts)}/audit"
-    if not fs.exists(spark, path):  # no batch yet
-        return spark.createDataFrame([], AUDIT)
-    return spark.read.schema(AUDIT).parquet(path).where(F.col("group") == opts.group)
+    return read_table(spark, _root(spark, opts), "audit", opts.group)
 
 
 def newest_from_progress(spark: SparkSession, progress: dict) -> DataFrame:

@@ -39,3 +39,8 @@ def partition_folder(spark: SparkSession, root: str, **columns) -> str:
     """The folder that `partitionBy` makes for these values, names escaped as Spark escapes them."""
     utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils  # noqa: SLF001
     return "/".join([root.rstrip("/"), *(f"{k}={utils.escapePathName(str(v))}" for k, v in columns.items())])
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

@@ -48,12 +48,13 @@ from spillway.operators.positions import as_start, newest_offsets, seed_rows
 from spillway.operators.records import fan_out
 from spillway.options import TransferOptions
 from spillway.plans.copy import plan_counted
-from spillway.schema import AUDIT, GENERATIONS, PRODUCER
+from spillway.schema import GENERATIONS, PRODUCER
 from spillway.session import under_state
 from spillway.sinks.file_log import run_concurrently, write_kafka_batch, write_log_batch, write_once, write_table_batch
 from spillway.sources.topic_log import read_file_log, topic_source
 from spillway.streaming import fs
 from spillway.streaming.progress import first_offsets
+from spillway.streaming.state import fold, read_table
 
 
 class Transfer:
@@ -163,8 +164,6 @@ class Transfer:
     # ---- destination base ------------------------------------------------
     def _audit_end(self, condition) -> int:
         """The largest destination slot that audit rows of this group reserved."""
-        if not fs.exists(self.spark, fs.partition_folder(self.spark, self.path("audit"), group=self.group)):
-            return 0
         rows = self.audit().where(F.col("client_type") == PRODUCER).where(condition)
         return int(rows.agg(F.max("until_offset")).first()[0] or 0)
 
@@ -228,6 +227,8 @@ class Transfer:
         self.rejected_total += int(rejected)
         self._next = (batch_id + 1, base + int(width))
         self.batches.append(batch_id)
+        if len(self.batches) % o.fold_batches == 0:
+            fold(self.spark, self.root, self.group, self.generation)
 
     def _write_table(self, table: str, rows: DataFrame, batch_id: int) -> None:
         write_once(self.spark, self.folder(self.path(table), batch_id), lambda: write_table_batch(
@@ -310,10 +311,10 @@ class Transfer:
 
     # ---- tables ----------------------------------------------------------
     def audit(self) -> DataFrame:
-        return self.spark.read.schema(AUDIT).parquet(self.path("audit")).where(F.col("group") == self.group)
+        return read_table(self.spark, self.root, "audit", self.group)
 
     def commits(self) -> DataFrame:
-        return read_commits(self.spark, self.path("commits")).where(F.col("group") == self.group)
+        return read_table(self.spark, self.root, "commits", self.group)
 
     def quarantined(self) -> DataFrame:
         return self.spark.read.parquet(self.path("quarantine")).where(F.col("group") == self.group)
