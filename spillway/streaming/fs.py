@@ -44,3 +44,10 @@ def partition_folder(spark: SparkSession, root: str, **columns) -> str:
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as a full URI, as Spark's file system resolves it."""
+    fs, p = _fs(spark, path)
+    uri = str(fs.makeQualified(p).toString())
+    return "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
