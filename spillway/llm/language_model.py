@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from spillway.llm import tokens
 from spillway.llm.common import Workspace
+from spillway.streaming.fs import qualified
 
 ORDER = 2
 FLUSH_TOKENS = 1_500_000   # words counted in a task before its counts are sent on: bounds its memory
@@ -70,10 +71,6 @@ def mapped(uri: str, dtype) -> np.ndarray:
         return np.memmap(copy, dtype, "r") if copy.tell() else np.zeros(0, dtype)
 
 
-def _uri(path: str) -> str:
-    return path if "://" in path or path.startswith("file:") else f"file://{os.path.abspath(path)}"
-
-
 def _part(spread: np.ndarray, parts: int) -> np.ndarray:
     """Range split of mixed 64-bit values over `parts` files."""
     return ((spread >> _U64(32)) * _U64(parts) >> _U64(32)).astype(np.int32)
@@ -424,7 +421,7 @@ def train(texts: DataFrame, work: Workspace, order: int = ORDER) -> Model:
         raise ValueError("order must be at least 2")
     size = texts.agg(F.sum(F.octet_length(F.col(texts.columns[0])) + 1)).first()[0] or 0
     parts = max(1, -(-size // PART_BYTES))
-    model = Model(_uri(work.path("arrays")), order, vocabulary_parts=max(1, parts // 4), gram_parts=parts)
+    model = Model(qualified(work.spark, work.path("arrays")), order, vocabulary_parts=max(1, parts // 4), gram_parts=parts)
 
     def dealt(blobs: DataFrame, n: int) -> DataFrame:
         return blobs.select("part", "keys", "counts").repartition(n, "part")
