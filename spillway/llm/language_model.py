@@ -34,9 +34,9 @@ from spillway.llm.common import Workspace
 from spillway.streaming.fs import qualified
 
 ORDER = 2
-FLUSH_TOKENS = 1_500_000   # words counted in a task before its counts are sent on: bounds its memory
+FLUSH_TOKENS = 1_000_000   # words counted in a task before its counts are sent on: bounds its memory
 CHUNK = 2 << 20            # bytes of text scored at once
-PART_BYTES = 16 << 20      # text bytes for each array file
+PART_BYTES = 8 << 20      # text bytes for each array file
 HOT_SHARE = 256            # contexts with more than 1/256 of all words are spread over files
 SPREAD = 64
 
