@@ -61,7 +61,7 @@ def bucket_hashes(unit: np.ndarray, k: int, tables: int) -> np.ndarray:
 
 
 def units(vectors: pa.ListArray) -> list[np.ndarray]:
-    """Unit vectors in double precision, one matrix per run of equal lengths is not assumed: a list of rows."""
+    """The rows, which may differ in length, scaled to length one in double precision."""
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     offs = vectors.offsets.to_numpy() - vectors.offsets.to_numpy()[0]
     out = []

@@ -1,7 +1,5 @@
 """Small tables with the cases that every operator must stand."""
 
-import pytest
-
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHES = ("row", "size", "key", "r1", "k1", "part", "shard", "score", "group", "bucket", "cid", "count", "a.b")
 
@@ -38,5 +36,3 @@ def plain(df, *columns):
     rows = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
     return sorted(rows, key=lambda r: tuple((x is None, str(x)) for x in r))
 
-
-__all__ = ["CASES", "CLASHES", "DOCS", "LONG", "clashing", "documents", "plain", "pytest"]
