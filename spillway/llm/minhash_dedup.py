@@ -9,12 +9,11 @@ signatures agree in a component with the probability Jaccard similarity of the
 weighted sets.  Bands of the signature are the candidates' buckets; candidates
 whose signatures are too far apart are dropped, the others verified exactly.
 
-Texts with the same words are one class.  In a bucket, classes are first
-compared with one representative.  Buckets that this leaves in several
-components are compared in blocks: first along the strongest signature
-agreements, then every pair that is still in two components.  So no link that
-could join two groups is lost, and a large group of near copies is not
-written out as pairs.
+Texts with the same words are one class.  The classes of a bucket are compared
+in blocks, by their signatures: first the strongest agreements that would
+connect them are verified, then every pair that is still in two components.  So
+no link that could join two groups is lost, and a large group of near copies is
+not written out as pairs.
 """
 
 from __future__ import annotations
@@ -126,23 +125,25 @@ def _signs(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SIGNATURE)
 
 
-def _alike(least: int):
-    """a, b, x, y -> the pairs whose signatures agree well enough."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = (_signs(batch.column(2)) == _signs(batch.column(3))).sum(axis=1) >= least
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep))
-    return run
-
-
 def _agreements(x: np.ndarray) -> np.ndarray:
     """(rows, rows) numbers of equal components; SIGNATURE is under 256."""
+    if len(x) <= 64:
+        return (x[:, None] == x[None]).sum(axis=2, dtype=np.uint8)
     out = np.zeros((len(x), len(x)), np.uint8)
     for c in np.ascontiguousarray(x.T):
         out += c[:, None] == c[None, :]
     return out
 
 
+def _first_shared(signs: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The first band in which each pair of signatures agrees."""
+    out = np.empty(len(a), np.int64)
+    for i in range(0, len(a), 20_000):
+        same = (signs[a[i:i + 20_000]] == signs[b[i:i + 20_000]]).reshape(-1, BANDS, ROWS).all(axis=2)
+        out[i:i + 20_000] = same.argmax(axis=1)
+    return out
+
+
 def _strongest(agree: np.ndarray, group: np.ndarray) -> list[tuple[int, int]]:
     """A forest that joins the groups along their highest agreements (0: none), at most one edge fewer than groups."""
     group = np.unique(group, return_inverse=True)[1]
@@ -181,8 +182,7 @@ def _blocks(least: int, every: bool):
             if every:
                 agree[component[:, None] == component[None, :]] = 0
                 a, b = np.nonzero(np.triu(agree))
-                shared = (signs[a] == signs[b]).reshape(-1, BANDS, ROWS).all(axis=2)
-                here = shared.argmax(axis=1) == rows.column("band")[0].as_py()
+                here = _first_shared(signs, a, b) == rows.column("band")[0].as_py()
                 a, b = a[here], b[here]
             else:
                 a, b = np.array(_strongest(agree, component), np.int64).reshape(-1, 2).T
@@ -242,8 +242,8 @@ class _Search:
         bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
                             lambda i: F.xxhash64(i, F.substring("sign", i * ROWS + 1, F.lit(ROWS))))
         members = self.classes.where("sign is not null").select("cid", F.posexplode(bands).alias("band", "bucket"))
-        crowded = members.groupBy("bucket").agg(F.count("*").alias("crowd"), F.min("cid").alias("lead")).where("crowd > 1")
-        self.members = work.write(members.join(crowded, "bucket").select("bucket", "band", "cid", "crowd", "lead"), "members")
+        crowded = members.groupBy("bucket").agg(F.count("*").alias("crowd")).where("crowd > 1")
+        self.members = work.write(members.join(crowded, "bucket").select("bucket", "band", "cid", "crowd"), "members")
         self.signs = self.classes.select("cid", "sign")
 
     def shingles(self) -> DataFrame:
@@ -260,12 +260,12 @@ class _Search:
         full = pairs.distinct().join(left, "a").join(right, "b").select("a", "b", "x", "xw", "y", "yw")
         return self.work.write(full.mapInArrow(_verify(self.similarity), "a long, b long"), name)
 
-    def open_buckets(self, groups: DataFrame, name: str) -> DataFrame:
+    def open_buckets(self, groups: DataFrame) -> DataFrame:
         """Members of buckets that hold several components and more than the one pair that was compared."""
         placed = (self.members.where("crowd > 2").select("bucket", "band", "cid", "crowd").join(groups, "cid", "left")
                   .select("bucket", "band", "cid", "crowd", F.coalesce("component", "cid").alias("component")))
         mixed = placed.groupBy("bucket").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q")
-        return self.work.write(placed.join(mixed.select("bucket"), "bucket", "left_semi"), name)
+        return placed.join(mixed.select("bucket"), "bucket", "left_semi")
 
     def in_blocks(self, opened: DataFrame, every: bool) -> DataFrame:
         """Pairs to verify, from comparing blocks of buckets; all pairs of blocks, or each block in itself and with the first."""
@@ -284,17 +284,11 @@ class _Search:
     def run(self) -> DataFrame:
         """(cid, component) of all classes that have a link."""
         sets = self.shingles()
-        star = self.members.where("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")).distinct()
-        star = (star.join(self.signs.select(F.col("cid").alias("a"), F.col("sign").alias("x")), "a")
-                .join(self.signs.select(F.col("cid").alias("b"), F.col("sign").alias("y")), "b")
-                .select("a", "b", "x", "y").mapInArrow(_alike(self.least), "a long, b long"))
-        edges = self.verified(star, sets, "star")
+        apart = self.members.withColumn("component", F.col("cid"))
+        edges = self.verified(self.in_blocks(apart, every=False), sets, "strongest")
         groups = components(edges, self.work, "groups-1").withColumnRenamed("id", "cid")
-        for turn, every in enumerate((False, True), 2):
-            opened = self.open_buckets(groups, f"open-{turn}")
-            edges = self.verified(self.in_blocks(opened, every), sets, f"links-{turn}")
-            groups = components(groups.select("cid", "component").union(edges), self.work, f"groups-{turn}").withColumnRenamed("id", "cid")
-        return groups
+        rest = self.verified(self.in_blocks(self.open_buckets(groups), every=True), sets, "rest")
+        return components(groups.select("cid", "component").union(rest), self.work, "groups-2").withColumnRenamed("id", "cid")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
