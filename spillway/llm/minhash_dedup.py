@@ -166,8 +166,10 @@ def _strongest(agree: np.ndarray, group: np.ndarray) -> list[tuple[int, int]]:
 def _blocks(least: int, every: bool):
     """Sorted bucket, i, j, cid, component, side, sign, band -> pairs (a, b) to verify.
 
-    `every`: all pairs in two components that agree well enough, each in the
-    first band it shares; else a forest of the strongest.
+    `every`: all pairs in two components that agree well enough; else a forest
+    of the strongest.  Each pair comes from the first band it shares.  A forest's
+    edge left out so is spanned by the forest of that earlier bucket, which holds
+    both its ends, along agreements at least as strong.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in sorted_groups(batches, 3):
@@ -182,10 +184,10 @@ def _blocks(least: int, every: bool):
             if every:
                 agree[component[:, None] == component[None, :]] = 0
                 a, b = np.nonzero(np.triu(agree))
-                here = _first_shared(signs, a, b) == rows.column("band")[0].as_py()
-                a, b = a[here], b[here]
             else:
                 a, b = np.array(_strongest(agree, component), np.int64).reshape(-1, 2).T
+            here = _first_shared(signs, a, b) == rows.column("band")[0].as_py()
+            a, b = a[here], b[here]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cid[a], cid[b])), pa.array(np.maximum(cid[a], cid[b]))], names=["a", "b"])
     return run
 
