@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import uuid
+import zipfile
+from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import spillway
 from spillway.session import under_state
+from spillway.streaming.fs import exists, qualified
 
 BLANK_WORD = r"[^\x20\x09-\x0D]+"  # a word where the contracts define one
 
@@ -17,10 +24,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in Python workers wherever they run: a zip in the state root, added once a session."""
+    sc = spark.sparkContext
+    folder, packed = Path(spillway.__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for f in sorted(folder.rglob("*.py")):
+            z.writestr(zipfile.ZipInfo(str(Path(folder.name) / f.relative_to(folder))), f.read_bytes())
+    name = f"{folder.name}-{hashlib.sha256(packed.getvalue()).hexdigest()[:16]}.zip"
+    if name in sc._python_includes:  # noqa: SLF001 - what addPyFile has added
+        return
+    uri = qualified(spark, under_state(spark, "llm", "code", name))
+    if not exists(spark, uri):
+        fs, path = pafs.FileSystem.from_uri(uri)
+        own = f"{path}.{uuid.uuid4().hex}"
+        fs.create_dir(str(Path(path).parent), recursive=True)
+        with fs.open_output_stream(own) as out:
+            out.write(packed.getvalue())
+        fs.move(own, path)
+    sc.addPyFile(uri)
+
+
 class Workspace:
     """A fresh folder under the shared state root; tables written there survive lost executors."""
 
     def __init__(self, spark: SparkSession, name: str) -> None:
+        ship(spark)
         self.spark = spark
         self.root = under_state(spark, "llm", f"{name}-{uuid.uuid4().hex[:12]}")
 

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spillway.llm.common import ship
+
 # ---- fixed values: element names of HTML and usual names of page furniture ----
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
@@ -240,6 +242,7 @@ def extract(pages: DataFrame) -> DataFrame:
     pages are parsed whole; broken markup is read as far as it goes; repeated
     rows stay rows; an empty table gives no rows; other columns are not read.
     """
+    ship(pages.sparkSession)
     slim = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
     return slim.mapInArrow(_extract, T.StructType([slim.schema["page_id"], slim.schema["url"],
                                                    T.StructField("text", T.StringType())]))

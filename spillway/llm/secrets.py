@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spillway.llm.common import ship
+
 # Kinds in the order in which spans of one start are listed.
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "github", "npm", "jwt", "pem")
@@ -144,6 +146,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     an empty array; texts are scanned whole whatever their length; repeated
     rows stay rows; an empty table gives no rows; other columns are not read.
     """
+    ship(docs.sparkSession)
     slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     return slim.mapInArrow(_scan, T.StructType([slim.schema["doc_id"], T.StructField("spans", SPANS)]))
 
