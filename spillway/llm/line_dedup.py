@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from spillway.llm.common import Workspace, free_name, text_keys
 
-MIN_SITES = 10      # a line on so many distinct sites is boilerplate
+MIN_SITES = 4       # a line on so many distinct sites is boilerplate, also where sites are few or one holds most rows
 LG_K = 9            # 512 registers: relative standard error 1.04 / sqrt(512) = 4.6 %
 NEAR = 0.25         # estimates within a quarter of the threshold (over five errors) are counted exactly
 

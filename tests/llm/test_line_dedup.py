@@ -52,3 +52,18 @@ def test_given_documents_and_empty(spark):
     got = plain(line_dedup.remove_boilerplate(docs, Workspace(spark, "t"), min_sites=3))
     assert got == sort(brute(rows_of(docs), 3)) and any(r[2] for r in got)
     assert line_dedup.remove_boilerplate(documents(spark, []), Workspace(spark, "t")).count() == 0
+
+
+def spread(n, sites):
+    """`n` documents of one passage, the first ones on a site each and the rest on the last of them."""
+    return [(f"a passage of {n} documents on {sites} sites\nown {n} {sites} {i}", f"src{min(i, sites - 1)}") for i in range(n)]
+
+
+@pytest.mark.parametrize("texts", [
+    [x for sites in range(1, 7) for x in spread(30, sites)],                           # a table of six sites
+    [x for sites in range(1, 10) for x in spread(21, sites)] + [(f"hot {i}", "src0") for i in range(200)],  # a hot site
+])
+def test_registered_threshold_holds_for_few_sites_and_for_a_hot_one(spark, texts):
+    docs = documents(spark, [(i, text, "en", source, 0) for i, (text, source) in enumerate(texts)])
+    got = plain(line_dedup.remove_boilerplate(docs, Workspace(spark, "t")))
+    assert got == sort(brute(rows_of(docs), 4)) and any(r[2] for r in got)
