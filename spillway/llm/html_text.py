@@ -178,26 +178,28 @@ def article_node(tree: Tree) -> int:
     density, sums = densities(tree)
     live = [i for i in range(len(tree.tags)) if not tree.off[i]]
     best = max(live, key=lambda i: (sums[i], -i))
-    path, i = [], best
-    while i >= 0:
-        path.append(i)
-        if tree.tags[i] == "body":
-            break
-        i = tree.parents[i]
-    threshold = min(density[i] for i in path)
+    threshold = min(density[i] for i in _up_to_body(tree, best))
     best = max((i for i in live if density[i] >= threshold), key=lambda i: (sums[i], -i))
-    # An article keeps together: up to the enclosing article, or to what also holds its heading.
-    up, heading, main = best, None, None
+    # An article keeps together: up to the enclosing article or main element.
+    path = _up_to_body(tree, best)
+    for name in ("article", "main"):
+        for i in path:
+            if tree.tags[i] == name:
+                return i
+    # Without one: up to the last node with sections beside the path, and to what also holds the heading.
+    on = set(path)
+    wide = {tree.parents[i] for i in live if i not in on and density[i] >= threshold}
+    path = path[max((k for k, i in enumerate(path) if i in wide), default=0):]
     has = _holds_heading(tree)
-    while up > 0 and tree.tags[up] != "body":
-        if tree.tags[up] == "article":
-            return up
-        if tree.tags[up] == "main" and main is None:
-            main = up
-        if has[up] and heading is None:
-            heading = up
-        up = tree.parents[up]
-    return main if main is not None else heading if heading is not None else best
+    return next((i for i in path if has[i] and tree.tags[i] not in ("html", "body")), path[0])
+
+
+def _up_to_body(tree: Tree, i: int) -> list[int]:
+    path = [i]
+    while tree.tags[i] != "body" and tree.parents[i] >= 0:
+        i = tree.parents[i]
+        path.append(i)
+    return path
 
 
 def _holds_heading(tree: Tree) -> list[bool]:

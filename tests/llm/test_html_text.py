@@ -47,3 +47,21 @@ def test_cases(spark):
     assert extract(pages).count() == 5
     assert got[(1, "u")] == TEXT and got[(2, None)] == "" and got[(None, "v")] == ""
     assert extract(pages.limit(0)).count() == 0
+
+
+def section(k):
+    body = "".join(f"<p>{f'Words of section {k} in paragraph {i}. ' * 12}</p>" for i in range(6))
+    return f"<div><h2>Section {k}</h2>{body}</div>"
+
+
+@pytest.mark.parametrize("page", [
+    "<body><div id=links>{links}</div><div><h1>Title</h1>{sections}</div></body>",
+    "<body><div id=links>{links}</div><div><h1>Title</h1>{rows}</div></body>",
+    "<body><h1>Title</h1>{sections}</body>",
+])
+def test_sections_without_article_element_stay_together(page):
+    links = "".join(f"<div><a href='/{i}'>link {i}</a></div>" for i in range(40))
+    sections = [section(k) for k in (1, 2, 3)]
+    rows = "".join(f"<div class=row>{s}</div>" for s in sections)
+    lines = main_text(page.format(links=links, sections="".join(sections), rows=rows)).split("\n")
+    assert [x for x in lines if len(x) < 20] == ["Title", "Section 1", "Section 2", "Section 3"] and len(lines) == 22
