@@ -67,21 +67,44 @@ def is_furniture(tag: str, attrs: dict, in_article: bool) -> bool:
         return True
     own = FOREIGN_ARTICLES if tag == "article" else FURNITURE
     for parts in _names(attrs):
-        if parts and parts[0] not in NOT_OWN:
-            if parts[0] in own or parts[-1] in own or (not in_article and tag != "article" and parts[-1] == "header"):
+        if parts and parts[0] in own:
+            return True
+        if parts and NOT_OWN.isdisjoint(parts[:-1]):
+            if parts[-1] in own or (not in_article and tag != "article" and parts[-1] == "header"):
                 return True
     return False
 
 
 class Tree(HTMLParser):
-    """A page as parallel lists: tag, parent, furniture; `parts` are (node, text) in page order."""
+    """A page as parallel lists: tag, parent, furniture; `parts` are (node, text) in page order.
+
+    `own` is what an element says of itself, `off`, known when the page has ended, whether it is left out.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.tags, self.parents, self.off, self.articles = ["html"], [-1], [False], [False]
+        self.tags, self.parents, self.own, self.articles = ["html"], [-1], [False], [False]
+        self.off: list[bool] = []
         self.parts: list[tuple[int, str | None]] = []
         self.open = [0]
 
+    def close(self):
+        super().close()
+        self.off = self._inherited(self.own)
+        # What holds the article is no furniture; that goes for any article where all would be left out, and for main.
+        free = any(t in ("article", "main") and not o for t, o in zip(self.tags, self.off, strict=True))
+        holds = [t == "main" or (t == "article" and not free and not o) for t, o in zip(self.tags, self.own, strict=True)]
+        for i in range(len(holds) - 1, 0, -1):
+            if holds[i]:
+                holds[self.parents[i]] = True
+        self.off = self._inherited([o and not h for o, h in zip(self.own, holds, strict=True)])
+
+    def _inherited(self, own: list[bool]) -> list[bool]:
+        off = list(own)
+        for i in range(1, len(off)):
+            off[i] = off[i] or off[self.parents[i]]
+        return off
+
     def handle_starttag(self, tag, attrs):
         if tag in ("html", "body"):
             if tag == "body" and "body" not in self.tags:
@@ -119,7 +142,7 @@ class Tree(HTMLParser):
         inside = self.articles[up]
         self.tags.append(tag)
         self.parents.append(up)
-        self.off.append(self.off[up] or is_furniture(tag, attrs, inside))
+        self.own.append(is_furniture(tag, attrs, inside))
         self.articles.append(inside or tag in ("article", "main"))
         self.open.append(len(self.tags) - 1)
         if tag in BLOCKS:

@@ -65,3 +65,21 @@ def test_sections_without_article_element_stay_together(page):
     rows = "".join(f"<div class=row>{s}</div>" for s in sections)
     lines = main_text(page.format(links=links, sections="".join(sections), rows=rows)).split("\n")
     assert [x for x in lines if len(x) < 20] == ["Title", "Section 1", "Section 2", "Section 3"] and len(lines) == 22
+
+
+@pytest.mark.parametrize("wrapper", [
+    "<div class='content-with-sidebar'>{}</div>",
+    "<div class='layout-no-sidebar'>{}</div>",
+    "<div id='postWithoutComments'>{}</div>",
+    "<div class='page-widget'>{}</div>",
+    "<form id=page>{}</form>",
+    "<div class='page-widget'><main>{}</main></div><div class=cards><article>A short teaser.</article></div>",
+])
+def test_a_wrapper_named_like_furniture_keeps_its_article(wrapper):
+    assert main_text(f"<body>{wrapper.format(ARTICLE)}") == TEXT
+
+
+def test_furniture_with_articles_of_its_own_goes_where_the_page_has_another():
+    more = "".join(f"<article><h2>Teaser {i}</h2><p>{'More words than the article itself has. ' * 9}</p></article>" for i in range(3))
+    for name in ("related", "reader-comments", "post-with-comments comments"):
+        assert main_text(f"<body>{ARTICLE}<div class='{name}'>{more}</div>") == TEXT
