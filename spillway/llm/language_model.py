@@ -225,8 +225,8 @@ def _gathered(batches: Iterator[pa.RecordBatch], width: int):
             held.setdefault(part, []).append((keys, counts))
     for part in sorted(held):
         blobs = held.pop(part)
-        keys = np.concatenate([np.frombuffer(k, np.uint64 if width == 0 else np.uint32) for k, _ in blobs])
-        yield part, keys if width == 0 else keys.reshape(-1, width), np.concatenate([np.frombuffer(c, np.uint64) for _, c in blobs])
+        both = [_unpacked(k, c, width) if width else (np.frombuffer(k, np.uint64), np.frombuffer(c, np.uint64)) for k, c in blobs]
+        yield part, np.concatenate([k for k, _ in both]), np.concatenate([c for _, c in both])
 
 
 def _write_words(root: str):
@@ -241,17 +241,33 @@ def _write_words(root: str):
 
 
 def _blobs(ids: np.ndarray, counts: np.ndarray, parts: np.ndarray, level: int) -> pa.RecordBatch:
-    order = np.argsort(parts, kind="stable")
-    ids, counts, parts = ids[order], counts[order], parts[order]
+    """n-grams and counts as one row a file; small once compressed: counts of 1, the most, are not written (those
+    n-grams come last), first words are in order and written as steps, and the bytes of a number are apart."""
+    once = counts == 1
+    order = np.argsort((parts.astype(_U64) << _U64(33)) | (once.astype(_U64) << _U64(32)) | ids[:, 0].astype(_U64))
+    ids, counts, parts, once = ids[order].astype(np.uint32), counts[order].astype(np.uint32), parts[order], once[order]
     at = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]])) if len(parts) else np.zeros(0, np.int64)
     ends = np.append(at[1:], len(parts))
     return pa.RecordBatch.from_arrays(
         [pa.array(np.full(len(at), level, np.int32)), pa.array(parts[at].astype(np.int32)),
-         pa.array([ids[a:b].astype(np.uint32).tobytes() for a, b in zip(at, ends, strict=True)], pa.binary()),
-         pa.array([counts[a:b].astype(np.uint64).tobytes() for a, b in zip(at, ends, strict=True)], pa.binary())],
+         pa.array([_packed(ids[a:b]) for a, b in zip(at, ends, strict=True)], pa.binary()),
+         pa.array([counts[a:b][~once[a:b]].tobytes() for a, b in zip(at, ends, strict=True)], pa.binary())],
         names=["level", "part", "keys", "counts"])
 
 
+def _packed(ids: np.ndarray) -> bytes:
+    steps = ids.copy()
+    steps[1:, 0] -= ids[:-1, 0]  # modulo 2^32
+    return steps.view(np.uint8).T.tobytes()
+
+
+def _unpacked(keys: bytes, counts: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.ascontiguousarray(np.frombuffer(keys, np.uint8).reshape(4 * width, -1).T).view(np.uint32)
+    ids[:, 0] = np.cumsum(ids[:, 0], dtype=np.uint32)
+    several = np.frombuffer(counts, np.uint32)
+    return ids, np.concatenate([several.astype(_U64), np.ones(len(ids) - len(several), _U64)])
+
+
 def _distinct_grams(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     _, total, at = _summed(gram_key(ids), counts)
     return ids[at], total
@@ -265,8 +281,8 @@ def _ending(stream: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _count_grams(model: Model):
-    """n-grams of the highest order; at a text's begin, the shorter ones that start with number 0."""
+def _count_grams(model: Model, level: int):
+    """n-grams of the highest order; of a lower one, those that start with number 0 at a text's begin."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = arrays(model)
         held, size = [], 0
@@ -274,13 +290,12 @@ def _count_grams(model: Model):
         def flush():
             ids = np.concatenate([i for i, _ in held])
             places = np.concatenate([p for _, p in held])
-            for level in range(2, model.order + 1):
-                # A word at place p (from 1) of its text closes an n-gram of min(p + 1, order) words.
-                last = np.flatnonzero(places >= level - 1 if level == model.order else places == level - 1)
-                if len(last):
-                    grams, counts = _distinct_grams(_ending(ids, last, level), np.ones(len(last), np.uint64))
-                    _, before, _ = known_counts(known, grams[:, -2])
-                    yield _blobs(grams, counts, known.gram_part(grams, before), level)
+            # A word at place p (from 1) of its text closes an n-gram of min(p + 1, order) words.
+            last = np.flatnonzero(places >= level - 1 if level == model.order else places == level - 1)
+            if len(last):
+                grams, counts = _distinct_grams(_ending(ids, last, level), np.ones(len(last), np.uint64))
+                _, before, _ = known_counts(known, grams[:, -2])
+                yield _blobs(grams, counts, known.gram_part(grams, before), level)
 
         for batch in batches:
             for _, h, at in _sequences(batch.column(0), CHUNK):
@@ -436,12 +451,9 @@ def train(texts: DataFrame, work: Workspace, order: int = ORDER) -> Model:
     if not model.train_tokens:
         return model
 
-    raw = texts.mapInArrow(_count_grams(model), "level int, part int, keys binary, counts binary")
-    if order > 2:  # used once for every level
-        raw = work.write(raw, "raw")
     lower: DataFrame | None = None
     for level in range(order, 1, -1):
-        blobs = raw.where(F.col("level") == level).select("part", "keys", "counts") if order > 2 else raw
+        blobs = texts.mapInArrow(_count_grams(model, level), "level int, part int, keys binary, counts binary")
         if lower is not None:
             blobs = blobs.select("part", "keys", "counts").union(lower)
         out = work.write(dealt(blobs, model.gram_parts).mapInArrow(_write_grams(model, level), _LEVEL), f"level-{level}")

@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from spillway.llm import language_model as lm
@@ -111,3 +112,19 @@ def test_probabilities_sum_to_one():
 def test_model_beats_the_base_on_held_out_texts(spark):
     rows = [r for r in op4_kneser_ney(spark, "/root/testdata/sf0.01").collect() if r["held_out"]]
     assert sum(r["score"] for r in rows) > 0.9 * sum(r["base_score"] for r in rows)
+
+
+@pytest.mark.parametrize("width", [1, 2, 3])
+def test_shuffle_records_are_small_and_exact(width):
+    """n-grams seen once take no bytes for their counts; what comes out is what went in."""
+    rng = np.random.default_rng(width)
+    ids = np.unique(rng.integers(0, 2**32, (5000, width), np.uint32), axis=0)
+    counts = np.where(np.arange(len(ids)) % 10 == 0, 3 + np.arange(len(ids)), 1).astype(np.uint64)
+    counts[0] = 2**32 - 1
+    parts = (ids[:, -1] % 3).astype(np.int32)
+    batch = lm._blobs(ids, counts, parts, width)
+    few = int((counts > 1).sum())
+    assert sum(len(b) for c in ("keys", "counts") for b in batch.column(batch.schema.get_field_index(c)).to_pylist()) == ids.nbytes + 4 * few
+    want = {(p, *i): c for p, i, c in zip(parts.tolist(), ids.tolist(), counts.tolist())}
+    got = {(p, *i): c for p, k, n in lm._gathered([batch.select(["part", "keys", "counts"])], width) for i, c in zip(k.tolist(), n.tolist())}
+    assert got == want
