@@ -133,8 +133,8 @@ class Monitor:
         number, host, topic = self.ticks + 1, self.opts.host, self.opts.topic
         # One clock for all: epoch seconds.
         second = F.unix_seconds("at")
-        audit = audit_of(self.spark, self.opts).where((F.col("generation") == self.transfer.generation)
-                                                      & (second >= self.until) & (second < until))
+        closed = audit_of(self.spark, self.opts).where((F.col("generation") == self.transfer.generation) & (second < until))
+        audit = closed.where(second >= self.until)
         rates = metrics.throughput(audit, 1)
         zeros = (self.spark.range(self.until, until)
                  .select(F.lit(topic).alias("topic"), F.explode(F.array(F.lit(CONSUMER), F.lit(PRODUCER))).alias("client_type"),
@@ -150,7 +150,8 @@ class Monitor:
                                 .otherwise(-F.col("n"))).alias("n")).first()["n"]
         in_flight, gauged = self.in_flight + int(moved or 0), self.gauged
         if until - self.gauged >= GAUGE_SECONDS:
-            last = batch_gauges(audit, host).agg(*(F.max_by(g, "batch_id").alias(g) for g in BATCH_GAUGES))
+            # The last batch since the last sample: a tick may be shorter than the time between two batches.
+            last = batch_gauges(closed.where(second >= self.gauged), host).agg(*(F.max_by(g, "batch_id").alias(g) for g in BATCH_GAUGES))
             sample = last.select(*(F.coalesce(g, F.lit(0)).alias(g) for g in BATCH_GAUGES), F.lit(in_flight).cast("long").alias("in_flight"))
             sets.append(points.system_points(sample, host, [*BATCH_GAUGES, "in_flight"], F.lit(at)))
             gauged = until

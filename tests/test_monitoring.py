@@ -141,3 +141,14 @@ def test_batch_gauges_feed_system_points(spark, scratch):
     sampled = metrics.gauge_sample(g, ["host"], list(BATCH_GAUGES), "at", "batch_id", 60)
     p = points.system_points(sampled, "h", BATCH_GAUGES).first()
     assert p.measurement == "system_stats" and set(p.fields) == set(BATCH_GAUGES)
+
+
+def test_gauges_are_of_the_last_batch_since_the_last_sample(spark, scratch):
+    """A batch that an earlier tick of the minute covered is sampled; a minute without batches gives 0."""
+    _append(spark, f"{scratch}/src", 0, log_rows("t", 0, 0, 20))
+    t = run_transfer(spark, _opts(scratch, start_at="earliest"))
+    m = Monitor(spark, _opts(scratch, metrics_path=f"{scratch}/metrics"), t)
+    begin = m.gauged = m.until  # as if sampled when the copy began
+    assert m.tick(int(time.time()) + 2) and m.gauged == begin and m.tick(begin + 60) and m.tick(begin + 120)
+    records = _points(spark, scratch).where("measurement = 'system_stats' and field = 'records'").orderBy("time").collect()
+    assert [r.value for r in records] == [20, 0]
