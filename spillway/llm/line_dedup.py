@@ -20,7 +20,7 @@ NEAR = 0.25         # estimates within a quarter of the threshold (over five err
 
 
 def line_key(line: Column) -> Column:
-    """A line's identity: white space at its ends doesn't count."""
+    """A line's identity: spaces (U+0020) at its ends don't count, as in the SQL; a tab or \\r does."""
     return F.xxhash64(F.trim(line))
 
 
