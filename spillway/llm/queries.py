@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spillway.llm import decontaminate, embedding_dedup, html_text, language_model, line_dedup, minhash_dedup, mixing, secrets, sharding, toxicity
+from spillway.llm import decontaminate, embedding_dedup, html_text, language_model, line_dedup, minhash_dedup, mixing, periodic_runs, secrets, sharding, toxicity
 from spillway.llm.common import Workspace, table
 
 SHARDS = 40
@@ -59,6 +59,21 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), Workspace(spark, "op10"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), repeat_seed=F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    # the longest run; of equal ones the first, then that of the smallest period
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))), "")
+    return (found.withColumn("longest", longest)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"),
+                    F.col("longest.length").alias("length"), (-F.col("longest.period")).alias("period"),
+                    F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+                    F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+                    F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -70,6 +85,7 @@ QUERIES = {
     "op8_shards": op8_shards,
     "op9_html_text": op9_html_text,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
