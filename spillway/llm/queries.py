@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spillway.llm import decontaminate, embedding_dedup, html_text, language_model, line_dedup, minhash_dedup, mixing, periodic_runs, secrets, sharding, toxicity
+from spillway.llm import conversation_trie, decontaminate, embedding_dedup, html_text, language_model, line_dedup, minhash_dedup, mixing, periodic_runs, personal_data, secrets, sharding, toxicity
 from spillway.llm.common import Workspace, table
 
 SHARDS = 40
@@ -59,6 +59,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), Workspace(spark, "op10"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.rebuilt_trie(table(spark, sf_dir, "conversations"), Workspace(spark, "op11"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), repeat_seed=F.crc32(F.col("doc_id").cast("string").cast("binary")))
     # the longest run; of equal ones the first, then that of the smallest period
@@ -74,6 +78,14 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(table(spark, sf_dir, "documents"), Workspace(spark, "op13"))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"].isin(*personal_data.BASE_KINDS))
+    return found.select("doc_id", *map(of, personal_data.BASE_KINDS), F.sha2(secrets.joined(base).cast("binary"), 256).alias("base_sha256"),
+                        secrets.joined(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -85,7 +97,9 @@ QUERIES = {
     "op8_shards": op8_shards,
     "op9_html_text": op9_html_text,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_personal_data": op13_personal_data,
 }
 
 ORACLE: dict[str, str] = {
