@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -45,20 +46,37 @@ FURNITURE = frozenset("""ad ads adslot advert advertisement adverts aside banner
     notice notification notifications overlay pager pagination popup promo promotion recommended related replies reply respond
     share sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget widgets""".split())
 NOT_OWN = frozenset("has with no without".split())  # "with-sidebar" names a layout, not a sidebar
+# Words that go with those in the name of one piece of furniture ("comment-list"); others make it a name of its own
+# ("comment-on-methods", an anchor made from a heading).
+COMPANIONS = frozenset("""area articles bar block body bottom box button buttons column container content entries feed footer form frame
+    header icons inner item items left link links list module outer panel posts primary region right row secondary section site
+    slot small text thread title top unit wrap wrapper zone""".split())
 FOREIGN_ARTICLES = frozenset("comment comments reply replies ad ads advert advertisement promo related sponsored".split())
+# Elements that an id may name as furniture (others carry ids as anchors), and the names that do it for a section.
+NAMED_BY_ID = frozenset("article aside details div dl figure ol section table ul".split())
+SECTION_IDS = FOREIGN_ARTICLES | frozenset("disqus newsletter respond sidebar sponsor".split())
 HEADINGS = frozenset("h1 h2".split())
 # --------------------------------------------------------------------------------
 
 _NAME = re.compile(r"[a-z0-9]+")
+ANY_BLOCK = "#block"
 
 
-def _names(attrs: dict) -> list[list[str]]:
-    spaced = re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", f"{attrs.get('class') or ''} {attrs.get('id') or ''}")
-    return [_NAME.findall(name) for name in spaced.lower().split()]
+def _names(value: str | None) -> list[list[str]]:
+    spaced = re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", value or "")
+    return [parts for name in spaced.lower().split() if (parts := _NAME.findall(name))]
+
+
+def _whole(parts: list[str], own: frozenset) -> bool:
+    """Whether a name is all furniture: one of the words, with companions or numbers at most."""
+    return not own.isdisjoint(parts) and all(p in FURNITURE or p in COMPANIONS or p.isdigit() for p in parts)
 
 
 def is_furniture(tag: str, attrs: dict, in_article: bool) -> bool:
-    """Whether an element is page furniture by its name, role, class or id."""
+    """Whether an element is page furniture by its name, role, class or id.
+
+    Inside an article only whole names count, and anywhere for ids: they may be anchors made from headings.
+    """
     if tag in ("html", "body", "main"):
         return False
     if tag in NEVER_TEXT or (tag == "header" and not in_article):
@@ -66,12 +84,16 @@ def is_furniture(tag: str, attrs: dict, in_article: bool) -> bool:
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or (attrs.get("role") or "").strip().lower() in ROLES:
         return True
     own = FOREIGN_ARTICLES if tag == "article" else FURNITURE
-    for parts in _names(attrs):
-        if parts and parts[0] in own:
-            return True
-        if parts and NOT_OWN.isdisjoint(parts[:-1]):
-            if parts[-1] in own or (not in_article and tag != "article" and parts[-1] == "header"):
+    if tag in NAMED_BY_ID and any(_whole(parts, SECTION_IDS if tag == "section" else own) for parts in _names(attrs.get("id"))):
+        return True
+    for parts in _names(attrs.get("class")):
+        if in_article:
+            if _whole(parts, own):
                 return True
+        elif parts[0] in own:
+            return True
+        elif NOT_OWN.isdisjoint(parts[:-1]) and (parts[-1] in own or (tag != "article" and parts[-1] == "header")):
+            return True
     return False
 
 
@@ -87,9 +109,38 @@ class Tree(HTMLParser):
         self.off: list[bool] = []
         self.parts: list[tuple[int, str | None]] = []
         self.open = [0]
-
-    def close(self):
-        super().close()
+        self.endless: set[str] = set()  # kinds of markup whose end is nowhere in the rest of the page
+        self.places: dict[str, list[int]] = {}  # of open elements by name, and of open blocks: an end tag is found at once
+
+    def read(self, page: str) -> None:
+        """Parse a whole page.  Behind the last ">" nothing can be markup, so nothing is searched for there."""
+        last = page.rfind(">") + 1
+        self.feed(page[:last])
+        self.close()
+        if self.cdata_elem is None and last < len(page):
+            self.handle_data(unescape(page[last:]))
+        self._settle()
+
+    # Markup that never ends is searched for its end once, not at each of its beginnings.
+    def parse_comment(self, i, report=1):
+        return self._once("<!--", super().parse_comment, i, report)
+
+    def parse_html_declaration(self, i):
+        try:
+            return self._once(self.rawdata[i:i + 12].lower(), super().parse_html_declaration, i)
+        except AssertionError:  # a section of an unknown kind
+            return self.parse_bogus_comment(i)
+
+    def _once(self, kind, parse, i, *more):
+        if kind in self.endless:
+            return -1
+        found = parse(i, *more)
+        if found < 0:
+            self.endless.add(kind)
+        return found
+
+    def _settle(self) -> None:
+        """Which elements are left out, once all are known."""
         self.off = self._inherited(self.own)
         # What holds the article is no furniture; that goes for any article where all would be left out, and for main.
         free = any(t in ("article", "main") and not o for t, o in zip(self.tags, self.off, strict=True))
@@ -124,15 +175,14 @@ class Tree(HTMLParser):
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)  # a slash does not close an element of HTML
 
+    def _last(self, names) -> int:
+        """Place of the innermost open element with one of the names; 0 if there is none."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
     def handle_endtag(self, tag):
-        block = tag in BLOCKS
-        for i in range(len(self.open) - 1, 0, -1):
-            name = self.tags[self.open[i]]
-            if name == tag:
-                return self._close_to(i)
-            if not block and name in BLOCKS:
-                return None
-        return None
+        at = self._last((tag,))
+        if at and (tag in BLOCKS or at > self._last((ANY_BLOCK,))):  # an inline end tag ends nothing outside its block
+            self._close_to(at)
 
     def handle_data(self, data):
         self.parts.append((self.open[-1], data))
@@ -145,22 +195,25 @@ class Tree(HTMLParser):
         self.own.append(is_furniture(tag, attrs, inside))
         self.articles.append(inside or tag in ("article", "main"))
         self.open.append(len(self.tags) - 1)
+        for name in (tag, ANY_BLOCK) if tag in BLOCKS else (tag,):
+            self.places.setdefault(name, []).append(len(self.open) - 1)
         if tag in BLOCKS:
             self.parts.append((self.open[-1], None))
 
     def _close_to(self, i):
-        if any(self.tags[n] in BLOCKS for n in self.open[i:]):
+        gone = [self.tags[n] for n in self.open[i:]]
+        if any(tag in BLOCKS for tag in gone):
             self.parts.append((self.open[i - 1], None))
+        for tag in gone:
+            self.places[tag].pop()
+            if tag in BLOCKS:
+                self.places[ANY_BLOCK].pop()
         del self.open[i:]
 
     def _end(self, names, barrier):
-        for i in range(len(self.open) - 1, 0, -1):
-            name = self.tags[self.open[i]]
-            if name in names:
-                self._close_to(i)
-                if names == {"p"} or "tr" not in names:
-                    return
-            elif name in barrier:
+        while (at := self._last(names)) > self._last(barrier - names):
+            self._close_to(at)
+            if names == {"p"} or "tr" not in names:
                 return
 
 
@@ -236,8 +289,7 @@ def _holds_heading(tree: Tree) -> list[bool]:
 def main_text(html: str) -> str:
     """The article's blocks in page order, white space collapsed, joined by \\n."""
     tree = Tree()
-    tree.feed(html)
-    tree.close()
+    tree.read(html)
     root = article_node(tree)
     inside = [False] * len(tree.tags)
     for i in range(root, len(tree.tags)):
@@ -263,7 +315,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text: one row per page.
 
-    Null and empty pages, and pages without an article, have the empty text;
+    Null and empty pages, and pages without an article, have the empty text; of
+    several articles side by side the one with the densest text is the main one;
     pages are parsed whole; broken markup is read as far as it goes; repeated
     rows stay rows; an empty table gives no rows; other columns are not read.
     """

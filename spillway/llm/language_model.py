@@ -42,6 +42,9 @@ SPREAD = 64
 
 END = np.uint64(0x45E0D0F7EC57A5ED)   # the end token's hash
 UNKNOWN = np.uint32(0xFFFFFFFF)
+MOST_WORDS = 0xFFFFFFFE    # word numbers have 32 bits, of which UNKNOWN takes one; a larger vocabulary raises
+MOST_SHORT = 0xFFFFFFFF    # counts above it are stored with 64 bits
+MAPPED = 2048              # array files a worker keeps mapped; those not used for longest are let go
 _U64 = np.uint64
 
 
@@ -121,9 +124,18 @@ class Arrays:
 
     def file(self, name: str, part: int, dtype) -> np.ndarray:
         at = (name, part)
-        if at not in self._files:
-            self._files[at] = mapped(f"{self.model.root}/{name}-{part}", dtype)
-        return self._files[at]
+        found = self._files.pop(at, None)
+        if found is None:
+            found = mapped(f"{self.model.root}/{name}-{part}", dtype)
+            while len(self._files) >= MAPPED:
+                del self._files[next(iter(self._files))]
+        self._files[at] = found  # the last one used comes last
+        return found
+
+    def counts(self, name: str, part: int, n: int) -> np.ndarray:
+        """The `n` counts of a file, stored with 32 or 64 bits each (see `short_counts`)."""
+        raw = self.file(name, part, np.uint8)
+        return raw.view(np.uint32 if len(raw) == 4 * n else np.uint64)
 
     def _by_part(self, parts: np.ndarray):
         order = np.argsort(parts, kind="stable")
@@ -131,8 +143,10 @@ class Arrays:
         for some in np.split(order, cuts) if len(order) else []:
             yield int(parts[some[0]]), some
 
-    def find(self, name: str, parts: np.ndarray, keys: np.ndarray, columns: list[tuple[str, type]], fill: float = 0):
-        """Values of keys in sorted files; `fill` where a key is missing.  First result: whether it is there."""
+    def find(self, name: str, parts: np.ndarray, keys: np.ndarray, columns: list[tuple[str, type | None]], fill: float = 0):
+        """Values of keys in sorted files; `fill` where a key is missing.  First result: whether it is there.
+
+        A column without a type holds counts of 32 or 64 bits."""
         there = np.zeros(len(keys), bool)
         out = [np.full(len(keys), fill, np.float64) for _ in columns]
         for part, some in self._by_part(parts):
@@ -144,7 +158,8 @@ class Arrays:
             hit = have[at] == keys[some]
             there[some] = hit
             for o, (column, dtype) in zip(out, columns, strict=True):
-                o[some[hit]] = self.file(f"{name}-{column}", part, dtype)[at[hit]]
+                stored = self.counts(f"{name}-{column}", part, len(have)) if dtype is None else self.file(f"{name}-{column}", part, dtype)
+                o[some[hit]] = stored[at[hit]]
         return there, *out
 
     def numbers(self, hashes: np.ndarray, values: bool = False):
@@ -243,6 +258,8 @@ def _write_words(root: str):
 def _blobs(ids: np.ndarray, counts: np.ndarray, parts: np.ndarray, level: int) -> pa.RecordBatch:
     """n-grams and counts as one row a file; small once compressed: counts of 1, the most, are not written (those
     n-grams come last), first words are in order and written as steps, and the bytes of a number are apart."""
+    if len(counts) and counts.max() > MOST_SHORT:
+        raise OverflowError("a task's count of one n-gram has more than 32 bits")  # a flush or an array file is far smaller
     once = counts == 1
     order = np.argsort((parts.astype(_U64) << _U64(33)) | (once.astype(_U64) << _U64(32)) | ids[:, 0].astype(_U64))
     ids, counts, parts, once = ids[order].astype(np.uint32), counts[order].astype(np.uint32), parts[order], once[order]
@@ -268,6 +285,11 @@ def _unpacked(keys: bytes, counts: bytes, width: int) -> tuple[np.ndarray, np.nd
     return ids, np.concatenate([several.astype(_U64), np.ones(len(ids) - len(several), _U64)])
 
 
+def short_counts(counts: np.ndarray) -> np.ndarray:
+    """Counts as they are stored: 32 bits each where all fit, else 64."""
+    return counts.astype(np.uint32 if not len(counts) or counts.max() <= MOST_SHORT else np.uint64)
+
+
 def _distinct_grams(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     _, total, at = _summed(gram_key(ids), counts)
     return ids[at], total
@@ -343,7 +365,7 @@ def _write_grams(model: Model, level: int):
         for part, ids, counts in _gathered(batches, level):
             ids, counts = _distinct_grams(ids, counts)
             put(f"{model.root}/{name}-key-{part}", gram_key(ids))
-            put(f"{model.root}/{name}-count-{part}", np.minimum(counts, 0xFFFFFFFF).astype(np.uint32))
+            put(f"{model.root}/{name}-count-{part}", short_counts(counts))
             one, two, more = (counts == 1), (counts == 2), (counts >= 3)
             keys, *sums, _ = _summed(gram_key(ids[:, :-1]), counts.astype(np.int64), one.astype(np.int64), two.astype(np.int64),
                                      more.astype(np.int64))
@@ -447,6 +469,8 @@ def train(texts: DataFrame, work: Workspace, order: int = ORDER) -> Model:
     found = {r["part"]: r for r in words.collect()}
     model.words = [found[p]["words"] if p in found else 0 for p in range(model.vocabulary_parts)]
     model.train_tokens = sum(r["total"] for r in found.values())
+    if model.distinct > MOST_WORDS:
+        raise OverflowError(f"{model.distinct} distinct words; word numbers have 32 bits")
     _fill(model, "word", ("key", np.uint64), ("count", np.uint64), parts=[p for p in range(model.vocabulary_parts) if p not in found])
     if not model.train_tokens:
         return model
@@ -528,7 +552,7 @@ def token_probabilities(known: Arrays, h: np.ndarray, at: np.ndarray) -> tuple[n
         c_keys, c_back = np.unique(context, return_inverse=True)
         there, total, weight = known.find(f"ctx{level}", _context_parts(c_keys, model.gram_parts), c_keys,
                                           [("total", np.float64), ("weight", np.float64)])
-        _, n = known.find(f"gram{level}", known.gram_part(ids, seen[where[use[first]] - 1]), distinct, [("count", np.uint32)])
+        _, n = known.find(f"gram{level}", known.gram_part(ids, seen[where[use[first]] - 1]), distinct, [("count", None)])
         d = np.array([0.0, *model.discounts[level]])[np.minimum(n, 3).astype(np.int64)]
         there, total, weight = there[c_back], total[c_back], weight[c_back]
         own = np.where(there, np.maximum(n - d, 0) / np.maximum(total, 1), 0.0)

@@ -40,7 +40,8 @@ ACCESS_LEAST = 18
 HEX = re.compile(r"[0-9a-f]{16,}")
 GITHUB = re.compile(r"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 NPM = re.compile(r"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
-JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+")
+JWT = re.compile(r"(eyJ[A-Za-z0-9_-]++)\.(eyJ[A-Za-z0-9_-]++)\.[A-Za-z0-9_-]+")
+JWT_HEAD = re.compile(r"eyJ[A-Za-z0-9_-]*+")
 PEM = re.compile(r"-----BEGIN ((?:[A-Z]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 # -------------------------------------------------------------------------------
@@ -90,6 +91,8 @@ ANCHORED = {
     "jwt": (JWT, _jwt_holds),
     "pem": (PEM, _pem_holds),
 }
+#: what a failed expression rules out: it fails at every later place of this stretch too
+RULED_OUT = {"jwt": JWT_HEAD}
 KEYWORDS = {**{w: "assign" for w in ASSIGN_WORDS}, "akia": "access", **{f"gh{c}_": "github" for c in "pousr"},
             "npm_": "npm", "eyj": "jwt", "-----begin ": "pem"}
 
@@ -117,10 +120,14 @@ def scan_text(text: str, keywords) -> list[tuple[int, int, str]]:
         expression, keep = ANCHORED[kind]
         free = 0
         for at in sorted(places):
-            if at >= free and (m := expression.match(text, at)):
+            if at < free:
+                continue
+            if m := expression.match(text, at):
                 free = m.end()
                 if keep(m):
                     found.append((at, free, kind))
+            elif kind in RULED_OUT and (m := RULED_OUT[kind].match(text, at)):
+                free = m.end()
     found.sort(key=lambda s: (s[0], KINDS.index(s[2])))
     return found
 

@@ -128,3 +128,39 @@ def test_shuffle_records_are_small_and_exact(width):
     want = {(p, *i): c for p, i, c in zip(parts.tolist(), ids.tolist(), counts.tolist())}
     got = {(p, *i): c for p, k, n in lm._gathered([batch.select(["part", "keys", "counts"])], width) for i, c in zip(k.tolist(), n.tolist())}
     assert got == want
+
+
+def test_counts_above_32_bits_stay_whole(tmp_path):
+    few, many = np.array([1, 7, 2**32 - 1], np.uint64), np.array([1, 2**32, 2**40 + 3], np.uint64)
+    model = lm.Model(f"file://{tmp_path}", 2, words=[3])
+    for part, counts in enumerate((few, many)):
+        lm.put(f"{model.root}/gram2-key-{part}", np.array([10, 20, 30], np.uint64))
+        lm.put(f"{model.root}/gram2-count-{part}", lm.short_counts(counts))
+    assert lm.short_counts(few).itemsize == 4 and lm.short_counts(many).itemsize == 8
+    known = lm.Arrays(model)
+    keys = np.array([10, 20, 30, 40], np.uint64)
+    for part, counts in enumerate((few, many)):
+        there, got = known.find("gram2", np.full(4, part, np.int32), keys, [("count", None)])
+        assert there.tolist() == [True, True, True, False]
+        assert got.tolist() == [*map(float, counts), 0.0]
+
+
+def test_too_many_words_or_too_large_a_blob_raise(spark, monkeypatch):
+    monkeypatch.setattr(lm, "MOST_WORDS", 2)
+    texts = spark.createDataFrame([("one two three",)], "text string")
+    with pytest.raises(OverflowError):
+        lm.train(texts, Workspace(spark, "t"))
+    with pytest.raises(OverflowError):
+        lm._blobs(np.array([[1, 2]], np.uint32), np.array([2**32], np.uint64), np.array([0]), 2)
+
+
+def test_mapped_files_are_bounded(tmp_path, monkeypatch):
+    monkeypatch.setattr(lm, "MAPPED", 4)
+    model = lm.Model(f"file://{tmp_path}", 2, words=[1] * 12, vocabulary_parts=12)
+    for p in range(12):
+        lm.put(f"{model.root}/word-key-{p}", np.array([p], np.uint64))
+    known = lm.Arrays(model)
+    for _ in range(3):
+        for p in range(12):
+            assert known.file("word-key", p, np.uint64).tolist() == [p]
+            assert len(known._files) <= 4

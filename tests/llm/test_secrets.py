@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -80,3 +81,28 @@ def test_query_digests(spark):
         assert got["base_sha256"] == hashlib.sha256(text.encode()).hexdigest()
         assert (got["n_assign"], got["n_access"], got["n_hex"]) == tuple(sum(k == x for *_, k in want) for x in secrets.BASE_KINDS)
         assert set(text.split(",")) - {""} <= set(got["spans"].split(","))
+
+
+def plain_anchors(text):
+    """Every kind's expression at every place, without the prefilter or what a failure rules out."""
+    out = []
+    for kind, (expression, keep) in secrets.ANCHORED.items():
+        out += [(m.start(), m.end(), kind) for m in expression.finditer(text) if keep(m)]
+    return sorted(s for s in out if s[2] not in secrets.BASE_KINDS)
+
+
+JWT_PIECES = st.sampled_from(["eyJ", "EYJ", "eyJhbGciOiJIUzI1NiJ9", "eyJzdWIiOiIxIn0", ".", "..", "a", "-", "_", " ", "x9", "eyj"])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(JWT_PIECES, max_size=14).map("".join))
+def test_tokens_are_found_behind_failed_ones(text):
+    assert [s for s in secrets.scan_text(text, secrets.automaton()) if s[2] not in secrets.BASE_KINDS] == plain_anchors(text)
+
+
+@pytest.mark.parametrize("text", ["eyJ" * 350_000, "eyJa." + "eyJ" * 350_000, "eyJa." * 200_000, "token" * 200_000, "token" + " " * 1_000_000,
+                                  "AKIA" * 250_000, "-----BEGIN " * 90_000, "-----BEGIN PRIVATE KEY-----" * 40_000, "ghp_" * 250_000])
+def test_a_megabyte_of_beginnings_takes_little_time(text):
+    begin = time.monotonic()
+    secrets.scan_text(text, secrets.automaton())
+    assert time.monotonic() - begin < 5
