@@ -37,8 +37,13 @@ class TransferOptions:
     when the matching ``*_format`` is ``"kafka"``.
     state_path: where checkpoints, frozen start positions, commits, audit and
     quarantine live; ``None`` = under the session's checkpoint dir.
-    read_limit: records (Kafka) or files (file log) per micro-batch; unset by
-    default, as the reference's buffer bounds memory, not rate.
+    read_limit: records per micro-batch (Kafka, and a file log read by offset
+    ranges) or files (a file log read as files); unset by default, as the
+    reference's buffer bounds memory, not rate.
+    offset_ranges: read a file log by offset ranges from its manifest instead of
+    file by file (`spillway.sources.ranges`).
+    keep_manifest: keep a manifest of the destination file log and fold its
+    batch folders; its readers must read by offset ranges.
     batch_bytes: source bytes per micro-batch of a file log while read_limit is
     unset, so that a backlog of any size is copied in bounded batches.
     fold_batches: after so many batches the audit and commit folders are folded into one.
@@ -55,6 +60,8 @@ class TransferOptions:
     group_suffix: str = DEFAULT_GROUP_SUFFIX
     state_path: str | None = None
     read_limit: int | None = None
+    offset_ranges: bool = False
+    keep_manifest: bool = False
     batch_bytes: int = DEFAULT_BATCH_BYTES
     fold_batches: int = 1000
     monitor_seconds: float = METRIC_FLUSH_SECONDS
@@ -86,6 +93,8 @@ class TransferOptions:
         for name in ("source_format", "destination_format"):
             if getattr(self, name) not in ("file", "kafka"):
                 raise ValueError(f"{name} must be 'file' or 'kafka'")
+        if self.offset_ranges and self.source_format != "file" or self.keep_manifest and self.destination_format != "file":
+            raise ValueError("offset_ranges and keep_manifest are for file logs")
         if self.start_at not in ("latest", "earliest"):
             raise ValueError("start_at must be 'latest' or 'earliest'")
         if self.max_errors < 0:

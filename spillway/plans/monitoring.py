@@ -11,7 +11,9 @@ copy's own tables.
 to the first second that a batch may still add to, idle seconds included, and
 remembers where it ended; so every second of every series is written once,
 whatever the number of ticks, restarts or batches in a second.  Newest offsets
-are remembered too: a tick reads only source files that came since the last.
+come from the manifest of the source (`Transfer.source_ends`), which has an entry
+for each batch folder: a tick reads the folders that came since, in whatever order
+they appeared, and a tick that fails loses none of them.
 """
 
 from __future__ import annotations
@@ -36,7 +38,8 @@ from spillway.streaming.progress import BATCH_GAUGES, batch_gauges, parse_offset
 from spillway.streaming.state import read_table
 
 GAUGE_SECONDS = 60   # cadence of system_stats, as the reference's
-TICKS = "until long, gauged long, in_flight long, seen timestamp"
+TICKS = "until long, gauged long, in_flight long"
+KEPT_TICKS = 2       # records of ticks; only the last complete one is read
 OFFSETS = "topic string, partition int, newest_offset long"
 
 _log = logging.getLogger(__name__)
@@ -92,37 +95,19 @@ class Monitor:
         self.ticks = max((int(t) for t in fs.child_values(spark, self.root, "tick")
                           if fs.exists(spark, f"{self.root}/tick={t}/_SUCCESS")), default=-1)
         opened = int(transfer._opened_at.timestamp())  # noqa: SLF001 - of the same package
-        self.until, self.gauged, self.in_flight, self.seen = opened, opened - GAUGE_SECONDS, 0, None
+        self.until, self.gauged, self.in_flight = opened, opened - GAUGE_SECONDS, 0
         if self.ticks >= 0:
             last = spark.read.schema(TICKS).parquet(f"{self.root}/tick={self.ticks}").first()
-            self.until, self.gauged, self.in_flight, self.seen = (last[c] for c in ("until", "gauged", "in_flight", "seen"))
+            self.until, self.gauged, self.in_flight = (last[c] for c in ("until", "gauged", "in_flight"))
         self._ended = threading.Event()
         self._thread: InheritableThread | None = None
 
     # ---- newest offsets ---------------------------------------------------
-    def _offsets_path(self, tick: int) -> str:
-        return f"{self.root.replace('/monitor/', '/monitor-offsets/')}/tick={tick}"
-
-    def _newest(self, tick: int) -> DataFrame:
-        """Newest offsets, kept from tick to tick; a table of one row per partition."""
+    def _newest(self) -> DataFrame:
+        """Newest offsets; a table of one row per partition."""
         if self.opts.source_format == "kafka":
             return newest_from_progress(self.spark, self.transfer.query.lastProgress or {})
-        log = read_file_log(self.spark, self.opts.source, self.opts.topic, file_time=True)
-        now = self.seen
-        if now is not None:
-            # Files of the last tick's newest instant may have come after its listing: they are read again.
-            log = log.where(F.col("file_time") >= F.lit(now))
-        fresh = log.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("newest_offset"), F.max("file_time").alias("file_time"))
-        parts = fresh
-        if tick > 0 and fs.exists(self.spark, f"{self._offsets_path(tick - 1)}/_SUCCESS"):
-            old = self.spark.read.schema(OFFSETS).parquet(self._offsets_path(tick - 1))
-            parts = fresh.unionByName(old.withColumn("file_time", F.lit(None).cast("timestamp")))
-        found = parts.groupBy("topic", "partition").agg(F.max("newest_offset").alias("newest_offset"), F.max("file_time").alias("file_time"))
-        rows = found.collect()  # one row per partition of the topic
-        self.seen = max((r["file_time"] for r in rows if r["file_time"] is not None), default=now)
-        table = self.spark.createDataFrame([(r["topic"], r["partition"], r["newest_offset"]) for r in rows], OFFSETS)
-        table.coalesce(1).write.mode("overwrite").parquet(self._offsets_path(tick))
-        return table
+        return self.spark.createDataFrame([(self.opts.topic, p, end) for p, end in self.transfer.source_ends().items()], OFFSETS)
 
     # ---- one tick -----------------------------------------------------------
     def tick(self, until: int | None = None) -> bool:
@@ -142,7 +127,7 @@ class Monitor:
         dense = rates.unionByName(zeros).groupBy("topic", "client_type", "time").agg(F.sum("records").alias("records"))
         at = _dt.datetime.fromtimestamp(until, _dt.timezone.utc)
         self.transfer.seed_from_checkpoint()
-        lag = copy_lag(self.spark, self.opts, self._newest(number)) if self._has_positions() else None
+        lag = copy_lag(self.spark, self.opts, self._newest()) if self._has_positions() else None
         sets = [points.rps_points(dense, host)]
         if lag is not None:
             sets.append(points.kafka_stats_points(lag, host, F.lit(at)))
@@ -156,8 +141,11 @@ class Monitor:
             sets.append(points.system_points(sample, host, [*BATCH_GAUGES, "in_flight"], F.lit(at)))
             gauged = until
         write_points(points.to_points(*sets), self.opts.metrics_path, self.writer, number)
-        self.spark.createDataFrame([(until, gauged, in_flight, self.seen)], TICKS).coalesce(1) \
+        self.spark.createDataFrame([(until, gauged, in_flight)], TICKS).coalesce(1) \
             .write.mode("overwrite").parquet(f"{self.root}/tick={number}")
+        for old in map(int, fs.child_values(self.spark, self.root, "tick")):
+            if old <= number - KEPT_TICKS:
+                fs.delete(self.spark, f"{self.root}/tick={old}")
         self.ticks, self.until, self.gauged, self.in_flight = number, until, gauged, in_flight
         return True
 

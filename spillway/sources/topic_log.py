@@ -35,12 +35,10 @@ LOG_COLUMNS = [f.name for f in TOPIC_LOG.fields]
 
 def read_file_log(spark: SparkSession, path: str, topic: str | None = None,
                   stream: bool = False, max_files_per_trigger: int | None = None,
-                  keep_layout: bool = False, max_bytes_per_trigger: int | None = None,
-                  file_time: bool = False) -> DataFrame:
-    """Read a file log as TOPIC_LOG rows (optionally with the writer columns, or
-    with `file_time`, the time each row's file was written).
+                  keep_layout: bool = False, max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """Read a file log as TOPIC_LOG rows (optionally with the writer columns).
 
-    A stream's micro-batch is bounded by files or by bytes (files win)."""
+    A batch read of one topic includes folders that its writer has folded.  A stream's micro-batch is bounded by files or by bytes (files win)."""
     def bounded(reader):
         if max_files_per_trigger:
             return reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -59,12 +57,22 @@ def read_file_log(spark: SparkSession, path: str, topic: str | None = None,
         df = reader.parquet(path)
         if topic is not None:
             df = df.where(F.col("topic") == F.lit(topic))
+            if not stream and not keep_layout:
+                df = _with_folds(spark, path, topic, df)
     cols = LOG_COLUMNS + ([f.name for f in LAYOUT.fields if f.name != "topic"] if keep_layout else [])
-    if file_time:
-        return df.select(*cols, F.col("_metadata.file_modification_time").alias("file_time"))
     return df.select(*cols)
 
 
+def _with_folds(spark: SparkSession, path: str, topic: str, live: DataFrame) -> DataFrame:
+    """The batch folders of a log that no fold stands for, and its folded folders."""
+    from spillway.sources.manifest import folded_parts
+    folded, covered = folded_parts(spark, path, topic)
+    if not folded:
+        return live
+    rows = spark.read.schema(FILE_LOG_DATA).parquet(*folded).withColumn("topic", F.lit(topic))
+    return live.where(~covered).select(*LOG_COLUMNS).unionByName(rows.select(*LOG_COLUMNS))
+
+
 def kafka_source_options(opts: TransferOptions) -> dict[str, str]:
     """Options of Spark's Kafka source for a copy.
 

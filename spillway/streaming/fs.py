@@ -3,6 +3,8 @@ can write to (local, HDFS, object stores)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -30,6 +32,35 @@ def child_values(spark: SparkSession, path: str, key: str) -> list[str]:
     return out
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders under `path`; none if it isn't there."""
+    fs, p = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")  # noqa: SLF001
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that appears whole, by a rename."""
+    fs, p = _fs(spark, path)
+    own = p.getParent().suffix(f"/.{p.getName()}.{uuid.uuid4().hex}")
+    stream = fs.create(own, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(own, p):
+        fs.delete(own, False)
+        raise FileExistsError(path)
+
+
 def mkdirs(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.mkdirs(p)
@@ -37,8 +68,19 @@ def mkdirs(spark: SparkSession, path: str) -> None:
 
 def partition_folder(spark: SparkSession, root: str, **columns) -> str:
     """The folder that `partitionBy` makes for these values, names escaped as Spark escapes them."""
-    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils  # noqa: SLF001
-    return "/".join([root.rstrip("/"), *(f"{k}={utils.escapePathName(str(v))}" for k, v in columns.items())])
+    return "/".join([root.rstrip("/"), *(f"{k}={escaped(spark, str(v))}" for k, v in columns.items())])
+
+
+def _names(spark: SparkSession):
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils  # noqa: SLF001
+
+
+def escaped(spark: SparkSession, name: str) -> str:
+    return _names(spark).escapePathName(name)
+
+
+def unescaped(spark: SparkSession, name: str) -> str:
+    return _names(spark).unescapePathName(name)
 
 
 def delete(spark: SparkSession, path: str) -> None:

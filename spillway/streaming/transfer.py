@@ -25,19 +25,29 @@
   new run, a fresh budget) goes on behind it instead of replaying it forever.
   `finish()` checks once more after the query ends; both raise `BudgetExceeded`.
 * Drain (C2): `trigger="available_now"` runs until the source is empty and
-  stops; `stop()` stops at once (an unfinished batch is replayed on restart).
+  stops.  A requested stop (a signal) lets the batch that runs finish and commit,
+  and no further one begin, so nothing is left to replay; if a record of this run
+  has failed, it stops at once.  `stop()` stops at once, too (an unfinished batch is
+  replayed on restart).
 * Batches (C3): nothing of a batch is cached; its source is read once for the
-  offset ranges and once for the write.  `read_limit` bounds records (Kafka) or
-  files (file log), `batch_bytes` the bytes of a file log's batch.
+  offset ranges and once for the write.  `read_limit` bounds records (Kafka, and
+  with `offset_ranges` a file log) or files, `batch_bytes` the bytes of a file
+  log's batch.
+* Offset ranges (S1, C3): with `offset_ranges` the stream carries a range a
+  partition and each batch reads its records from the folders that the manifest
+  names.  Starts are ranges, too: nothing is scanned for them, no join filters them.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import functools
+import logging
 import threading
 import time
 import uuid
 
+from pyspark import InheritableThread
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,12 +61,22 @@ from spillway.plans.copy import plan_counted
 from spillway.schema import GENERATIONS, PRODUCER
 from spillway.session import under_state
 from spillway.sinks.file_log import run_concurrently, write_kafka_batch, write_log_batch, write_once, write_table_batch
+from spillway.sources.manifest import ManifestLog, kept_beside, own_folder
+from spillway.sources.ranges import read_range_stream
 from spillway.sources.topic_log import read_file_log, topic_source
 from spillway.streaming import fs
 from spillway.streaming.progress import first_offsets
 from spillway.streaming.state import fold, read_table
 
 
+_log = logging.getLogger(__name__)
+POLL_SECONDS = 1.0
+
+
+class _Stopped(Exception):
+    """Raised in a batch that may not begin, or not go on, once a stop was requested."""
+
+
 class Transfer:
     """One copy of one topic.  `start()` returns the running StreamingQuery."""
 
@@ -77,6 +97,12 @@ class Transfer:
         self.query: StreamingQuery | None = None
         self._trip: BudgetExceeded | None = None
         self._stop_requested = False
+        self._rejected_now = 0         # of the batch that runs
+        self._gate = threading.Lock()  # no batch begins once it is closed
+        self._closed = self._busy = self._refused = False
+        self._drains = False
+        self._index: ManifestLog | None = None
+        self._ended = threading.Event()
         self._clock_lock = threading.Lock()
         self._running_at: _dt.datetime | None = None  # begin of the batch that runs now
         self._monitor = None
@@ -97,6 +123,21 @@ class Transfer:
     def record_path(self) -> str:
         return f"{self.path('generations')}/group={self.group}/generation={self.generation}"
 
+    @property
+    def index(self) -> ManifestLog:
+        """The manifest of the source file log: its writer's, else one of this copy's own."""
+        if self._index is None:
+            o = self.opts
+            self._mine = not kept_beside(self.spark, o.source, o.topic)
+            folder = fs.partition_folder(self.spark, self.path("source-manifests"), group=self.group)
+            self._index = ManifestLog(self.spark, o.source, o.topic, folder if self._mine else own_folder(self.spark, o.source, o.topic))
+        return self._index
+
+    def source_ends(self) -> dict[int, int]:
+        """Partition -> newest offset of the source file log; reads what came since it was asked last."""
+        index = self.index
+        return (index.refresh() if self._mine else index.load()).newest
+
     # ---- generations ---------------------------------------------------
     def _pick_generation(self) -> int:
         """The newest recorded generation, or the next one where none is recorded or a reset is asked for."""
@@ -123,7 +164,9 @@ class Transfer:
         starts = record.where("partition >= 0").select("topic", "partition", "start_offset")
         if o.source_format == "file":
             self._seed(starts)
-            if own["start_at"] == "latest":
+            if o.offset_ranges:
+                self._starts = {r["partition"]: r["start_offset"] for r in starts.collect()}  # one row per partition
+            elif own["start_at"] == "latest":
                 self._start = starts
                 self._scan_filter = self._start_predicate()
 
@@ -132,6 +175,10 @@ class Transfer:
         o = self.opts
         if o.source_format == "kafka" or not fs.exists(self.spark, f"{o.source.rstrip('/')}/topic={o.topic}"):
             return self.spark.createDataFrame([], "topic string, partition int, start_offset long")
+        if o.offset_ranges:
+            ends = self.source_ends()
+            return self.spark.createDataFrame([(o.topic, p, e if o.start_at == "latest" else 0) for p, e in ends.items()],
+                                              "topic string, partition int, start_offset long")
         log = read_file_log(self.spark, o.source, o.topic)
         if o.start_at == "earliest":
             return log.select("topic", "partition").distinct().withColumn("start_offset", F.lit(0).cast("long"))
@@ -161,6 +208,10 @@ class Transfer:
         return (F.col("offset") >= F.lit(min(r["start_offset"] for r in known))) | ~F.col("partition").isin(
             [r["partition"] for r in known])
 
+    @functools.cached_property
+    def destination_manifest(self) -> ManifestLog:
+        return ManifestLog(self.spark, self.opts.destination, self.opts.topic)
+
     # ---- destination base ------------------------------------------------
     def _audit_end(self, condition) -> int:
         """The largest destination slot that audit rows of this group reserved."""
@@ -171,8 +222,12 @@ class Transfer:
         """The next free destination offset when a generation begins."""
         if self.opts.destination_format != "file" or not fs.exists(self.spark, self.opts.destination):
             return 0
-        there = read_file_log(self.spark, self.opts.destination, self.opts.topic).agg(F.max("offset")).first()[0]
-        return max(0 if there is None else int(there) + 1, self._audit_end(F.col("generation") < self.generation))
+        if self.opts.keep_manifest:
+            there = max(self.destination_manifest.refresh().newest.values(), default=0)
+        else:
+            last = read_file_log(self.spark, self.opts.destination, self.opts.topic).agg(F.max("offset")).first()[0]
+            there = 0 if last is None else int(last) + 1
+        return max(there, self._audit_end(F.col("generation") < self.generation))
 
     def _destination_base(self, batch_id: int) -> int:
         """Next free destination offset before `batch_id`: from the record and
@@ -188,13 +243,30 @@ class Transfer:
         if over_budget(self.rejected_total, self.opts.max_errors):
             self._trip = self._over()
             raise self._trip
+        with self._gate:
+            if self._closed or self._stop_requested:
+                self._refused = True
+                raise _Stopped("no batch begins after a requested stop")
+            self._busy = True
         with self._clock_lock:
             self._running_at = _dt.datetime.now(_dt.timezone.utc)
         try:
-            self._copy(df, batch_id, self._running_at)
+            log = df
+            if self.opts.offset_ranges:
+                log = self.index.read_ranges([tuple(r) for r in df.collect()])  # one row per partition
+            self._copy(log, batch_id, self._running_at)
         finally:
+            self._rejected_now = 0
             with self._clock_lock:
                 self._running_at = None
+            with self._gate:
+                self._busy = False
+
+    def _go_on(self) -> None:
+        """A stop after a failed record ends the batch where it is (C2): it is replayed on restart."""
+        if self._stop_requested and self.rejected_total + self._rejected_now > 0:
+            self._refused = True
+            raise _Stopped("stopped at once: records of this run have failed")
 
     def _copy(self, df: DataFrame, batch_id: int, began: _dt.datetime) -> None:
         o, begin = self.opts, time.monotonic()
@@ -203,6 +275,8 @@ class Transfer:
         rows, plan = plan_counted(df, o.destination_partitions, self._start, o.reject_when, o.preserve_nulls, base,
                                   F.lit(began).cast("timestamp"))
         rejected, width = sum(r["rejected"] or 0 for r in rows), sum(r["_span"] for r in rows)
+        self._rejected_now = int(rejected)
+        self._go_on()
         if rows:  # else nothing at or after the start position
             records = fan_out(plan.records, o.producer_concurrency)
             if o.destination_format == "file":
@@ -211,6 +285,7 @@ class Transfer:
             else:
                 write_kafka_batch(records, o)
             self._after_sink(batch_id)
+            self._go_on()
             audit = plan.audit.withColumn("run_id", F.lit(self.run_id)).withColumn(
                 "took_ms", F.lit(round((time.monotonic() - begin) * 1000)).cast("long"))
             if o.destination_format == "kafka":  # the broker assigns destination offsets
@@ -224,11 +299,15 @@ class Transfer:
             # them as concurrent jobs (a failed batch is replayed; tables already
             # there stay).
             run_concurrently([lambda t=t, d=d: self._write_table(t, d, batch_id) for t, d in tables.items()])
-        self.rejected_total += int(rejected)
+            if o.keep_manifest:
+                self.destination_manifest.refresh()
+        self.rejected_total, self._rejected_now = self.rejected_total + int(rejected), 0
         self._next = (batch_id + 1, base + int(width))
         self.batches.append(batch_id)
         if len(self.batches) % o.fold_batches == 0:
             fold(self.spark, self.root, self.group, self.generation)
+            if o.keep_manifest:
+                self.destination_manifest.fold(o.fold_batches, o.compression)
 
     def _write_table(self, table: str, rows: DataFrame, batch_id: int) -> None:
         write_once(self.spark, self.folder(self.path(table), batch_id), lambda: write_table_batch(
@@ -255,51 +334,82 @@ class Transfer:
             # empty Kafka topic): the stream then picks files up as they come.
             fs.mkdirs(self.spark, f"{self.opts.source.rstrip('/')}/topic={self.opts.topic}")
         self._freeze_start()
-        stream = topic_source(self.spark, self.opts, stream=True)
+        if self.opts.offset_ranges:
+            self.source_ends()
+            stream = read_range_stream(self.spark, self.index.folder, self._starts, self.opts.read_limit)
+            # A drain is one batch after the other until nothing waits (the trigger of Spark would end after one).
+            self._drains = trigger in ("available_now", "once")
+        else:
+            stream = topic_source(self.spark, self.opts, stream=True)
         if self._scan_filter is not None:
             stream = stream.where(self._scan_filter)
         w = stream.writeStream.queryName(f"copy_{self.group}_{self.generation}") \
             .option("checkpointLocation", self.checkpoint).foreachBatch(self._batch)
-        if trigger == "available_now":
+        if self._drains:
+            w = w.trigger(processingTime="0 seconds")
+        elif trigger == "available_now":
             w = w.trigger(availableNow=True)
         elif trigger == "once":
             w = w.trigger(once=True)
         else:
             w = w.trigger(processingTime=self.opts.trigger_interval)
         self.query = w.start()
+        if self.opts.offset_ranges and self._mine and not self._drains:
+            InheritableThread(target=self._follow, daemon=True).start()
         if self.opts.metrics_path:
             from spillway.plans.monitoring import Monitor
             self._monitor = Monitor(self.spark, self.opts, self)
             self._monitor.start()
         return self.query
 
+    def _follow(self) -> None:
+        """Keep this copy's own manifest of the source up to date, so that the stream sees new offsets."""
+        while not self._ended.wait(self.opts.flush_interval_ms / 2000):
+            try:
+                self.index.refresh()
+            except Exception:  # noqa: BLE001 - the next round reads the same folders
+                _log.exception("reading new batches of the source failed")
+
     def request_stop(self) -> None:
-        """Ask `finish()` to stop the query (safe from a signal handler: no
-        call into the JVM happens here)."""
+        """Ask `finish()` to stop the query at the end of the batch that runs, or at once
+        if a record has failed (safe from a signal handler: no lock, no call into the JVM)."""
         self._stop_requested = True
 
+    def _close_between_batches(self) -> bool:
+        """Let no further batch begin; whether none runs now."""
+        with self._gate:
+            self._closed = not self._busy
+            return self._closed
+
     def finish(self, timeout: float | None = None) -> None:
         """Wait for the query to end, then check the budget once more (the last
         batch may have gone over with no next batch to refuse).  Waits in
-        one-second steps so that `request_stop()` is honoured."""
+        short steps so that `request_stop()` is honoured."""
         try:
             if self.query is not None:
-                if timeout is not None:
-                    self.query.awaitTermination(timeout)
-                else:
-                    while not self.query.awaitTermination(1):
-                        if self._stop_requested:
-                            self.query.stop()
+                if self._drains and not self._stop_requested:
+                    self.query.processAllAvailable()
+                    self.request_stop()
+                until = None if timeout is None else time.monotonic() + timeout
+                while not self.query.awaitTermination(POLL_SECONDS if until is None else max(0.01, min(POLL_SECONDS, until - time.monotonic()))):
+                    failed = self.rejected_total + self._rejected_now > 0 and not self._drains
+                    if self._stop_requested and (failed or self._close_between_batches()):
+                        self.query.stop()
+                    elif until is not None and time.monotonic() >= until:
+                        break
         except StreamingQueryException:
-            if self._trip is None:
+            if self._trip is not None:
+                raise self._trip from None
+            if not self._refused:
                 raise
-            raise self._trip from None
         finally:
+            self._ended.set()
             self._end_monitor()
         if over_budget(self.rejected_total, self.opts.max_errors):
             raise self._over()
 
     def stop(self) -> None:
+        self._ended.set()
         if self.query is not None:
             self.query.stop()
         self._end_monitor()
