@@ -39,43 +39,43 @@ def throughput(audit: DataFrame, seconds: int = 1, keys: Sequence[str] = ("topic
             .select(*keys, _epoch_to_ntz("_bucket").alias("time"), "records"))
 
 
-def _span(counts: DataFrame) -> tuple[Column, Column]:
-    """First and last bucket of all series, as scalar subqueries (null without buckets)."""
-    return counts.agg(F.min("_bucket")).scalar(), counts.agg(F.max("_bucket")).scalar()
-
-
-def _chunks(counts: DataFrame, keys: Sequence[str], step: int) -> DataFrame:
-    """(keys, _lo, _hi, _chunk): every chunk of the span for every series; a few rows a series."""
-    lo, hi = _span(counts)
-    return (counts.select(*keys).distinct().withColumns({"_lo": lo, "_hi": hi})
-            .withColumn("_chunk", F.explode(F.sequence(whole_div(F.col("_lo"), step), whole_div(F.col("_hi"), step)))))
+def _packed(counts: DataFrame, keys: Sequence[str], seconds: int) -> DataFrame:
+    """(keys, _chunk, _found, _first, _last, _total): the given buckets of a chunk as a map, from one aggregate."""
+    entry = F.struct(F.col("_bucket").alias("key"), F.col("records").alias("value"))
+    return (counts.groupBy(*keys, whole_div(F.col("_bucket"), seconds * DENSE_CHUNK).alias("_chunk"))
+            .agg(F.map_from_entries(F.collect_list(entry)).alias("_found"), F.min("_bucket").alias("_first"),
+                 F.max("_bucket").alias("_last"), F.sum("records").alias("_total")))
 
 
 def _dense(counts: DataFrame, keys: Sequence[str], seconds: int) -> DataFrame:
-    """(keys, _chunk, _from, _values): per series and chunk of the span, the first bucket and the values in order.
+    """(keys, _chunk, _from, _values, _total): per series and chunk of the span, the first bucket and the values in order.
 
-    Counts and chunks meet in one exchange and grow to buckets inside a row, so
-    zeros are neither shuffled nor summed, and no task builds a whole series.
+    The span and the series come from the packed chunks, too (one row a series),
+    and read the same columns of them: Spark runs their exchange once, so the
+    audit is read as often as `throughput` reads it.  Chunks grow to buckets
+    inside a row: zeros are neither shuffled nor summed.
     """
     step = seconds * DENSE_CHUNK
-    entry = F.struct(F.col("_bucket").alias("key"), F.col("records").alias("value"))
-    none = F.lit(None).cast("struct<key: bigint, value: bigint>")
-    given = counts.select(*keys, whole_div(F.col("_bucket"), step).alias("_chunk"), entry.alias("_entry"),
-                          F.lit(None).cast("long").alias("_lo"), F.lit(None).cast("long").alias("_hi"))
-    rows = given.unionByName(_chunks(counts, keys, step).withColumn("_entry", none))
-    found = rows.groupBy(*keys, "_chunk").agg(F.map_from_entries(F.collect_list("_entry")).alias("_found"),
-                                              F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    packed = _packed(counts, keys, seconds)
+    # The size and the total are asked for so that no branch prunes the packed columns and plans another exchange.
+    series = packed.groupBy(*keys).agg(F.min("_first").alias("_lo"), F.max("_last").alias("_hi"), F.max(F.size("_found")).alias("_most"),
+                                       F.count("_total").alias("_some")).where("_most > 0 and _some > 0")
+    span = series.agg(F.struct(F.min("_lo").alias("lo"), F.max("_hi").alias("hi")).alias("span"))
+    grid = (series.select(*keys).withColumn("_span", span.scalar())
+            .select(*keys, F.col("_span.lo").alias("_lo"), F.col("_span.hi").alias("_hi"))
+            .withColumn("_chunk", F.explode(F.sequence(whole_div(F.col("_lo"), step), whole_div(F.col("_hi"), step)))))
+    found = grid.join(packed, [*keys, "_chunk"], "left")
     first = F.greatest("_lo", F.col("_chunk") * step)
     last = F.least("_hi", F.col("_chunk") * step + (step - seconds))
     buckets = F.sequence(first, last, F.lit(seconds).cast("long"))
     zero = F.lit(0).cast("long")
-    return found.select(*keys, "_chunk", first.alias("_from"),
+    return found.select(*keys, "_chunk", first.alias("_from"), F.coalesce("_total", zero).alias("_total"),
                         F.transform(buckets, lambda t: F.coalesce(F.try_element_at("_found", t), zero)).alias("_values"))
 
 
 def _exploded(dense: DataFrame, keys: Sequence[str], seconds: int) -> DataFrame:
     """(keys, _chunk, _bucket, records)"""
-    return (dense.select(*keys, "_chunk", "_from", F.posexplode("_values").alias("_at", "records"))
+    return (dense.select(*keys, "_chunk", "_from", F.posexplode_outer("_values").alias("_at", "records"))  # inner would evaluate the values twice
             .select(*keys, "_chunk", (F.col("_from") + F.col("_at") * seconds).alias("_bucket"), "records"))
 
 
@@ -137,17 +137,16 @@ def in_flight(audit: DataFrame, seconds: int = 30, keys: Sequence[str] = ("topic
     delta = F.when(F.col("client_type") == "consumer", F.col("n") - rejected).otherwise(-F.col("n"))
     counts = (audit.groupBy(*keys, second_bucket(time, seconds).alias("_bucket"))
               .agg(F.sum(delta).cast("long").alias("records")))
-    # A running total of one long series in many tasks: inside chunks of the
-    # series, plus the total of the chunks before (one row per chunk).
-    step = seconds * DENSE_CHUNK
-    dense = _exploded(_dense(counts, keys, seconds), keys, seconds)
-    inside = Window.partitionBy(*keys, "_chunk").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    # A running total of one long series: of the chunks before (one row per chunk), and inside the chunk's row.
+    dense = _dense(counts, keys, seconds)
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (counts.groupBy(*keys, whole_div(F.col("_bucket"), step).alias("_chunk")).agg(F.sum("records").alias("_total")))
-    bases = (_chunks(counts, keys, step).join(totals, [*keys, "_chunk"], "left")
-             .select(*keys, "_chunk", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base")))
-    return (dense.withColumn("_inside", F.sum("records").over(inside)).join(bases, [*keys, "_chunk"])
-            .select(*keys, _epoch_to_ntz("_bucket").alias("time"), (F.col("_base") + F.col("_inside")).cast("long").alias("in_flight")))
+    zero = F.lit(0).cast("long")
+    empty = F.struct(F.col("_base").alias("sum"), F.array().cast("array<bigint>").alias("out"))
+    running = F.aggregate("_values", empty, lambda acc, v: F.struct(
+        (acc["sum"] + v).alias("sum"), F.array_append(acc["out"], acc["sum"] + v).alias("out")), lambda acc: acc["out"])
+    based = dense.withColumn("_base", F.coalesce(F.sum("_total").over(before), zero)).withColumn("_values", running)
+    return (_exploded(based, keys, seconds)
+            .select(*keys, _epoch_to_ntz("_bucket").alias("time"), F.col("records").cast("long").alias("in_flight")))
 
 
 def packed_throughput(audit: DataFrame, seconds: int = 1, keys: Sequence[str] = ("topic", "client_type")) -> DataFrame:

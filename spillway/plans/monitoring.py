@@ -103,8 +103,8 @@ class Monitor:
         self._thread: InheritableThread | None = None
 
     # ---- newest offsets ---------------------------------------------------
-    def _newest(self) -> DataFrame:
-        """Newest offsets; a table of one row per partition."""
+    def _newest(self, _tick: int | None = None) -> DataFrame:
+        """Newest offsets, of whatever tick; a table of one row per partition."""
         if self.opts.source_format == "kafka":
             return newest_from_progress(self.spark, self.transfer.query.lastProgress or {})
         return self.spark.createDataFrame([(self.opts.topic, p, end) for p, end in self.transfer.source_ends().items()], OFFSETS)

@@ -43,7 +43,7 @@ AUDIT = T.StructType([
     T.StructField("from_offset", T.LongType(), True),
     T.StructField("until_offset", T.LongType(), True),
     T.StructField("at", T.TimestampType(), False),
-    T.StructField("bytes", T.LongType(), True),     # payload bytes read (consumer rows)
+    T.StructField("bytes", T.LongType(), True),     # payload bytes read by the batch, on one of its consumer rows
     T.StructField("took_ms", T.LongType(), True),   # from the batch's begin to the end of its sink write
 ])
 

@@ -57,7 +57,7 @@ from spillway.operators.budget import BudgetExceeded, over_budget
 from spillway.operators.positions import as_start, newest_offsets, seed_rows
 from spillway.operators.records import fan_out
 from spillway.options import TransferOptions
-from spillway.plans.copy import plan_counted
+from spillway.plans.copy import Observed, plan_counted, with_gauges
 from spillway.schema import GENERATIONS, PRODUCER
 from spillway.session import under_state
 from spillway.sinks.file_log import run_concurrently, write_kafka_batch, write_log_batch, write_once, write_table_batch
@@ -97,6 +97,7 @@ class Transfer:
         self.query: StreamingQuery | None = None
         self._trip: BudgetExceeded | None = None
         self._stop_requested = False
+        self.live: dict[str, int] | None = None  # records, bytes and failed records of the batch written last
         self._rejected_now = 0         # of the batch that runs
         self._gate = threading.Lock()  # no batch begins once it is closed
         self._closed = self._busy = self._refused = False
@@ -269,25 +270,27 @@ class Transfer:
             raise _Stopped("stopped at once: records of this run have failed")
 
     def _copy(self, df: DataFrame, batch_id: int, began: _dt.datetime) -> None:
-        o, begin = self.opts, time.monotonic()
+        o, begin, observed, counts = self.opts, time.monotonic(), Observed(), None
         self.seed_from_checkpoint()
         base = self._destination_base(batch_id)
         rows, plan = plan_counted(df, o.destination_partitions, self._start, o.reject_when, o.preserve_nulls, base,
-                                  F.lit(began).cast("timestamp"))
+                                  F.lit(began).cast("timestamp"), observed)
         rejected, width = sum(r["rejected"] or 0 for r in rows), sum(r["_span"] for r in rows)
         self._rejected_now = int(rejected)
         self._go_on()
         if rows:  # else nothing at or after the start position
             records = fan_out(plan.records, o.producer_concurrency)
             if o.destination_format == "file":
-                write_once(self.spark, self.folder(o.destination, batch_id, topic=o.topic), lambda: write_log_batch(
-                    records, o.destination, self.group, self.generation, batch_id, o.compression))
+                if write_once(self.spark, self.folder(o.destination, batch_id, topic=o.topic), lambda: write_log_batch(
+                        records, o.destination, self.group, self.generation, batch_id, o.compression)):
+                    counts = observed.get()
             else:
                 write_kafka_batch(records, o)
+                counts = observed.get()
             self._after_sink(batch_id)
             self._go_on()
-            audit = plan.audit.withColumn("run_id", F.lit(self.run_id)).withColumn(
-                "took_ms", F.lit(round((time.monotonic() - begin) * 1000)).cast("long"))
+            self.live = counts or self.live
+            audit = with_gauges(plan.audit, rows, counts, round((time.monotonic() - begin) * 1000)).withColumn("run_id", F.lit(self.run_id))
             if o.destination_format == "kafka":  # the broker assigns destination offsets
                 planned_only = F.col("client_type") == PRODUCER
                 audit = (audit.withColumn("from_offset", F.when(~planned_only, F.col("from_offset")))
