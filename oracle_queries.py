@@ -211,6 +211,42 @@ SELECT topic, COUNT(*) AS records, COUNT(DISTINCT "partition") AS partitions FRO
     "flush_policy": f"""WITH {LOG}
 SELECT topic, COUNT(*) AS records, true AS one_batch_an_interval FROM log GROUP BY topic""",
 
+    "flush_interval": f"""WITH {LOG}
+SELECT topic, COUNT(*) AS records, COUNT(DISTINCT dayofyear("timestamp") // 5) AS batches, true AS one_batch_an_interval
+FROM log GROUP BY topic""",
+
+    "flush_groups": f"""WITH {LOG},
+placed AS (
+  SELECT topic, "partition", "offset", epoch_us("timestamp") // 86400000000 * 86400 AS "interval",
+         ROW_NUMBER() OVER (PARTITION BY topic, epoch_us("timestamp") // 86400000000 ORDER BY "partition", "offset") - 1 AS place
+  FROM log)
+SELECT topic, CAST("interval" AS BIGINT) AS "interval", CAST(place // 20 AS BIGINT) AS flush_group, COUNT(*) AS records,
+       ARG_MIN("partition", place) AS first_partition, ARG_MIN("offset", place) AS first_offset
+FROM placed GROUP BY topic, "interval", place // 20""",
+
+    "record_limit": f"""WITH {LOG},
+lim AS (SELECT COUNT(*) // 12 + 1 AS n FROM log),
+total AS (SELECT topic, COUNT(*) AS records FROM log GROUP BY topic)
+SELECT topic, CAST(b AS BIGINT) AS batch_id, CAST(LEAST(n, records - b * n) AS BIGINT) AS records
+FROM total, lim, LATERAL (SELECT UNNEST(generate_series(0, (records - 1) // n)) AS b)""",
+
+    "drain_signal": f"""WITH {LOG},
+lim AS (SELECT COUNT(*) // 12 + 1 AS n FROM log)
+SELECT topic, false AS failed, CAST(LEAST(ANY_VALUE(n), COUNT(*)) AS BIGINT) AS read, CAST(LEAST(ANY_VALUE(n), COUNT(*)) AS BIGINT) AS committed,
+       true AS sent_is_committed, false AS running, COUNT(*) AS at_last
+FROM log, lim GROUP BY topic
+UNION ALL
+SELECT topic, true, CAST(0 AS BIGINT), CAST(0 AS BIGINT), false, false, CAST(SUM(CASE WHEN {REJECT} THEN 0 ELSE 1 END) AS BIGINT)
+FROM log GROUP BY topic""",
+
+    "monitor_lag": f"""WITH {LOG}
+SELECT topic, "partition", CAST(COUNT(*) FILTER (WHERE "timestamp" < TIMESTAMP '2024-01-20 00:00:00') AS BIGINT) AS current_offset,
+       COUNT(*) AS newest_offset
+FROM log GROUP BY topic, "partition\"""",
+
+    "fold_chain": f"""WITH {LOG}
+SELECT topic, COALESCE("key", '') AS "key", COALESCE("value", '') AS "value" FROM log""",
+
     "delivery_options": f"""WITH {LOG}
 SELECT topic, 'gz' AS codec, COUNT(*) AS records FROM log GROUP BY topic""",
 

@@ -9,7 +9,9 @@ wall clock), so that results compare with a zone-less engine.
 
 from __future__ import annotations
 
+import dataclasses
 import functools
+import time
 import uuid
 from collections.abc import Callable
 
@@ -18,10 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spillway.functions import as_text, group_name, to_ntz, truncate_time, whole_div
-from spillway.operators import budget, metrics, points, positions, records
+from spillway.operators import budget, flush, metrics, points, positions, records
 from spillway.options import TransferOptions
 from spillway.plans.copy import plan_copy_batch, plan_counted
-from spillway.plans.monitoring import copy_lag
+from spillway.plans.monitoring import Monitor, copy_lag
 from spillway.schema import AUDIT
 from spillway.session import ensure_utc, under_state
 from spillway.sinks.file_log import write_log_batch, write_partitioned, write_topic_log
@@ -41,6 +43,8 @@ DENSE_SECONDS = 1
 IN_FLIGHT_SECONDS = 30
 GAUGE_SECONDS = 60
 BUDGET = 10
+FLUSH_SIZE = 20           # records in a flush group
+FLUSH_SECONDS = 86_400    # the fixture has few records a second
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,6 +337,122 @@ def q_flush_policy(spark, sf_dir):
                                         (F.count_distinct("slot") == F.count("*")).alias("one_batch_an_interval"))
 
 
+def q_flush_interval(spark, sf_dir):
+    """K2: the same over a source of several files a topic, one file a batch: how many batches there were, too."""
+    root = _filed_source(spark, sf_dir, "flush_interval")
+    interval = 1000
+    running = [Transfer(spark, o) for o in _copies(spark, root, read_limit=1, flush_interval_ms=interval)]
+    for t in running:
+        t.start("interval")
+    for t in running:
+        t.query.processAllAvailable()
+        t.stop()
+    batches = (_audit_of(spark, root).where("client_type = 'consumer'").groupBy("topic", "batch_id")
+               .agg(F.sum("n").alias("n"), whole_div(F.unix_millis(F.min("at")), interval).alias("slot")))
+    return batches.groupBy("topic").agg(F.sum("n").cast("long").alias("records"), F.count("*").alias("batches"),
+                                        (F.count_distinct("slot") == F.count("*")).alias("one_batch_an_interval"))
+
+
+def q_flush_groups(spark, sf_dir):
+    """K2: groups closed at a number of records or at the end of the interval."""
+    grouped = flush.flush_groups(_log(spark, sf_dir), FLUSH_SIZE, FLUSH_SECONDS)
+    return grouped.groupBy("topic", "interval", "flush_group").agg(
+        F.count("*").alias("records"), F.min(F.struct("partition", "offset")).alias("first")).select(
+        "topic", "interval", "flush_group", "records", F.col("first.partition").alias("first_partition"), F.col("first.offset").alias("first_offset"))
+
+
+def q_record_limit(spark, sf_dir):
+    """Copies by offset ranges, at most so many records a batch: the records of every batch, from the audit."""
+    root = _whole_source(spark, sf_dir, "record_limit")
+    _run_copies(spark, root, offset_ranges=True, read_limit=_share(spark, root))
+    read = _audit_of(spark, root).where("client_type = 'consumer'")
+    return read.groupBy("topic", "batch_id").agg(F.sum("n").cast("long").alias("records"))
+
+
+def _share(spark, root: str) -> int:
+    """A limit that makes some batches of a topic at any size of the log: a twelfth of all records."""
+    return read_file_log(spark, f"{root}/source").count() // 12 + 1
+
+
+class _Signalled(Transfer):
+    """A copy that is asked to stop while its first batch runs."""
+
+    def _after_sink(self, batch_id: int) -> None:
+        self.request_stop()
+
+
+def q_drain_signal(spark, sf_dir):
+    """Copies are asked to stop in mid-batch.  Without a failed record the batch ends and commits and no further
+    one begins; with one it stops at once.  Then they are run again: all records are there, once."""
+    root = _whole_source(spark, sf_dir, "drain_signal")
+    limit = _share(spark, root)
+    out = []
+    for failed in (False, True):
+        mine = {"state_path": f"{root}/state-{failed}", "destination": f"{root}/dest-{failed}", "offset_ranges": True, "read_limit": limit}
+        if failed:
+            mine |= {"reject_when": fx.REJECT_WHEN, "max_errors": NO_BUDGET}
+        copies = [_Signalled(spark, o) for o in _copies(spark, root, **mine)]
+        for t in copies:
+            t.start("interval")
+        for t in copies:
+            t.finish()
+        found = {}
+        for t in copies:
+            read = t.audit().where("client_type = 'consumer'").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+            stored = positions.committed_offsets(t.commits()).agg(F.sum("next_offset")).first()[0]
+            sent = read_file_log(spark, t.opts.destination, t.opts.topic).count()
+            found[t.opts.topic] = (read, stored, sent == stored, t.query.isActive)
+        _run_copies(spark, root, **mine)
+        for topic, row in found.items():
+            out.append((topic, failed, *row, read_file_log(spark, f"{root}/dest-{failed}", topic).count()))
+    return spark.createDataFrame(out, "topic string, failed boolean, read long, committed long, sent_is_committed boolean, running boolean, at_last long")
+
+
+class _FailsOnce(Monitor):
+    """A monitor whose first write fails."""
+
+    failed = False
+
+    def _write(self, rows: DataFrame, number: int) -> None:
+        if not self.failed:
+            self.failed = True
+            raise RuntimeError("the metric store is away")
+        super()._write(rows, number)
+
+
+def q_monitor_lag(spark, sf_dir):
+    """S4 + M3 + T2: a monitor's first tick fails, more records come, by another writer too, and its next tick
+    writes the lag of every partition."""
+    root = _scratch(spark, "monitor_lag")
+    log = _log(spark, sf_dir)
+    _append_source(log.where(_before(fx.STORED_BEFORE)), root, 0)
+    done = _run_copies(spark, root)
+    monitors = [_FailsOnce(spark, dataclasses.replace(t.opts, metrics_path=f"{root}/points", host=POINT_HOST), t) for t in done]
+    now = int(time.time())
+    for m in monitors:
+        try:
+            m.tick(now + 2)
+        except RuntimeError:
+            pass
+    _append_source(log.where(_before(fx.RESET_AT) & ~_before(fx.STORED_BEFORE)), root, 7)
+    write_topic_log(log.where(~_before(fx.RESET_AT)), f"{root}/source", group="other writer", batch_id=0)
+    for m in monitors:
+        m.tick(now + 4)
+    rows = read_points(spark, f"{root}/points").where("measurement = 'kafka_stats'")
+    return rows.select(F.col("tags")["topic"].alias("topic"), F.col("tags")["partition"].cast("int").alias("partition"),
+                       F.col("fields")["currentOffset"].alias("current_offset"), F.col("fields")["newestOffset"].alias("newest_offset"))
+
+
+def q_fold_chain(spark, sf_dir):
+    """K1: copies whose destination is folded as they run, and copies of that destination by offset ranges: what
+    arrives at the second one."""
+    root = _whole_source(spark, sf_dir, "fold_chain")
+    ranged = {"offset_ranges": True, "read_limit": _share(spark, root)}
+    _run_copies(spark, root, keep_manifest=True, fold_batches=2, **ranged)
+    _run_copies(spark, root, source=f"{root}/dest", destination=f"{root}/second", group_suffix="second", **ranged)
+    return _show(read_file_log(spark, f"{root}/second"), "topic", "key", "value")
+
+
 def q_delivery_options(spark, sf_dir):
     """K3: the codec of the destination's files, from their names, with the records in them."""
     root = _whole_source(spark, sf_dir, "delivery_options")
@@ -437,6 +557,12 @@ QUERIES: dict[str, Query] = {
     "copy_lag": q_copy_lag,
     "copy_points": q_copy_points,
     "flush_policy": q_flush_policy,
+    "flush_interval": q_flush_interval,
+    "flush_groups": q_flush_groups,
+    "record_limit": q_record_limit,
+    "drain_signal": q_drain_signal,
+    "monitor_lag": q_monitor_lag,
+    "fold_chain": q_fold_chain,
     "delivery_options": q_delivery_options,
     "throughput": q_throughput,
     "dense_throughput": q_dense_throughput,

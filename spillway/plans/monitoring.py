@@ -140,7 +140,7 @@ class Monitor:
             sample = last.select(*(F.coalesce(g, F.lit(0)).alias(g) for g in BATCH_GAUGES), F.lit(in_flight).cast("long").alias("in_flight"))
             sets.append(points.system_points(sample, host, [*BATCH_GAUGES, "in_flight"], F.lit(at)))
             gauged = until
-        write_points(points.to_points(*sets), self.opts.metrics_path, self.writer, number)
+        self._write(points.to_points(*sets), number)
         self.spark.createDataFrame([(until, gauged, in_flight)], TICKS).coalesce(1) \
             .write.mode("overwrite").parquet(f"{self.root}/tick={number}")
         for old in map(int, fs.child_values(self.spark, self.root, "tick")):
@@ -149,6 +149,9 @@ class Monitor:
         self.ticks, self.until, self.gauged, self.in_flight = number, until, gauged, in_flight
         return True
 
+    def _write(self, rows: DataFrame, number: int) -> None:
+        write_points(rows, self.opts.metrics_path, self.writer, number)
+
     def _has_positions(self) -> bool:
         return fs.exists(self.spark, fs.partition_folder(self.spark, f"{_root(self.spark, self.opts)}/commits", group=self.opts.group))
 

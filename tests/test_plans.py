@@ -100,3 +100,48 @@ def test_frozen_start_reaches_the_stream_scan(spark, scratch, capsys):
     t.query.explain(True)
     out = capsys.readouterr().out
     assert "(offset" in out and ">= 20" in out and "DataFilters" in out
+
+
+def test_range_pass_reads_no_payload(spark, scratch):
+    """Offset ranges come from two columns; payload columns only where the reject predicate names them."""
+    write_log_batch(make_log(spark, log_rows("t", 0, 0, 20)), scratch, "p", 0, 0, "snappy")
+    log = read_file_log(spark, scratch, "t")
+
+    def columns(ranges):
+        plan = ranges._jdf.queryExecution().executedPlan().toString()
+        return set(plan.split("ReadSchema: struct<")[1].split(">")[0].replace(":", ",").split(",")[::2])
+    assert columns(copy.plan_copy_batch(log, 4).ranges) == {"partition", "offset"}
+    assert columns(copy.plan_copy_batch(log, 4, reject_when="length(value) > 8").ranges) == {"partition", "offset", "value"}
+
+
+def test_bytes_of_a_batch_come_from_its_write(spark, scratch):
+    write_log_batch(make_log(spark, log_rows("t", 0, 0, 30) + log_rows("t", 1, 0, 5)), f"{scratch}/src", "p", 0, 0, "snappy")
+    o = TransferOptions(topic="t", source=f"{scratch}/src", destination=f"{scratch}/dst", state_path=f"{scratch}/st", start_at="earliest",
+                        destination_partitions=4, reject_when="length(value) > 2", max_errors=100)
+    t = run_transfer(spark, o)
+    size = sum(len(f"k{i}") + len(f"v{i}") for i in [*range(30), *range(5)])
+    assert t.live == {"records": 35, "bytes": size, "rejected": 20}
+    rows = t.audit().where("bytes is not null").collect()
+    assert [(r.client_type, r.partition, r.bytes) for r in rows] == [("consumer", 0, size)]
+
+
+def test_dense_metrics_read_the_audit_little_more_often_than_throughput(spark, scratch):
+    """Scans that run (reused exchanges don't): dense series and records in flight pack one aggregate of the audit."""
+    from spillway.operators import metrics
+    write_log_batch(make_log(spark, log_rows("t", 0, 0, 50) + log_rows("u", 1, 0, 9)), scratch, "p", 0, 0, "snappy")
+    log = read_file_log(spark, scratch)
+    audit = log.selectExpr("topic", "'consumer' as client_type", "1L as n", "0L as rejected", "timestamp as at")
+
+    def read(df):
+        tracker = spark.sparkContext._jsc.sc()
+        group = f"scans-{id(df)}"
+        spark.sparkContext.setJobGroup(group, group)
+        df.write.format("noop").mode("overwrite").save()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+        stages = {s for j in jobs for s in spark.sparkContext.statusTracker().getJobInfo(j).stageIds}
+        return sum(tracker.statusStore().stageData(s, False, None, False, None).apply(0).inputRecords() for s in stages
+                   if tracker.statusStore().stageData(s, False, None, False, None).size())
+    assert read(metrics.throughput(audit)) == 59
+    assert read(metrics.dense_throughput(audit)) <= 2 * 59
+    assert read(metrics.in_flight(audit)) <= 2 * 59

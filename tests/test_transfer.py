@@ -391,3 +391,40 @@ def test_folded_batches_read_the_same_and_the_copy_goes_on(spark, scratch):
     assert sent.select("partition", "offset").distinct().count() == 29
     assert read_table(spark, t.root, "audit", t.group).where("client_type = 'consumer'").agg(F.sum("n")).first()[0] == 29
     assert fold(spark, t.root, t.group, 0, least=1) == 6 and totals(again)[0][0][1] == 29
+
+
+class _Signalled(Transfer):
+    """Asked to stop in the middle of its first batch."""
+
+    def _after_sink(self, batch_id):
+        self.request_stop()
+
+
+@pytest.mark.parametrize("offset_ranges", [False, True])
+def test_requested_stop_ends_between_batches(spark, scratch, offset_ranges):
+    rows = _rows(0, 0, 12) + _rows(1, 0, 12)
+    for b in range(3):
+        _append(spark, f"{scratch}/src", b, rows[b * 8:(b + 1) * 8])
+    o = _opts(scratch, start_at="earliest", read_limit=8 if offset_ranges else 1, offset_ranges=offset_ranges, flush_interval_ms=200)
+    t = _Signalled(spark, o)
+    t.start()
+    t.finish()
+    assert t.batches == [0] and not t.query.isActive
+    assert t.audit().where("client_type = 'consumer'").agg(F.sum("n")).first()[0] == 8 == _sent(spark, scratch).count()
+    assert t.commits().agg(F.sum("next_offset")).first()[0] == 8
+    again = run_transfer(spark, o)
+    assert again.batches[0] == 1  # nothing to replay
+    assert _multiset(_sent(spark, scratch)) == _expected(spark, rows)
+
+
+def test_requested_stop_after_a_failed_record_ends_the_batch(spark, scratch):
+    rows = _rows(0, 0, 12)
+    _append(spark, f"{scratch}/src", 0, rows)
+    o = _opts(scratch, start_at="earliest", reject_when="value = 'v3'", flush_interval_ms=200)
+    t = _Signalled(spark, o)
+    t.start()
+    t.finish()
+    assert t.batches == [] and t.commits().where("batch_id >= 0").count() == 0 and t.audit().count() == 0
+    again = run_transfer(spark, o)
+    assert again.batches == [0] and _sent(spark, scratch).count() == 11
+    assert again.commits().agg(F.max("next_offset")).first()[0] == 12
