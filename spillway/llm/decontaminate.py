@@ -149,14 +149,16 @@ def overlap(words: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int,
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """k1, k2, start, item_row, shift, words, item -> what is found."""
+    """k1, k2, start, item_row, shifts, words, item -> the best of what is found on the shifts' diagonals."""
     for batch in batches:
         out = []
         for i in range(batch.num_rows):
-            k1, k2, start, row, shift = (batch.column(c)[i].as_py() for c in range(5))
-            words, item = (batch.column(c)[i].values.to_numpy() for c in (5, 6))
-            if got := overlap(words, item, shift):
-                out.append((k1, k2, row, start + shift + got[0], *got))
+            k1, k2, start, row = (batch.column(c)[i].as_py() for c in range(4))
+            shifts, words, item = (batch.column(c)[i].values.to_numpy() for c in (4, 5, 6))
+            found = [(got[2], -(start + shift + got[0]), got[0], got[1]) for shift in shifts.tolist() if (got := overlap(words, item, shift))]
+            if found:
+                same, place, first, end = max(found)
+                out.append((k1, k2, row, -place, first, end, same))
         cols = list(zip(*out, strict=True)) if out else [[]] * 7
         kinds = [pa.int64()] * 3 + [pa.int32()] * 4
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
@@ -184,10 +186,12 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, work: Workspace) -
     hits = (regions.select("k1", "k2", "start", F.explode(F.arrays_zip("seeds", "places")).alias("hit"))
             .select("k1", "k2", "start", F.col("hit.seeds").alias("seed"), F.col("hit.places").alias("at"))
             .join(seeds, "seed")
-            .select("k1", "k2", "start", "item_row", (F.col("at") - F.col("place")).alias("shift")).distinct())
+            .select("k1", "k2", "start", "item_row", (F.col("at") - F.col("place")).alias("shift"))
+            # A region's words travel once an item, however many diagonals they share (at most as many as both have words).
+            .groupBy("k1", "k2", "start", "item_row").agg(F.collect_set("shift").alias("shifts")))
     pairs = (hits.join(regions.select("k1", "k2", "start", "words"), ["k1", "k2", "start"])
              .join(items.select("item_row", "item"), "item_row")
-             .select("k1", "k2", "start", "item_row", "shift", "words", "item"))
+             .select("k1", "k2", "start", "item_row", "shifts", "words", "item"))
     found = pairs.mapInArrow(_verify, "k1 long, k2 long, item_row long, doc_start int, item_start int, item_end int, same int")
     best = (found.groupBy("k1", "k2", "item_row")
             .agg(F.max(F.struct("same", (-F.col("doc_start")).alias("first"), "item_start", "item_end")).alias("best")))

@@ -1,6 +1,7 @@
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -92,3 +93,15 @@ def test_overlap_reports_the_part_found():
     text = np.concatenate([np.full(5, 99), item[4:25], np.full(5, 98)])
     assert d.overlap(text, item, 1) == (2, 27, 21)  # up to two words at either end may differ
     assert d.overlap(text, item, 0) is None
+
+
+def test_one_repeated_word_takes_little_time(spark):
+    """Thousands of diagonals of one text and one item: its words are compared, not copied, for each."""
+    docs = documents(spark, [(1, "again " * 20_000, "en", "s", 0), (2, "other " * 10 + "again " * 13 + "words", "en", "s", 0)])
+    items = spark.createDataFrame([(7, "again " * 20), (8, "again " * 12 + "but")], "item_id long, text string")
+    begin = time.monotonic()
+    found = {(r["doc_id"], r["item_id"]): (r["doc_start"], r["item_start"], r["item_end"], r["same"])
+             for r in d.find_leaks(docs, items, Workspace(spark, "t")).collect()}
+    assert time.monotonic() - begin < 60
+    assert found[(1, 7)] == (0, 0, 20, 20) and found[(1, 8)] == (0, 0, 13, 12)
+    assert found[(2, 7)][2] - found[(2, 7)][1] >= 13 and (2, 8) in found
