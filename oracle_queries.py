@@ -198,6 +198,12 @@ SELECT topic || '{GROUP_SUFFIX}', topic, "partition", CAST(0 AS BIGINT), next_of
 
     "error_budget": """
 SELECT user_id, event_id, CAST(11 AS BIGINT) AS nth
+FROM (SELECT user_id, event_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id) AS rn
+      FROM events WHERE event_type = 'error')
+WHERE rn = 11""",
+
+    "client_budgets": """
+SELECT user_id, event_id, CAST(11 AS BIGINT) AS nth
 FROM (SELECT user_id, event_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id) AS rn
       FROM events WHERE event_type = 'error')
 WHERE rn = 11""",

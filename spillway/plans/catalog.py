@@ -29,6 +29,7 @@ from spillway.session import ensure_utc, under_state
 from spillway.sinks.file_log import write_log_batch, write_partitioned, write_topic_log
 from spillway.sources import fixtures as fx
 from spillway.sources.topic_log import read_file_log
+from spillway.streaming.budgets import client_budgets
 from spillway.streaming.metric_sink import read_points, write_points
 from spillway.streaming.transfer import Transfer, read_commits, run_transfers
 
@@ -467,6 +468,21 @@ def q_error_budget(spark, sf_dir):
     return budget.budget_trips(events, ["user_id"], "event_id", BUDGET)
 
 
+def q_client_budgets(spark, sf_dir):
+    """C1 in a stream: one budget per user over error events that arrive in three parts, with a restart behind the
+    first; the event that goes over, per user."""
+    root = _scratch(spark, "client_budgets")
+    errors = fx.table(spark, sf_dir, "events").where(F.col("event_type") == "error").select("user_id", "event_id", "ts")
+    late, later = (F.lit(day).cast("timestamp_ntz") for day in (fx.STORED_BEFORE, fx.RESET_AT))
+    schema = errors.schema
+    for part in (errors.where(F.col("ts") < late), errors.where((F.col("ts") >= late) & (F.col("ts") < later)), errors.where(F.col("ts") >= later)):
+        part.write.mode("append").parquet(f"{root}/errors")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/errors")
+        (client_budgets(stream, "user_id", "event_id", BUDGET).writeStream.option("checkpointLocation", f"{root}/checkpoint")
+         .trigger(availableNow=True).format("parquet").start(f"{root}/trips").awaitTermination())
+    return spark.read.parquet(f"{root}/trips")
+
+
 # ---- M: metrics ----------------------------------------------------------------
 
 def _audit(spark, sf_dir):
@@ -549,6 +565,7 @@ QUERIES: dict[str, Query] = {
     "failed_records": q_failed_records,
     "commit_position": q_commit_position,
     "error_budget": q_error_budget,
+    "client_budgets": q_client_budgets,
     "drain_stop": q_drain_stop,
     "read_limit": q_read_limit,
     "copy_audit": q_copy_audit,
