@@ -403,7 +403,7 @@ def q_drain_signal(spark, sf_dir):
             stored = positions.committed_offsets(t.commits()).agg(F.sum("next_offset")).first()[0]
             sent = read_file_log(spark, t.opts.destination, t.opts.topic).count()
             found[t.opts.topic] = (read, stored, sent == stored, t.query.isActive)
-        _run_copies(spark, root, **mine)
+        _run_copies(spark, root, **(mine | {"read_limit": None}))
         for topic, row in found.items():
             out.append((topic, failed, *row, read_file_log(spark, f"{root}/dest-{failed}", topic).count()))
     return spark.createDataFrame(out, "topic string, failed boolean, read long, committed long, sent_is_committed boolean, running boolean, at_last long")
