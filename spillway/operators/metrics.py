@@ -64,6 +64,9 @@ def _dense(counts: DataFrame, keys: Sequence[str], seconds: int) -> DataFrame:
     grid = (series.select(*keys).withColumn("_span", span.scalar())
             .select(*keys, F.col("_span.lo").alias("_lo"), F.col("_span.hi").alias("_hi"))
             .withColumn("_chunk", F.explode(F.sequence(whole_div(F.col("_lo"), step), whole_div(F.col("_hi"), step)))))
+    # A chunk grows sixtyfold behind this, so the number of tasks is set: small rows would be coalesced into one.
+    writers = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grid = grid.repartition(writers, *keys, "_chunk")
     found = grid.join(packed, [*keys, "_chunk"], "left")
     first = F.greatest("_lo", F.col("_chunk") * step)
     last = F.least("_hi", F.col("_chunk") * step + (step - seconds))
