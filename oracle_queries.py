@@ -258,6 +258,16 @@ SELECT topic, 'gz' AS codec, COUNT(*) AS records FROM log GROUP BY topic""",
 
     "copy_replay": TOPIC_SINK,
 
+    "retry_records": f"""WITH {LOG},
+fate AS (
+  SELECT topic, CASE WHEN {REJECT} THEN second("timestamp") % 5 ELSE 0 END AS failures FROM log),
+totals AS (
+  SELECT topic, CAST(SUM(CASE WHEN failures < 3 THEN 1 ELSE 0 END) AS BIGINT) AS sent,
+         CAST(SUM(CASE WHEN failures < 3 THEN 0 ELSE 1 END) AS BIGINT) AS rejected FROM fate GROUP BY topic)
+SELECT f.topic, CAST(LEAST(failures + 1, 3) AS INTEGER) AS attempts, failures >= 3 AS dead, COUNT(*) AS records,
+       ANY_VALUE(sent) AS sent, ANY_VALUE(sent) AS sent_offsets, ANY_VALUE(sent) AS produced, ANY_VALUE(rejected) AS rejected
+FROM fate f JOIN totals t ON f.topic = t.topic GROUP BY f.topic, LEAST(failures + 1, 3), failures >= 3""",
+
     "copy_lag": f"""WITH {LOG}, {SNAP}
 SELECT topic || '{GROUP_SUFFIX}' AS "group", l.topic, l."partition", COALESCE(ANY_VALUE(s.start_offset), 0) AS current_offset,
        COUNT(*) AS newest_offset, COUNT(*) - COALESCE(ANY_VALUE(s.start_offset), 0) AS lag, ANY_VALUE(s.start_offset) IS NOT NULL AS has_position
@@ -291,6 +301,14 @@ SELECT topic, client_type, make_timestamp((b - b % 60) * 1000000) AS "start",
        string_agg(CAST(CAST(records AS BIGINT) AS VARCHAR), ',' ORDER BY b) AS records
 FROM dense GROUP BY topic, client_type, b - b % 60""",
 
+    "stream_throughput": f"""WITH {LOG}, {AUDIT},
+counts AS (SELECT topic, client_type, {_bucket('"at"', 1)} AS b, SUM(n) AS records FROM audit GROUP BY ALL),
+span AS (SELECT MIN(b) // 60 * 60 AS lo, MAX(b) // 60 * 60 + 59 AS hi FROM counts),
+grid AS (SELECT topic, client_type, UNNEST(generate_series(lo, hi)) AS b FROM (SELECT DISTINCT topic, client_type FROM counts), span)
+SELECT topic, client_type, make_timestamp((b - b % 60) * 1000000) AS "start",
+       string_agg(CAST(CAST(COALESCE(records, 0) AS BIGINT) AS VARCHAR), ',' ORDER BY b) AS records
+FROM grid LEFT JOIN counts USING (topic, client_type, b) GROUP BY topic, client_type, b - b % 60""",
+
     "partition_lag": f"""WITH {LOG}, {STORED}, {PARTS}, {LAG}
 SELECT * FROM lagrows""",
 

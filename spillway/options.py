@@ -42,6 +42,9 @@ class TransferOptions:
     reference's buffer bounds memory, not rate.
     offset_ranges: read a file log by offset ranges from its manifest instead of
     file by file (`spillway.sources.ranges`).
+    retry_failed: a record that fails is sent again in later batches, up to
+    `max_retry` times, before it counts as failed; `reject_when` may name the
+    number of the `attempt` (from 1).  Needs offset_ranges.
     keep_manifest: keep a manifest of the destination file log and fold its
     batch folders; its readers must read by offset ranges.
     batch_bytes: source bytes per micro-batch of a file log while read_limit is
@@ -67,6 +70,7 @@ class TransferOptions:
     monitor_seconds: float = METRIC_FLUSH_SECONDS
     max_errors: int = DEFAULT_MAX_ERRORS
     max_retry: int = DEFAULT_MAX_RETRY
+    retry_failed: bool = False
     flush_interval_ms: int = DEFAULT_FLUSH_INTERVAL_MS
     reset: bool = False
     # "latest" is the reference's start for a group without a stored position;
@@ -95,6 +99,10 @@ class TransferOptions:
                 raise ValueError(f"{name} must be 'file' or 'kafka'")
         if self.offset_ranges and self.source_format != "file" or self.keep_manifest and self.destination_format != "file":
             raise ValueError("offset_ranges and keep_manifest are for file logs")
+        if self.retry_failed and not self.offset_ranges:
+            raise ValueError("retry_failed needs offset_ranges")
+        if self.max_retry < 0:
+            raise ValueError("max_retry must be >= 0")
         if self.start_at not in ("latest", "earliest"):
             raise ValueError("start_at must be 'latest' or 'earliest'")
         if self.max_errors < 0:

@@ -24,13 +24,15 @@ from spillway.operators import budget, flush, metrics, points, positions, record
 from spillway.options import TransferOptions
 from spillway.plans.copy import plan_copy_batch, plan_counted
 from spillway.plans.monitoring import Monitor, copy_lag
-from spillway.schema import AUDIT
+from spillway.schema import ATTEMPTS, AUDIT, TOPIC_LOG
 from spillway.session import ensure_utc, under_state
 from spillway.sinks.file_log import write_log_batch, write_partitioned, write_topic_log
 from spillway.sources import fixtures as fx
 from spillway.sources.topic_log import read_file_log
+from spillway.streaming import fs
 from spillway.streaming.budgets import client_budgets
 from spillway.streaming.metric_sink import read_points, write_points
+from spillway.streaming.rates import closed_chunks
 from spillway.streaming.transfer import Transfer, read_commits, run_transfers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +46,10 @@ DENSE_SECONDS = 1
 IN_FLIGHT_SECONDS = 30
 GAUGE_SECONDS = 60
 BUDGET = 10
+LATE_SECONDS = 3600       # how late an audit row may come
+PART_SECONDS = 864_000    # of audit that arrive together
+RETRIES = 2               # attempts after the first
+FAILS_AT = f"{fx.REJECT_WHEN} and attempt <= second(timestamp) % 5"  # how often a record fails depends on the record
 FLUSH_SIZE = 20           # records in a flush group
 FLUSH_SECONDS = 86_400    # the fixture has few records a second
 
@@ -241,6 +247,25 @@ def q_copy_commits(spark, sf_dir):
             .select("group", "topic", "partition", "next_offset"))
 
 
+def q_retry_records(spark, sf_dir):
+    """K3 + K4: copies whose failed records are tried again in later batches: attempts made per record, records dead
+    after the last one, and what was sent according to the destination and to the audit."""
+    root = _whole_source(spark, sf_dir, "retry_records")
+    _run_copies(spark, root, offset_ranges=True, reject_when=FAILS_AT, retry_failed=True, max_retry=RETRIES, max_errors=NO_BUDGET)
+    fs.mkdirs(spark, f"{root}/state/quarantine")
+    place = ["topic", "partition", "offset"]
+    tried = spark.read.schema(ATTEMPTS).parquet(f"{root}/state/attempts").groupBy(*place).agg(F.max("attempt").alias("tried"))
+    dead = spark.read.schema(TOPIC_LOG).parquet(f"{root}/state/quarantine").select(*place, F.lit(True).alias("dead"))
+    records = (read_file_log(spark, f"{root}/source").select(*place).join(tried, place, "left").join(dead, place, "left")
+               .groupBy("topic", F.coalesce("tried", F.lit(1)).alias("attempts"), F.coalesce("dead", F.lit(False)).alias("dead"))
+               .agg(F.count("*").alias("records")))
+    sent = read_file_log(spark, f"{root}/dest").groupBy("topic").agg(
+        F.count("*").alias("sent"), F.count_distinct("partition", "offset").alias("sent_offsets"))
+    audit = _audit_of(spark, root).groupBy("topic").agg(
+        F.sum(F.when(F.col("client_type") == "producer", F.col("n"))).alias("produced"), F.sum("rejected").alias("rejected"))
+    return records.join(sent, "topic").join(audit, "topic")
+
+
 class _Killed(Transfer):
     """A copy that dies between the sink and the positions of its first batch."""
 
@@ -511,6 +536,27 @@ def q_total_lag(spark, sf_dir):
     return metrics.total_lag(_lag(_log(spark, sf_dir)))
 
 
+def q_stream_throughput(spark, sf_dir):
+    """M1 + M2 as a stream: the audit arrives in parts, up to an hour late and in no order, with restarts between the
+    parts; a row behind the last second lets the last minute close."""
+    root = _scratch(spark, "stream_throughput")
+    audit = _audit(spark, sf_dir).select("topic", "client_type", "n", "at")
+    late = F.pmod(F.xxhash64("topic", "client_type", "at"), F.lit(LATE_SECONDS))
+    parts = audit.withColumn("part", whole_div(F.unix_seconds("at") + late, PART_SECONDS))
+    write_partitioned(parts, f"{root}/parts", ["part"])
+    span = audit.agg(F.unix_seconds(F.min("at")).alias("lo"), F.unix_seconds(F.max("at")).alias("hi")).first()
+    end = audit.limit(1).select("topic", "client_type", F.lit(0).cast("long").alias("n"),
+                                F.timestamp_seconds(F.lit((span["hi"] or 0) + LATE_SECONDS + 2 * metrics.DENSE_CHUNK)).alias("at"))
+    found = sorted(int(n) for n in fs.child_values(spark, f"{root}/parts", "part"))
+    for part in [spark.read.schema(audit.schema).parquet(f"{root}/parts/part={n}") for n in found] + [end]:
+        part.write.mode("append").parquet(f"{root}/audit")
+        chunks = closed_chunks(spark.readStream.schema(audit.schema).parquet(f"{root}/audit"), span["lo"] or 0, f"{LATE_SECONDS} seconds")
+        (chunks.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+         .format("parquet").start(f"{root}/closed").awaitTermination())
+    closed = spark.read.parquet(f"{root}/closed").where(F.col("start") <= F.lit(span["hi"]))
+    return closed.select("topic", "client_type", F.timestamp_seconds("start").cast("timestamp_ntz").alias("start"), "records")
+
+
 def q_in_flight(spark, sf_dir):
     return metrics.in_flight(_audit(spark, sf_dir), IN_FLIGHT_SECONDS)
 
@@ -571,6 +617,7 @@ QUERIES: dict[str, Query] = {
     "copy_audit": q_copy_audit,
     "copy_commits": q_copy_commits,
     "copy_replay": q_copy_replay,
+    "retry_records": q_retry_records,
     "copy_lag": q_copy_lag,
     "copy_points": q_copy_points,
     "flush_policy": q_flush_policy,
@@ -585,6 +632,7 @@ QUERIES: dict[str, Query] = {
     "dense_throughput": q_dense_throughput,
     "partition_lag": q_partition_lag,
     "total_lag": q_total_lag,
+    "stream_throughput": q_stream_throughput,
     "in_flight": q_in_flight,
     "gauge_sample": q_gauge_sample,
     "to_points": q_to_points,

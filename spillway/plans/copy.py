@@ -31,7 +31,7 @@ from spillway.schema import CONSUMER, PRODUCER
 @dataclasses.dataclass
 class CopyBatch:
     records: DataFrame   # destination rows: topic, partition, offset, key, value, timestamp
-    rejected: DataFrame  # failed source rows: topic, partition, offset, key, value, timestamp
+    rejected: DataFrame  # failed source rows: topic, partition, offset, key, value, timestamp (and attempt, if the log has it)
     audit: DataFrame     # AUDIT without run/group/generation/batch columns
     commits: DataFrame   # topic, partition, next_offset, at
     ranges: DataFrame    # per source partition: from/until offsets, n, rejected, slot span
@@ -109,7 +109,8 @@ def plan_copy_batch(log: DataFrame, partitions: int, start: DataFrame | None = N
     records = placed.where(~F.col("_rejected")).select(
         "topic", F.col("_dst").alias("partition"), F.col("_dst_offset").alias("offset"),
         key.alias("key"), value.alias("value"), at.alias("timestamp"))
-    rejected = src.where(F.col("_rejected")).select("topic", "partition", "offset", "key", "value", "timestamp")
+    attempt = ["attempt"] if "attempt" in src.columns else []
+    rejected = src.where(F.col("_rejected")).select("topic", "partition", "offset", "key", "value", "timestamp", *attempt)
 
     # Audit rows come from the range table alone (no pass over the records):
     # per source partition, what the consumer read, and what the producer sent

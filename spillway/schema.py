@@ -59,6 +59,14 @@ GENERATIONS = T.StructType([
     T.StructField("opened_at", T.TimestampType(), True),
 ])
 
+# A record that waits for its next attempt (`retry_failed`): its place in the source, the number of that attempt and
+# the first batch that may make it.
+ATTEMPTS = T.StructType([
+    *TOPIC_LOG.fields,
+    T.StructField("attempt", T.IntegerType(), False),
+    T.StructField("due", T.LongType(), False),
+])
+
 POINTS = T.StructType([
     T.StructField("measurement", T.StringType(), False),
     T.StructField("tags", T.MapType(T.StringType(), T.StringType()), False),

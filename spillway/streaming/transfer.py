@@ -19,6 +19,9 @@
   (at-least-once on Kafka, exactly once on a file log).
 * Failed records (K4): records matching `reject_when` are not sent; they are
   counted in the audit table and kept in a quarantine table.
+* Retries (K3, K4): with `retry_failed` a record that fails is tried again in
+  later batches, from an attempt log that the query reads as its second source,
+  and counts as failed after its last attempt (`spillway.streaming.attempts`).
 * Error budget (C1): the reject total of this run is one number kept on the
   driver.  It is checked *before* each batch: the batch that goes over the
   limit is finished and committed, the next refuses to start, so a restart (a
@@ -65,6 +68,7 @@ from spillway.sources.manifest import ManifestLog, kept_beside, own_folder
 from spillway.sources.ranges import read_range_stream
 from spillway.sources.topic_log import read_file_log, topic_source
 from spillway.streaming import fs
+from spillway.streaming.attempts import dead_letters, next_attempts, read_attempts, retry, with_waiting
 from spillway.streaming.progress import first_offsets
 from spillway.streaming.state import fold, read_table
 
@@ -120,6 +124,11 @@ class Transfer:
     def checkpoint(self) -> str:
         return f"{self.path('checkpoints')}/group={self.group}/generation={self.generation}"
 
+    @property
+    def attempts(self) -> str:
+        """The attempt log of this generation (`retry_failed`)."""
+        return fs.partition_folder(self.spark, self.path("attempts"), group=self.group, generation=self.generation)
+
     @property
     def record_path(self) -> str:
         return f"{self.path('generations')}/group={self.group}/generation={self.generation}"
@@ -252,10 +261,12 @@ class Transfer:
         with self._clock_lock:
             self._running_at = _dt.datetime.now(_dt.timezone.utc)
         try:
-            log = df
+            log, waited = df, []
             if self.opts.offset_ranges:
-                log = self.index.read_ranges([tuple(r) for r in df.collect()])  # one row per partition
-            self._copy(log, batch_id, self._running_at)
+                told = df.distinct().collect()  # one row per partition, and one per folder of the attempt log
+                log = self.index.read_ranges([tuple(r)[:3] for r in told if r["partition"] is not None])
+                waited = [r["waiting"] for r in told if r["partition"] is None]
+            self._copy(log, batch_id, self._running_at, waited)
         finally:
             self._rejected_now = 0
             with self._clock_lock:
@@ -269,35 +280,57 @@ class Transfer:
             self._refused = True
             raise _Stopped("stopped at once: records of this run have failed")
 
-    def _copy(self, df: DataFrame, batch_id: int, began: _dt.datetime) -> None:
+    def _copy(self, df: DataFrame, batch_id: int, began: _dt.datetime, waited: list[int]) -> None:
         o, begin, observed, counts = self.opts, time.monotonic(), Observed(), None
         self.seed_from_checkpoint()
-        base = self._destination_base(batch_id)
-        rows, plan = plan_counted(df, o.destination_partitions, self._start, o.reject_when, o.preserve_nulls, base,
-                                  F.lit(began).cast("timestamp"), observed)
-        rejected, width = sum(r["rejected"] or 0 for r in rows), sum(r["_span"] for r in rows)
+        base, at = self._destination_base(batch_id), F.lit(began).cast("timestamp")
+        if o.retry_failed:
+            df = df.withColumn("attempt", F.lit(1))
+        rows, plan = plan_counted(df, o.destination_partitions, self._start, o.reject_when, o.preserve_nulls, base, at, observed)
+        failed, width = sum(r["rejected"] or 0 for r in rows), sum(r["_span"] for r in rows)
+        again = None
+        if waited:
+            again = retry(read_attempts(self.spark, self.attempts, waited), batch_id, o.max_retry, o.reject_when,
+                          o.destination_partitions, o.preserve_nulls, base + width, at)
+        tries = o.retry_failed and o.max_retry > 0
+        rejected = (0 if tries else failed) + (again.dead if again else 0)
         self._rejected_now = int(rejected)
         self._go_on()
-        if rows:  # else nothing at or after the start position
-            records = fan_out(plan.records, o.producer_concurrency)
-            if o.destination_format == "file":
-                if write_once(self.spark, self.folder(o.destination, batch_id, topic=o.topic), lambda: write_log_batch(
-                        records, o.destination, self.group, self.generation, batch_id, o.compression)):
-                    counts = observed.get()
-            else:
-                write_kafka_batch(records, o)
-                counts = observed.get()
+        if rows or again:  # else nothing at or after the start position
+            sent = [plan.records] if rows else []
+            if again and again.records is not None:
+                sent.append(again.records)
+            if sent:
+                records = fan_out(functools.reduce(DataFrame.unionByName, sent), o.producer_concurrency)
+                if o.destination_format != "file":
+                    write_kafka_batch(records, o)
+                    written = True
+                else:
+                    written = write_once(self.spark, self.folder(o.destination, batch_id, topic=o.topic), lambda: write_log_batch(
+                        records, o.destination, self.group, self.generation, batch_id, o.compression))
+                counts = observed.get() if written and rows else None
             self._after_sink(batch_id)
             self._go_on()
             self.live = counts or self.live
-            audit = with_gauges(plan.audit, rows, counts, round((time.monotonic() - begin) * 1000)).withColumn("run_id", F.lit(self.run_id))
+            audit = plan.audit.withColumn("rejected", F.lit(0).cast("long")) if tries else plan.audit
+            audit = with_gauges(audit, rows, counts)
+            if again:
+                audit = audit.unionByName(with_gauges(again.audit, [], None))
+            audit = audit.withColumns({"took_ms": F.lit(round((time.monotonic() - begin) * 1000)).cast("long"), "run_id": F.lit(self.run_id)})
             if o.destination_format == "kafka":  # the broker assigns destination offsets
                 planned_only = F.col("client_type") == PRODUCER
                 audit = (audit.withColumn("from_offset", F.when(~planned_only, F.col("from_offset")))
                               .withColumn("until_offset", F.when(~planned_only, F.col("until_offset"))))
             tables = {"audit": audit, "commits": plan.commits.withColumn("generation", F.lit(self.generation))}
+            lost = plan.rejected
+            if o.retry_failed:
+                lost = plan.rejected.unionByName(again.failed) if again else plan.rejected
+                if tries and failed or again and again.waiting:
+                    waiting = next_attempts(lost, batch_id, o.max_retry)
+                    tables["attempts"] = waiting.unionByName(again.later) if again else waiting
+                lost = dead_letters(lost, o.max_retry)
             if o.quarantine and rejected:
-                tables["quarantine"] = plan.rejected
+                tables["quarantine"] = lost
             # After the sink, the state tables are independent small writes: run
             # them as concurrent jobs (a failed batch is replayed; tables already
             # there stay).
@@ -305,7 +338,7 @@ class Transfer:
             if o.keep_manifest:
                 self.destination_manifest.refresh()
         self.rejected_total, self._rejected_now = self.rejected_total + int(rejected), 0
-        self._next = (batch_id + 1, base + int(width))
+        self._next = (batch_id + 1, base + int(width) + (again.width if again else 0))
         self.batches.append(batch_id)
         if len(self.batches) % o.fold_batches == 0:
             fold(self.spark, self.root, self.group, self.generation)
@@ -340,6 +373,8 @@ class Transfer:
         if self.opts.offset_ranges:
             self.source_ends()
             stream = read_range_stream(self.spark, self.index.folder, self._starts, self.opts.read_limit)
+            if self.opts.retry_failed:
+                stream = with_waiting(stream, self.attempts)
             # A drain is one batch after the other until nothing waits (the trigger of Spark would end after one).
             self._drains = trigger in ("available_now", "once")
         else:
