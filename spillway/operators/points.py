@@ -18,6 +18,7 @@ from spillway.functions import series_key, truncate_time
 KAFKA_STATS = "kafka_stats"
 RPS_STATS = "rps_stats"
 SYSTEM_STATS = "system_stats"
+MEASUREMENTS = (KAFKA_STATS, RPS_STATS, SYSTEM_STATS)
 TAG_HOST = "host"
 TAG_GROUP = "consumer_group_name"
 TAG_TOPIC = "topic"

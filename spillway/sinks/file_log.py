@@ -11,6 +11,7 @@ every new checkpoint, which is why the generation is part of the folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark import InheritableThread
@@ -40,6 +41,19 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str],
        .parquet(path))
 
 
+def write_folder(df: DataFrame, root: str, folder: str, compression: str = "snappy") -> None:
+    """Replace one folder under `root`, as `write_partitioned` does when `df` has the rows of that folder alone, without
+    its sort by folder: the rows go to a hidden folder, which becomes `folder` by one rename.  No rows: `folder` stays."""
+    spark = df.sparkSession
+    staged = f"{root.rstrip('/')}/.staged-{uuid.uuid4().hex}"
+    try:
+        df.write.option("compression", compression).parquet(staged)
+        if not spark.read.schema(df.schema).parquet(staged).isEmpty():
+            fs.replace(spark, staged, folder)
+    finally:
+        fs.delete(spark, staged)
+
+
 def write_log_batch(records: DataFrame, root: str, group: str | Column, generation: int, batch_id: int,
                     compression: str = "gzip") -> None:
     """Append one batch of log records (topic, partition, offset, key, value,

@@ -88,6 +88,15 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def replace(spark: SparkSession, source: str, path: str) -> None:
+    """Put the folder `source` in the place of `path`, by a rename on the same store."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p.getParent())
+    fs.delete(p, True)
+    if not fs.rename(_fs(spark, source)[1], p):
+        raise FileExistsError(path)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path as a full URI, as Spark's file system resolves it."""
     fs, p = _fs(spark, path)
